@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import first_match
 
 # Squashed spelling -> enum label.
 EMPLOYMENT_ENUM = [
@@ -31,6 +30,8 @@ def normalise_employment_type(col: Column, mode: str = "reference") -> Column:
         squashed = F.regexp_replace(F.lower(col), "[^a-z]", "")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    rules = [(col.isNull() | (F.trim(col) == F.lit("")), F.lit(None).cast("string"))]
-    rules += [(squashed == F.lit(word), label) for word, label in EMPLOYMENT_ENUM]
-    return first_match(rules, F.upper(col))
+    # one literal-map lookup: the squashed text is computed once per row
+    enum = F.create_map(*[F.lit(x) for pair in EMPLOYMENT_ENUM for x in pair])
+    return F.when(col.isNull() | (F.trim(col) == F.lit("")), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.try_element_at(enum, squashed), F.upper(col))
+    )

@@ -16,6 +16,8 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call-site capture costs several JVM round trips per column function
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -12,6 +12,24 @@ from .. import schemas
 FEEDS = {"a": schemas.RAW_FEED_A, "b": schemas.RAW_FEED_B}
 
 
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` when it has fewer partitions than the
+    cluster can run at once (e.g. a single-row-group file).
+
+    A large multi-file input already has enough splits, so this is a no-op
+    there; only under-split inputs pay one (deterministic, retry-safe) hash
+    exchange.  Only the partition count of the plan is inspected, no data.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. no RDD access on a remote session)
+        return df
+    if current >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def read_raw_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Parquet directory scan of one raw feed with its fixed schema.
 

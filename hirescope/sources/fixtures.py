@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import spread
+
 # The latest o_orderdate at every scale factor; the default "today".
 AS_OF = dt.date(2001, 8, 1)
 
@@ -46,12 +48,8 @@ UPSERT_MODULUS = 5000
 
 
 def _pick(values: list, index: Column) -> Column:
-    """``values[index]`` as a CASE over a literal list."""
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
+    """``values[index]`` from a literal array (0-based index, always in range)."""
+    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (index + 1).cast("int"))
 
 
 def _hot(k: Column, index: Column) -> Column:
@@ -59,9 +57,10 @@ def _hot(k: Column, index: Column) -> Column:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
     )
+    return spread(orders, "o_orderkey")
 
 
 def postings(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
