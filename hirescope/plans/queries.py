@@ -11,7 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+
 from .. import schemas
+from ..operators import clean_feed, load_availability
+from ..session import work_path
+from ..sources.files import bronze_stamp, read_availability_csv
+from ..sources.sinks import merge_into_table, write_partitioned
+from ..streaming import ingest_files
 from ..functions import (
     cloud_platform_focus,
     normalise_employment_type,
@@ -307,6 +314,80 @@ def q_upsert(spark, sf):
     return upsert(target, rows.where(F.col("batch_no") >= 2), ["id"], order=["version"])
 
 
+# ------------------------------------------------------------ sinks and streams
+
+_CLEANED_BOTH_SQL = "SELECT * FROM cleaned_b UNION ALL SELECT * FROM cleaned_a"
+
+
+@register("partitioned_rebuild", with_ctes(_CLEANED_BOTH_SQL, "cleaned_a", "cleaned_b"))
+def q_partitioned_rebuild(spark, sf):
+    """Write both cleaned feeds as a load-date partitioned table and read it back."""
+    path = work_path(spark, "cleaned")
+    write_partitioned(_cleaned_both(spark, sf), path)
+    return spark.read.parquet(path).select(*schemas.CLEANED_COLUMNS)
+
+
+FIRST_LOAD = dt.date(2001, 7, 31)
+SPLIT_FIRST = "1999-01-01 00:00:00"
+SPLIT_SECOND = "1998-01-01 00:00:00"
+
+
+def _cleaned_loaded(spark, sf, load_date):
+    posts = fixtures.postings(spark, sf, AS_OF)
+    a = bronze_stamp(fixtures.raw_feed_a(posts), load_date, with_file_path=False)
+    b = bronze_stamp(fixtures.raw_feed_b(posts), load_date, with_file_path=False)
+    return clean_feed(b, "b", load_date).unionByName(clean_feed(a, "a", load_date))
+
+
+_MERGE_SQL = with_ctes(
+    f"""SELECT * REPLACE (
+  CASE WHEN scraped_dts < TIMESTAMP '{SPLIT_SECOND}' THEN TIMESTAMP '{FIRST_LOAD} 00:00:00' ELSE ingest_dts END AS ingest_dts,
+  CASE WHEN scraped_dts < TIMESTAMP '{SPLIT_SECOND}' THEN {FIRST_LOAD.month} ELSE month END AS month,
+  CASE WHEN scraped_dts < TIMESTAMP '{SPLIT_SECOND}' THEN {FIRST_LOAD.day} ELSE day END AS day)
+FROM ({_CLEANED_BOTH_SQL}) c""",
+    "cleaned_a",
+    "cleaned_b",
+)
+
+
+@register("merge_partitioned", _MERGE_SQL)
+def q_merge_partitioned(spark, sf):
+    """Two loads into one partitioned table: postings scraped before 1999 on
+    the first load date, then those from 1998 on, on the next.  The 1998
+    postings move to the newer partition; the rest stay."""
+    path = work_path(spark, "merged")
+    first = _cleaned_loaded(spark, sf, FIRST_LOAD)
+    merge_into_table(spark, path, first.where(F.col("scraped_dts") < F.lit(SPLIT_FIRST).cast("timestamp_ntz")),
+                     ["job_posting_id"])
+    second = _cleaned_loaded(spark, sf, AS_OF)
+    merge_into_table(spark, path, second.where(F.col("scraped_dts") >= F.lit(SPLIT_SECOND).cast("timestamp_ntz")),
+                     ["job_posting_id"], order=["ingest_dts"])
+    return spark.read.parquet(path).select(*schemas.CLEANED_COLUMNS)
+
+
+@register("load_availability_csv", with_ctes("SELECT * FROM availability", "availability"))
+def q_load_availability_csv(spark, sf):
+    """Availability pool through the CSV source with an explicit schema."""
+    path = work_path(spark, "availability-csv")
+    fixtures.availability(spark, sf).write.option("header", True).csv(path)
+    return load_availability(read_availability_csv(spark, path), AS_OF)
+
+
+STREAM_FILES = 4
+
+
+@register("stream_ingest", with_ctes("SELECT * FROM cleaned_a", "cleaned_a"))
+def q_stream_ingest(spark, sf):
+    """Feed A lands as several Parquet files; a streaming query ingests them
+    one file per micro-batch and merges each into the cleaned table."""
+    landing = work_path(spark, "landing-a")
+    posts = fixtures.postings(spark, sf, AS_OF)
+    fixtures.raw_feed_a(posts).repartition(STREAM_FILES, "job_posting_id").write.parquet(landing)
+    target = work_path(spark, "stream-target")
+    ingest_files(spark, landing, "a", target, work_path(spark, "stream-ckpt"), AS_OF, max_files_per_trigger=1)
+    return spark.read.parquet(target).select(*schemas.CLEANED_COLUMNS)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(SPARK)
 

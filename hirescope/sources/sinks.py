@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -44,3 +45,71 @@ def write_partitioned(
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p)
+
+
+def _delete_partition_dirs(spark: SparkSession, path: str, partitions: Sequence[str], values: list) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in values:
+        parts = "/".join(
+            f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partitions
+        )
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{parts}")
+        p.getFileSystem(conf).delete(p, True)
+
+
+def merge_into_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: Sequence[str],
+    partitions: Sequence[str] = ("year", "month", "day"),
+    order: Sequence[str] | None = None,
+    staging_root: str | None = None,
+) -> str:
+    """Upsert ``batch`` into a partitioned Parquet table at ``path``,
+    rewriting only the partitions the batch touches.
+
+    Touched partitions are those of the batch rows plus those holding a
+    target row whose key the batch replaces (a key may move to a newer
+    load-date partition).  Their new content (surviving rows + batch rows) is
+    written to a staging folder first, so the target is never overwritten
+    while it is being read; then only those partitions are replaced
+    (dynamic partition overwrite).  A touched partition left without rows is
+    removed.  Re-running the same batch gives the same table.  Only the list
+    of touched partition values (one row per load date) reaches the driver.
+    """
+    from ..operators.incremental import latest_per_key
+    from ..session import work_path
+
+    key, partitions = list(key), list(partitions)
+    if order:
+        batch = latest_per_key(batch, key, order)
+    if not path_exists(spark, path):
+        return write_partitioned(batch, path, partitions)
+    target = spark.read.parquet(path)
+    batch = batch.select(*target.columns)
+    keys = batch.select(*key).alias("b")
+    match = F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
+    hit = target.alias("t").join(keys, match, "left_semi").select(*partitions)
+    # one row per touched load date: small, and needed after the target is replaced
+    touched_rows = hit.unionByName(batch.select(*partitions)).distinct().collect()
+    touched = spark.createDataFrame(touched_rows, target.select(*partitions).schema)
+    affected = target.join(touched, partitions, "left_semi")
+    kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
+    staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
+    kept.unionByName(batch).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
+    staged = spark.read.parquet(staging).select(*target.columns)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    written = {tuple(r) for r in staged.select(*partitions).distinct().collect()}
+    emptied = [r for r in touched_rows if tuple(r) not in written]
+    if emptied:
+        _delete_partition_dirs(spark, path, partitions, emptied)
+    return path
