@@ -1,0 +1,103 @@
+"""Employment, dates, seniority and title classification rule tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from hirescope.functions import (
+    cloud_platform_focus,
+    normalise_employment_type,
+    posted_date_from_iso,
+    posted_date_from_timestamp_text,
+    primary_language_hint,
+    standardise_seniority,
+    tech_skill_category,
+)
+
+
+def _map(spark, values, fn):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    return {r["v"]: r["o"] for r in df.select("v", fn(F.col("v")).alias("o")).collect()}
+
+
+EMPLOYMENT_REFERENCE = {
+    "Full-time": "FULL-TIME",  # capitals are stripped before lower-casing
+    "full-time": "FULL_TIME",
+    "Contract": "CONTRACT",
+    "contract": "CONTRACT",
+    "Part-time": "PART-TIME",
+    "part time": "PART_TIME",
+    "internship": "INTERNSHIP",
+    "temporary": "TEMPORARY",
+    "volunteer": "VOLUNTEER",
+    "Casual": "CASUAL",
+    "  ": None,
+    "": None,
+    None: None,
+}
+
+
+def test_employment_reference_mode(spark):
+    assert _map(spark, list(EMPLOYMENT_REFERENCE), normalise_employment_type) == EMPLOYMENT_REFERENCE
+
+
+def test_employment_fixed_mode(spark):
+    got = _map(spark, ["Full-time", "Part-Time", "CONTRACT", "Casual"], lambda c: normalise_employment_type(c, "fixed"))
+    assert got == {"Full-time": "FULL_TIME", "Part-Time": "PART_TIME", "CONTRACT": "CONTRACT", "Casual": "CASUAL"}
+
+
+def test_posted_dates(spark):
+    a = _map(spark, ["2001-07-25", "2001-07-25 13:45:00", "not a date", None], posted_date_from_timestamp_text)
+    assert a == {"2001-07-25": "2001-07-25", "2001-07-25 13:45:00": "2001-07-25", "not a date": None, None: None}
+    b = _map(spark, ["2001-07-25T10:00:00.000Z", "2001-07-25", "bad", None], posted_date_from_iso)
+    assert b == {"2001-07-25T10:00:00.000Z": "2001-07-25", "2001-07-25": None, "bad": None, None: None}
+
+
+SENIORITY = {
+    "MID_SENIOR_LEVEL": "Mid-Senior level",
+    "Mid-Senior level": "Mid-Senior level",
+    "ENTRY LEVEL": "Entry level",
+    "entry_level": "Entry level",
+    "SENIOR_LEVEL": "Senior level",
+    "associate": "Associate",
+    "executive": "Executive",
+    "Director": "Director",
+    "internship": "Internship",
+    "Not Applicable": "Not Applicable",
+    "mid_career": "Mid Career",
+    None: None,
+}
+
+
+def test_standardise_seniority(spark):
+    assert _map(spark, list(SENIORITY), standardise_seniority) == SENIORITY
+
+
+TITLES = {
+    # title: (category, cloud, language)
+    "Senior Data Engineer (AWS)": ("Data Engineering", "AWS", "Not Specified"),
+    "Data Scientist - Python": ("Data Science", "Cloud Agnostic", "Python"),
+    "Data Analyst": ("Data Analytics", "Cloud Agnostic", "Not Specified"),
+    "Java Developer": ("Software Development", "Cloud Agnostic", "Java"),
+    "JavaScript Developer": ("Software Development", "Cloud Agnostic", "JavaScript"),
+    "GCP Software Engineer": ("Software Development", "GCP", "Not Specified"),
+    "DevOps Engineer Azure": ("DevOps", "Azure", "Not Specified"),
+    "Machine Learning Lead": ("AI/ML", "Cloud Agnostic", "Not Specified"),
+    "Thai Chef": ("AI/ML", "Cloud Agnostic", "Not Specified"),  # "ai " substring
+    "XML Analyst": ("AI/ML", "Cloud Agnostic", "Not Specified"),  # "ml " substring
+    "Head of AI": ("Other Tech", "Cloud Agnostic", "Not Specified"),  # no trailing blank
+    "Front-End React Dev": ("Frontend Development", "Cloud Agnostic", "JavaScript"),
+    "Backend Node Lead": ("Backend Development", "Cloud Agnostic", "JavaScript"),
+    "Full Stack C# Dev": ("Full Stack Development", "Cloud Agnostic", "C#/.NET"),
+    "Embedded C++ Engineer": ("Other Tech", "Cloud Agnostic", "C++"),
+    "Amazon Google Cloud Architect": ("Other Tech", "AWS", "Not Specified"),
+    "Nurse": ("Other Tech", "Cloud Agnostic", "Not Specified"),
+    None: ("Other Tech", "Cloud Agnostic", "Not Specified"),
+}
+
+
+def test_title_classification(spark):
+    df = spark.createDataFrame([(t,) for t in TITLES], "t string")
+    t = F.col("t")
+    rows = df.select("t", tech_skill_category(t).alias("a"), cloud_platform_focus(t).alias("b"),
+                     primary_language_hint(t).alias("c")).collect()
+    assert {r["t"]: (r["a"], r["b"], r["c"]) for r in rows} == TITLES
