@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 import datetime as dt
 
 from .. import schemas
-from ..operators import clean_feed, load_availability
+from ..operators import clean_feed, enrich, load_availability
 from ..session import work_path
-from ..sources.files import bronze_stamp, read_availability_csv
+from ..sources.files import bronze_stamp, read_availability_csv, read_raw_feed
 from ..sources.sinks import merge_into_table, write_partitioned
 from ..streaming import ingest_files
 from ..functions import (
@@ -274,6 +274,56 @@ register("skills_mart", with_ctes("SELECT * FROM skills_mart ORDER BY opportunit
     lambda spark, sf: marts.skills_mart(_staged(spark, sf), AS_OF)
 )
 
+# ------------------------------------------- each score and band on its own key
+
+_HEAT_KEYS = marts.HEATMAP_KEYS
+_COMPANY_KEYS = ["company_name", "job_industries"]
+_SKILL_KEYS = marts.SKILL_KEYS
+_GEO_KEYS = marts.GEO_KEYS
+
+SCORE_KEYS = {
+    # key: (mart CTE / builder, group columns, score column)
+    "market_temperature": ("heatmap_v1", _HEAT_KEYS, "market_temperature"),
+    "competitiveness_score": ("heatmap_v1", _HEAT_KEYS, "competitiveness_score"),
+    "heatmap_opportunity_index": ("heatmap_v1", _HEAT_KEYS, "opportunity_index"),
+    "hiring_velocity_score": ("company_mart", _COMPANY_KEYS, "hiring_velocity_score"),
+    "hiring_stage": ("company_mart", _COMPANY_KEYS, "hiring_stage"),
+    "hiring_strategy": ("company_mart", _COMPANY_KEYS, "hiring_strategy"),
+    "complexity_score": ("company_mart", _COMPANY_KEYS, "complexity_score"),
+    "market_presence": ("company_mart", _COMPANY_KEYS, "market_presence"),
+    "demand_momentum_ratio": ("skills_mart", _SKILL_KEYS, "demand_momentum_ratio"),
+    "demand_level": ("skills_mart", _SKILL_KEYS, "demand_level"),
+    "market_trend": ("skills_mart", _SKILL_KEYS, "market_trend"),
+    "skills_opportunity_score": ("skills_mart", _SKILL_KEYS, "opportunity_score"),
+    "market_size": ("geo_mart", _GEO_KEYS, "market_size"),
+    "activity_level": ("geo_mart", _GEO_KEYS, "activity_level"),
+    "salary_tier": ("geo_mart", _GEO_KEYS, "salary_tier"),
+    "market_diversity_score": ("geo_mart", _GEO_KEYS, "market_diversity_score"),
+    "flexibility_ratio": ("geo_mart", _GEO_KEYS, "flexibility_ratio"),
+    "geo_opportunity_index": ("geo_mart", _GEO_KEYS, "opportunity_index"),
+}
+
+_MART_BUILDERS = {
+    "heatmap_v1": lambda staged: marts.heatmap(staged, AS_OF),
+    "company_mart": lambda staged: marts.company_mart(staged, AS_OF),
+    "skills_mart": lambda staged: marts.skills_mart(staged, AS_OF, sort=False),
+    "geo_mart": lambda staged: marts.geo_mart(staged, AS_OF, sort=False),
+}
+
+
+def _score_query(mart: str, keys: list[str], column: str) -> QueryFn:
+    def run(spark, sf):
+        return _MART_BUILDERS[mart](_staged(spark, sf)).select(*keys, column)
+
+    return run
+
+
+for _name, (_mart, _keys, _col) in SCORE_KEYS.items():
+    register(_name, with_ctes(f"SELECT {', '.join(_keys)}, {_col} FROM {_mart}", _mart))(
+        _score_query(_mart, list(_keys), _col)
+    )
+
+
 # ---------------------------------------------------------------- incremental
 
 WM_CUTOFF = "2000-01-01 00:00:00"
@@ -388,6 +438,70 @@ def q_stream_ingest(spark, sf):
     return spark.read.parquet(target).select(*schemas.CLEANED_COLUMNS)
 
 
+# ------------------------------------------------- incremental tiers (two loads)
+
+
+def _bronze_loaded(spark, sf, feed, load_date):
+    posts = fixtures.postings(spark, sf, AS_OF)
+    raw = fixtures.raw_feed_a(posts) if feed == "a" else fixtures.raw_feed_b(posts)
+    return bronze_stamp(raw, load_date, with_file_path=False)
+
+
+def _two_loads(df_for_load):
+    """Rows scraped before 1999 arrive on the first load date, the rest on the next."""
+    cut = F.lit(SPLIT_FIRST).cast("timestamp_ntz")
+    old = df_for_load(FIRST_LOAD)
+    new = df_for_load(AS_OF)
+    return old.where(F.col("scraped_dts" if "scraped_dts" in old.columns else "timestamp") < cut), new.where(
+        F.col("scraped_dts" if "scraped_dts" in new.columns else "timestamp") >= cut
+    )
+
+
+@register(
+    "incremental_clean",
+    with_ctes(f"""SELECT * FROM cleaned_a WHERE scraped_dts >= TIMESTAMP '{SPLIT_FIRST}'""", "cleaned_a"),
+)
+def q_incremental_clean(spark, sf):
+    """Bronze holds two loads; the cleaned target already has the first, so an
+    incremental run keeps only rows ingested after the target's latest."""
+    old_b, new_b = _two_loads(lambda d: _bronze_loaded(spark, sf, "a", d))
+    target = clean_feed(old_b, "a", FIRST_LOAD)
+    return clean_feed(old_b.unionByName(new_b), "a", AS_OF, target=target)
+
+
+@register(
+    "incremental_enrich",
+    with_ctes(f"""SELECT * FROM enriched WHERE scraped_dts >= TIMESTAMP '{SPLIT_FIRST}'""", "enriched"),
+)
+def q_incremental_enrich(spark, sf):
+    """Unified postings from two loads; the enriched target holds the first
+    load, enriched then.  Only postings ingested after that enrichment time
+    are enriched now (ingest time compared with enrichment time)."""
+    silver = pipeline.silver(spark, sf, AS_OF)
+    old_u, new_u = _two_loads(lambda d: _cleaned_loaded(spark, sf, d).select(*schemas.UNIFIED_COLUMNS))
+    target = enrich(old_u, silver.availability, silver.summaries, FIRST_LOAD)
+    return enrich(old_u.unionByName(new_u), silver.availability, silver.summaries, AS_OF, target=target)
+
+
+@register(
+    "bronze_lineage",
+    with_ctes(
+        f"""SELECT job_posting_id, "timestamp", ingest_dts, true AS has_source_file, {_o.PARTS_SQL} FROM bronze_a""",
+        "bronze_a",
+    ),
+)
+def q_bronze_lineage(spark, sf):
+    """Raw feed A files read back with their fixed schema and stamped with
+    load time, load-date parts and each row's source file."""
+    landing = work_path(spark, "raw-a")
+    fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF)).write.parquet(landing)
+    bronze = bronze_stamp(read_raw_feed(spark, landing, "a"), AS_OF)
+    return bronze.select(
+        "job_posting_id", "timestamp", "ingest_dts",
+        F.col("source_file").endswith(".parquet").alias("has_source_file"), "year", "month", "day",
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(SPARK)
 

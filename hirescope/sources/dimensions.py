@@ -70,6 +70,17 @@ CITY_SCHEMA = T.StructType(
 )
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
-    """The 37-row dimension; its size is fixed, so it is safe to broadcast."""
-    return spark.createDataFrame(CITIES, CITY_SCHEMA)
+    """The 37-row dimension as an inline relation (planned as a local
+    relation, no job to build it); its size is fixed, so it is safe to
+    broadcast."""
+    rows = ", ".join(
+        f"({_sql_text(c)}, {_sql_text(s)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE), {_sql_text(t)})"
+        for c, s, lat, lon, t in CITIES
+    )
+    names = ", ".join(f.name for f in CITY_SCHEMA.fields)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS cities({names})")

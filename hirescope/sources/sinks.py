@@ -54,14 +54,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _partition_dir(partitions: Sequence[str], values: Sequence) -> str:
+    return "/".join(
+        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partitions, values)
+    )
+
+
 def _delete_partition_dirs(spark: SparkSession, path: str, partitions: Sequence[str], values: list) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for row in values:
-        parts = "/".join(
-            f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partitions
-        )
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{parts}")
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_partition_dir(partitions, row)}")
         p.getFileSystem(conf).delete(p, True)
 
 
@@ -95,21 +98,27 @@ def merge_into_table(
     if not path_exists(spark, path):
         return write_partitioned(batch, path, partitions)
     target = spark.read.parquet(path)
-    batch = batch.select(*target.columns)
-    keys = batch.select(*key).alias("b")
-    match = F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
-    hit = target.alias("t").join(keys, match, "left_semi").select(*partitions)
-    # one row per touched load date: small, and needed after the target is replaced
-    touched_rows = hit.unionByName(batch.select(*partitions)).distinct().collect()
-    touched = spark.createDataFrame(touched_rows, target.select(*partitions).schema)
-    affected = target.join(touched, partitions, "left_semi")
-    kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
-    staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
-    kept.unionByName(batch).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
+    # the batch is read three times below; keep it for the merge only
+    batch = batch.select(*target.columns).persist()
+    try:
+        keys = batch.select(*key).alias("b")
+        match = F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
+        hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
+        tagged = hit.unionByName(batch.select(*partitions, F.lit(False).alias("_old"))).distinct().collect()
+        new_parts = {tuple(r[c] for c in partitions) for r in tagged if not r["_old"]}
+        touched = sorted({tuple(r[c] for c in partitions) for r in tagged}, key=repr)
+        # partitions that only lose rows may end up empty
+        shrinking = [p for p in touched if p not in new_parts]
+        touched_df = spark.createDataFrame(touched, target.select(*partitions).schema)
+        affected = target.join(touched_df, partitions, "left_semi")
+        kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
+        staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
+        kept.unionByName(batch).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
+    finally:
+        batch.unpersist()
     staged = spark.read.parquet(staging).select(*target.columns)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    written = {tuple(r) for r in staged.select(*partitions).distinct().collect()}
-    emptied = [r for r in touched_rows if tuple(r) not in written]
+    emptied = [p for p in shrinking if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
     if emptied:
         _delete_partition_dirs(spark, path, partitions, emptied)
     return path
