@@ -96,8 +96,10 @@ def merge_into_table(
     if order:
         batch = latest_per_key(batch, key, order)
     if not path_exists(spark, path):
-        return write_partitioned(batch, path, partitions)
+        return write_partitioned(batch, path, partitions) if partitions else write_table(batch, path)
     target = spark.read.parquet(path)
+    if not partitions:
+        return _merge_whole(spark, path, target, batch, key, staging_root)
     # the batch is read three times below; keep it for the merge only
     batch = batch.select(*target.columns).persist()
     try:
@@ -106,6 +108,8 @@ def merge_into_table(
         hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
         tagged = hit.unionByName(batch.select(*partitions, F.lit(False).alias("_old"))).distinct().collect()
         new_parts = {tuple(r[c] for c in partitions) for r in tagged if not r["_old"]}
+        if not new_parts:  # empty batch: nothing to merge
+            return path
         touched = sorted({tuple(r[c] for c in partitions) for r in tagged}, key=repr)
         # partitions that only lose rows may end up empty
         shrinking = [p for p in touched if p not in new_parts]
@@ -116,9 +120,26 @@ def merge_into_table(
         kept.unionByName(batch).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
     finally:
         batch.unpersist()
-    staged = spark.read.parquet(staging).select(*target.columns)
+    staged = spark.read.schema(target.schema).parquet(staging).select(*target.columns)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     emptied = [p for p in shrinking if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
     if emptied:
         _delete_partition_dirs(spark, path, partitions, emptied)
     return path
+
+
+def _merge_whole(spark, path, target, batch, key, staging_root):
+    """Unpartitioned table: the merged table goes to staging, then replaces the target."""
+    from ..operators.incremental import upsert
+    from ..session import work_path
+
+    batch = batch.select(*target.columns).persist()
+    try:
+        if batch.isEmpty():
+            return path
+        staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
+        upsert(target, batch, key).write.mode("overwrite").parquet(staging)
+    finally:
+        batch.unpersist()
+    spark.read.schema(target.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    return path
