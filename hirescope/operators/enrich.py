@@ -62,6 +62,7 @@ def enrich(
     summaries: DataFrame,
     as_of,
     target: DataFrame | None = None,
+    reprocess_on_change: bool = False,
 ) -> DataFrame:
     """Unified postings left-joined to availability, then to AI summaries.
 
@@ -69,12 +70,20 @@ def enrich(
     rows are already hash-partitioned on that key, so the second join does
     not shuffle the postings again.  Only rows not yet enriched are taken;
     an incremental run keeps postings ingested after the target's latest
-    enrichment time (no floor).
+    enrichment time (no floor).  That never revisits a posting whose
+    availability or summary arrives later; ``reprocess_on_change=True`` also
+    takes postings whose availability check or summary is newer than the
+    last enrichment.
     """
     ju = unified.where(F.col("is_enriched") == F.lit(False))
-    if target is not None:
+    hwm = None
+    if target is not None and not reprocess_on_change:
         ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None)
-    jia = availability.select("job_posting_id", F.col("is_active").alias("_avail_active"))
+    elif target is not None:
+        hwm = target.agg(F.max("enriched_dts")).scalar()
+    jia = availability.select(
+        "job_posting_id", F.col("is_active").alias("_avail_active"), F.col("validated_dts").alias("_validated")
+    )
     jas = summaries.select(
         "job_posting_id",
         F.col("job_seniority_level").alias("_ai_seniority"),
@@ -83,9 +92,12 @@ def enrich(
         F.col("max_salary").alias("_ai_max_salary"),
         "it_domains",
         "ai_summaries",
+        F.col("summarized_dts").alias("_summarized"),
     )
     types = {f.name: f.dataType for f in unified.schema.fields}
     j = ju.join(jia, "job_posting_id", "left").join(jas, "job_posting_id", "left")
+    if hwm is not None:
+        j = j.where((F.col("ingest_dts") > hwm) | (F.col("_validated") > hwm) | (F.col("_summarized") > hwm))
     return j.select(
         "url", "job_posting_id", "job_title", "company_name", "job_city", "job_state", "job_country",
         enriched_seniority(

@@ -32,3 +32,10 @@ def stage_active(enriched: DataFrame, as_of, target: DataFrame | None = None) ->
         now.alias("dbt_created_at"),
         now.alias("dbt_updated_at"),
     ).select(*schemas.STAGED_COLUMNS)
+
+
+def inactive_keys(enriched: DataFrame, target: DataFrame | None = None) -> DataFrame:
+    """Keys of postings in the batch that are no longer active (NULL counts
+    as inactive): the rows to remove from staging when that option is on."""
+    batch = since(enriched, target, "enriched_dts")
+    return batch.where(~F.coalesce(F.col("is_active"), F.lit(False))).select("job_posting_id")

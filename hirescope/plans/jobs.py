@@ -31,6 +31,7 @@ from ..operators import (
     stage_active,
     unify,
 )
+from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
 from ..sources.sinks import merge_into_table, path_exists, write_table
 
@@ -94,15 +95,29 @@ class Run:
         tier, _ = MODELS[name]
         return self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
 
-    def merge(self, name: str, batch: DataFrame, order: list[str] | None = None) -> None:
+    def merge(self, name: str, batch: DataFrame, order: list[str] | None = None, delete_keys=None) -> None:
         tier, spec = MODELS[name]
         path = self.layout.path(tier, name)
-        merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order)
+        merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
+                         delete_keys=delete_keys)
         self.written[name] = path
 
 
-def run(spark: SparkSession, raw: RawInputs, layout: Layout, as_of, marts: bool = True) -> dict[str, str]:
-    """Run every model once for load date ``as_of``; returns model -> path."""
+def run(
+    spark: SparkSession,
+    raw: RawInputs,
+    layout: Layout,
+    as_of,
+    marts: bool = True,
+    reprocess_on_change: bool = False,
+    remove_inactive: bool = False,
+) -> dict[str, str]:
+    """Run every model once for load date ``as_of``; returns model -> path.
+
+    The defaults keep the reference's behaviour; ``reprocess_on_change``
+    re-enriches postings whose availability or summary changed, and
+    ``remove_inactive`` deletes postings that turned inactive from staging.
+    """
     r = Run(spark, layout, as_of)
 
     # bronze: raw rows newer than the target's latest event time
@@ -124,11 +139,14 @@ def run(spark: SparkSession, raw: RawInputs, layout: Layout, as_of, marts: bool
     summaries = load_ai_summaries(read_ai_summaries(spark, raw.ai_summaries), target=r.existing("ai_summaries"))
     r.merge("ai_summaries", summaries, order=["summarized_dts"])
     enriched = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), as_of,
-                      target=r.existing("enriched"))
+                      target=r.existing("enriched"), reprocess_on_change=reprocess_on_change)
     r.merge("enriched", enriched, order=["ingest_dts"])
 
     # gold: staging (incremental), marts (full rebuild)
-    r.merge("staged", stage_active(r.table("enriched"), as_of, target=r.existing("staged")), order=["enriched_dts"])
+    staged_target = r.existing("staged")
+    gone = inactive_keys(r.table("enriched"), staged_target) if remove_inactive else None
+    r.merge("staged", stage_active(r.table("enriched"), as_of, target=staged_target), order=["enriched_dts"],
+            delete_keys=gone)
     if marts:
         staged = r.table("staged")
         for name, build in MARTS.items():

@@ -76,9 +76,11 @@ def merge_into_table(
     partitions: Sequence[str] = ("year", "month", "day"),
     order: Sequence[str] | None = None,
     staging_root: str | None = None,
+    delete_keys: DataFrame | None = None,
 ) -> str:
     """Upsert ``batch`` into a partitioned Parquet table at ``path``,
-    rewriting only the partitions the batch touches.
+    rewriting only the partitions the batch touches.  Rows whose key is in
+    ``delete_keys`` are removed as well.
 
     Touched partitions are those of the batch rows plus those holding a
     target row whose key the batch replaces (a key may move to a newer
@@ -99,16 +101,19 @@ def merge_into_table(
         return write_partitioned(batch, path, partitions) if partitions else write_table(batch, path)
     target = spark.read.parquet(path)
     if not partitions:
-        return _merge_whole(spark, path, target, batch, key, staging_root)
+        return _merge_whole(spark, path, target, batch, key, staging_root, delete_keys)
     # the batch is read three times below; keep it for the merge only
     batch = batch.select(*target.columns).persist()
     try:
-        keys = batch.select(*key).alias("b")
+        keys = batch.select(*key)
+        if delete_keys is not None:
+            keys = keys.unionByName(delete_keys.select(*key))
+        keys = keys.alias("b")
         match = F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
         hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
         tagged = hit.unionByName(batch.select(*partitions, F.lit(False).alias("_old"))).distinct().collect()
         new_parts = {tuple(r[c] for c in partitions) for r in tagged if not r["_old"]}
-        if not new_parts:  # empty batch: nothing to merge
+        if not tagged:  # nothing to insert, replace or delete
             return path
         touched = sorted({tuple(r[c] for c in partitions) for r in tagged}, key=repr)
         # partitions that only lose rows may end up empty
@@ -128,17 +133,22 @@ def merge_into_table(
     return path
 
 
-def _merge_whole(spark, path, target, batch, key, staging_root):
+def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None):
     """Unpartitioned table: the merged table goes to staging, then replaces the target."""
     from ..operators.incremental import upsert
     from ..session import work_path
 
     batch = batch.select(*target.columns).persist()
     try:
-        if batch.isEmpty():
+        if batch.isEmpty() and (delete_keys is None or delete_keys.isEmpty()):
             return path
         staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
-        upsert(target, batch, key).write.mode("overwrite").parquet(staging)
+        merged = upsert(target, batch, key)
+        if delete_keys is not None:
+            gone = delete_keys.select(*key).alias("d")
+            cond = F.expr(" AND ".join(f"m.`{k}` <=> d.`{k}`" for k in key))
+            merged = merged.alias("m").join(gone, cond, "left_anti").select(*target.columns)
+        merged.write.mode("overwrite").parquet(staging)
     finally:
         batch.unpersist()
     spark.read.schema(target.schema).parquet(staging).write.mode("overwrite").parquet(path)
