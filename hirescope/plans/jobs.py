@@ -12,6 +12,7 @@ merges the result by key.  Marts are rebuilt in full from the staged table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +104,18 @@ class Run:
         self.written[name] = path
 
 
+def _wave(threads: int, steps) -> None:
+    """Run independent models of one wave, as concurrent Spark jobs when
+    ``threads > 1`` (Spark schedules jobs from several threads at once)."""
+    if threads <= 1 or len(steps) == 1:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(steps))) as pool:
+        for f in [pool.submit(step) for step in steps]:
+            f.result()
+
+
 def run(
     spark: SparkSession,
     raw: RawInputs,
@@ -111,46 +124,70 @@ def run(
     marts: bool = True,
     reprocess_on_change: bool = False,
     remove_inactive: bool = False,
+    threads: int = 4,
 ) -> dict[str, str]:
     """Run every model once for load date ``as_of``; returns model -> path.
 
-    The defaults keep the reference's behaviour; ``reprocess_on_change``
-    re-enriches postings whose availability or summary changed, and
-    ``remove_inactive`` deletes postings that turned inactive from staging.
+    Models run in dependency waves; models inside a wave do not read each
+    other and run concurrently up to ``threads``.  The defaults keep the
+    reference's behaviour; ``reprocess_on_change`` re-enriches postings whose
+    availability or summary changed, and ``remove_inactive`` deletes postings
+    that turned inactive from staging.
     """
     r = Run(spark, layout, as_of)
 
-    # bronze: raw rows newer than the target's latest event time
-    for name, feed, src in (("bronze_a", "a", raw.feed_a), ("bronze_b", "b", raw.feed_b)):
+    def bronze(name, feed, src):
+        # raw rows newer than the target's latest event time
         batch = since(read_raw_feed(spark, src, feed), r.existing(name), "timestamp")
         r.merge(name, bronze_stamp(batch, as_of), order=["timestamp"])
 
-    # silver: cleaning, union, descriptions, side tables, enrichment
-    for name, feed in (("cleaned_a", "a"), ("cleaned_b", "b")):
-        src = r.table(f"bronze_{feed}").select(*schemas.RAW_FEED_A.names if feed == "a" else schemas.RAW_FEED_B.names,
-                                             "ingest_dts")
+    def cleaned(name, feed):
+        raw_cols = (schemas.RAW_FEED_A if feed == "a" else schemas.RAW_FEED_B).names
+        src = r.table(f"bronze_{feed}").select(*raw_cols, "ingest_dts")
         r.merge(name, clean_feed(src, feed, as_of, target=r.existing(name)), order=["ingest_dts", "scraped_dts"])
-    ca, cb = r.table("cleaned_a"), r.table("cleaned_b")
-    r.merge("unified", unify(cb, ca, target=r.existing("unified")), order=["ingest_dts", "scraped_dts"])
-    r.merge("descriptions", descriptions(cb, ca, target=r.existing("descriptions")), order=["scraped_dts"])
-    avail = load_availability(read_availability_csv(spark, raw.availability_csv), as_of,
-                              target=r.existing("availability"))
-    r.merge("availability", avail, order=["validated_dts"])
-    summaries = load_ai_summaries(read_ai_summaries(spark, raw.ai_summaries), target=r.existing("ai_summaries"))
-    r.merge("ai_summaries", summaries, order=["summarized_dts"])
-    enriched = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), as_of,
-                      target=r.existing("enriched"), reprocess_on_change=reprocess_on_change)
-    r.merge("enriched", enriched, order=["ingest_dts"])
-
-    # gold: staging (incremental), marts (full rebuild)
-    staged_target = r.existing("staged")
-    gone = inactive_keys(r.table("enriched"), staged_target) if remove_inactive else None
-    r.merge("staged", stage_active(r.table("enriched"), as_of, target=staged_target), order=["enriched_dts"],
-            delete_keys=gone)
-    if marts:
-        staged = r.table("staged")
-        for name, build in MARTS.items():
+
+    def availability():
+        batch = load_availability(read_availability_csv(spark, raw.availability_csv), as_of,
+                                  target=r.existing("availability"))
+        r.merge("availability", batch, order=["validated_dts"])
+
+    def summaries():
+        batch = load_ai_summaries(read_ai_summaries(spark, raw.ai_summaries), target=r.existing("ai_summaries"))
+        r.merge("ai_summaries", batch, order=["summarized_dts"])
+
+    def unified():
+        batch = unify(r.table("cleaned_b"), r.table("cleaned_a"), target=r.existing("unified"))
+        r.merge("unified", batch, order=["ingest_dts", "scraped_dts"])
+
+    def described():
+        batch = descriptions(r.table("cleaned_b"), r.table("cleaned_a"), target=r.existing("descriptions"))
+        r.merge("descriptions", batch, order=["scraped_dts"])
+
+    def enriched():
+        batch = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), as_of,
+                       target=r.existing("enriched"), reprocess_on_change=reprocess_on_change)
+        r.merge("enriched", batch, order=["ingest_dts"])
+
+    def staged():
+        target = r.existing("staged")
+        gone = inactive_keys(r.table("enriched"), target) if remove_inactive else None
+        r.merge("staged", stage_active(r.table("enriched"), as_of, target=target), order=["enriched_dts"],
+                delete_keys=gone)
+
+    def mart(name, build):
+        def step():
             path = layout.path("gold", name)
-            write_table(build(staged, as_of), path, layout.format)
+            write_table(build(r.table("staged"), as_of), path, layout.format)
             r.written[name] = path
+
+        return step
+
+    _wave(threads, [lambda: bronze("bronze_a", "a", raw.feed_a), lambda: bronze("bronze_b", "b", raw.feed_b),
+                    availability, summaries])
+    _wave(threads, [lambda: cleaned("cleaned_a", "a"), lambda: cleaned("cleaned_b", "b")])
+    _wave(threads, [unified, described])
+    _wave(threads, [enriched])
+    _wave(threads, [staged])
+    if marts:
+        _wave(threads, [mart(name, build) for name, build in MARTS.items()])
     return r.written

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
+    # local mode: the executors live in the driver JVM, so this is their heap
+    "spark.driver.memory": "16g",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
