@@ -6,7 +6,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMOKE
 
-SIDE_EFFECT_KEYS = {"partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest"}
+SIDE_EFFECT_KEYS = {
+    "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
+    "bronze_lineage", "pipeline_run", "pipeline_incremental",
+}
 
 
 def _plan(df):
@@ -20,6 +23,13 @@ def test_no_python_udf_in_plan(spark, name):
         assert node not in plan
 
 
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECT_KEYS))
+def test_no_cross_join_in_plan(spark, name):
+    """High-water marks are scalar subqueries; every join is an equi-join."""
+    plan = _plan(entry.queries()[name](spark, SF_SMOKE))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_geocode_broadcasts_city_dimension(spark):
     plan = _plan(entry.queries()["geocode"](spark, SF_SMOKE))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
