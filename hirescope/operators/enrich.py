@@ -81,8 +81,11 @@ def enrich(
         ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None)
     elif target is not None:
         hwm = target.agg(F.max("enriched_dts")).scalar()
+    change_cols = hwm is not None
     jia = availability.select(
-        "job_posting_id", F.col("is_active").alias("_avail_active"), F.col("validated_dts").alias("_validated")
+        "job_posting_id",
+        F.col("is_active").alias("_avail_active"),
+        *([F.col("validated_dts").alias("_validated")] if change_cols else []),
     )
     jas = summaries.select(
         "job_posting_id",
@@ -92,7 +95,7 @@ def enrich(
         F.col("max_salary").alias("_ai_max_salary"),
         "it_domains",
         "ai_summaries",
-        F.col("summarized_dts").alias("_summarized"),
+        *([F.col("summarized_dts").alias("_summarized")] if change_cols else []),
     )
     types = {f.name: f.dataType for f in unified.schema.fields}
     j = ju.join(jia, "job_posting_id", "left").join(jas, "job_posting_id", "left")
