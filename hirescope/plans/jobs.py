@@ -27,6 +27,7 @@ from ..operators import (
     heatmap,
     load_ai_summaries,
     load_availability,
+    latest_per_key,
     since,
     skills_mart,
     stage_active,
@@ -49,14 +50,25 @@ class RawInputs:
 
 @dataclass(frozen=True)
 class Layout:
-    """Table locations: ``<root>/<tier>/<table>``; the format is a parameter."""
+    """Where models live.
 
-    root: str
+    ``materialize="table"``: files at ``<root>/<tier>/<table>`` in ``format``,
+    maintained incrementally.  ``materialize="view"``: every model is a
+    session temp view named ``<view_prefix><model>`` (nothing written; each
+    read recomputes from the raw files), the dbt view materialisation.
+    """
+
+    root: str = ""
     format: str = "parquet"
+    materialize: str = "table"
+    view_prefix: str = "hs_"
 
     def path(self, tier: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
 
+    def view(self, name: str) -> str:
+        return f"{self.view_prefix}{name}"
+
 
 # model name -> (tier, table spec)
 MODELS = {
@@ -87,17 +99,31 @@ class Run:
     as_of: object
     written: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def as_views(self) -> bool:
+        return self.layout.materialize == "view"
+
     def existing(self, name: str) -> DataFrame | None:
+        if self.as_views:  # a view is always a full recompute
+            return None
         tier, _ = MODELS.get(name, ("gold", None))
         path = self.layout.path(tier, name)
         return self.spark.read.format(self.layout.format).load(path) if path_exists(self.spark, path) else None
 
     def table(self, name: str) -> DataFrame:
+        if self.as_views:
+            return self.spark.table(self.layout.view(name))
         tier, _ = MODELS[name]
         return self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
 
     def merge(self, name: str, batch: DataFrame, order: list[str] | None = None, delete_keys=None) -> None:
         tier, spec = MODELS[name]
+        if self.as_views:
+            if order:
+                batch = latest_per_key(batch, list(spec.key), order)
+            batch.createOrReplaceTempView(self.layout.view(name))
+            self.written[name] = self.layout.view(name)
+            return
         path = self.layout.path(tier, name)
         merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
                          delete_keys=delete_keys)
@@ -176,8 +202,13 @@ def run(
 
     def mart(name, build):
         def step():
+            out = build(r.table("staged"), as_of)
+            if r.as_views:
+                out.createOrReplaceTempView(layout.view(name))
+                r.written[name] = layout.view(name)
+                return
             path = layout.path("gold", name)
-            write_table(build(r.table("staged"), as_of), path, layout.format)
+            write_table(out, path, layout.format)
             r.written[name] = path
 
         return step

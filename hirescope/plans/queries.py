@@ -6,13 +6,13 @@ its work grows with them.  The SQL oracle for each key is in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from .. import schemas
 from ..operators import clean_feed, enrich, load_availability
 from ..session import work_path
@@ -40,6 +40,7 @@ from ..operators import (
 from ..operators import marts
 from ..sources import fixtures
 from . import jobs, pipeline
+from . import oracle as _o
 from .oracle import with_ctes
 
 AS_OF = fixtures.AS_OF
@@ -75,14 +76,11 @@ def _staged(spark, sf):
 # ------------------------------------------------------------------ cleaning
 
 
-@register("city_parse", with_ctes(
-    f"SELECT job_posting_id, job_location, {__import__('hirescope.plans.oracle', fromlist=['x']).CITY_SQL} AS job_city FROM postings",
-    "postings"))
-def q_city_parse(spark, sf):
-    return _posts(spark, sf).select("job_posting_id", "job_location", parse_city(F.col("job_location")).alias("job_city"))
-
-
-from . import oracle as _o  # noqa: E402  (SQL fragments)
+register("city_parse", with_ctes(f"SELECT job_posting_id, job_location, {_o.CITY_SQL} AS job_city FROM postings", "postings"))(
+    lambda spark, sf: _posts(spark, sf).select(
+        "job_posting_id", "job_location", parse_city(F.col("job_location")).alias("job_city")
+    )
+)
 
 register("state_parse", with_ctes(f"SELECT job_posting_id, job_location, {_o.STATE_SQL} AS job_state FROM postings", "postings"))(
     lambda spark, sf: _posts(spark, sf).select(
@@ -527,6 +525,16 @@ def q_pipeline_run(spark, sf):
     return spark.read.parquet(written["heatmap_v2"])
 
 
+@register("pipeline_views", with_ctes("SELECT * FROM heatmap_v2", "heatmap_v2"))
+def q_pipeline_views(spark, sf):
+    """The same job with every model materialised as a temp view: nothing is
+    written between models and the mart is read back by name."""
+    raw = _land(spark, sf, work_path(spark, "landing"))
+    layout = jobs.Layout(materialize="view", view_prefix=f"hs_{uuid.uuid4().hex[:8]}_")
+    written = jobs.run(spark, raw, layout, AS_OF)
+    return spark.table(written["heatmap_v2"])
+
+
 _TWO_LOAD_STAGED_SQL = with_ctes(
     f"""SELECT * REPLACE (
   CASE WHEN scraped_dts < TIMESTAMP '{SPLIT_FIRST}' THEN TIMESTAMP '{FIRST_LOAD} 00:00:00' ELSE ingest_dts END AS ingest_dts,
