@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_feed
 from ..sources.files import FEEDS, bronze_stamp
-from ..sources.sinks import merge_into_table
+from ..operators.incremental import since
+from ..sources.sinks import merge_into_table, path_exists
 
 
 def ingest_files(
@@ -31,15 +32,24 @@ def ingest_files(
     order: Sequence[str] = ("scraped_dts",),
     max_files_per_trigger: int | None = None,
     timeout_s: int | None = None,
+    drop_late: bool = False,
 ) -> str:
     """Process every not-yet-seen file under ``landing`` and stop
-    (``availableNow``).  Returns the target path."""
+    (``availableNow``).  Returns the target path.
+
+    ``drop_late=True`` is the reference's behaviour: rows whose event time
+    is not newer than the latest already loaded are dropped (a high-water
+    mark on ``timestamp``); by default every row of a new file is kept.
+    """
     reader = spark.readStream.schema(FEEDS[feed])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        if drop_late and path_exists(session, target):
+            batch = since(batch, session.read.parquet(target), "timestamp", "scraped_dts")
         stamped = bronze_stamp(batch, as_of, with_file_path=False)
         cleaned = clean_feed(stamped, feed, as_of)
         merge_into_table(batch.sparkSession, target, cleaned, key, order=order)

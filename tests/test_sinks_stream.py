@@ -66,3 +66,16 @@ def test_stream_ingest_only_new_files_and_late_rows(spark):
     ingest_files(spark, landing, "a", target, ckpt, fixtures.AS_OF)
     assert spark.read.parquet(target).count() == raw.count()
     assert spark.read.parquet(target).select("job_posting_id").distinct().count() == raw.count()
+
+
+def test_stream_ingest_parity_mode_drops_late_rows(spark):
+    posts = fixtures.postings(spark, "/root/testdata/sf0.001")
+    raw = fixtures.raw_feed_a(posts)
+    landing, target, ckpt = (work_path(spark, n) for n in ("t-land", "t-target", "t-ckpt"))
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    early = raw.where(F.col("timestamp") >= cut)
+    early.write.parquet(landing)
+    ingest_files(spark, landing, "a", target, ckpt, fixtures.AS_OF, drop_late=True)
+    raw.where(F.col("timestamp") < cut).write.mode("append").parquet(landing)
+    ingest_files(spark, landing, "a", target, ckpt, fixtures.AS_OF, drop_late=True)
+    assert spark.read.parquet(target).count() == early.count()
