@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import (
@@ -103,18 +104,21 @@ class Run:
     def as_views(self) -> bool:
         return self.layout.materialize == "view"
 
+    def _read(self, name: str) -> DataFrame:
+        tier, spec = MODELS[name]
+        df = self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
+        return df.drop(*[c for c, _ in spec.derived])
+
     def existing(self, name: str) -> DataFrame | None:
         if self.as_views:  # a view is always a full recompute
             return None
-        tier, _ = MODELS.get(name, ("gold", None))
-        path = self.layout.path(tier, name)
-        return self.spark.read.format(self.layout.format).load(path) if path_exists(self.spark, path) else None
+        tier, _ = MODELS[name]
+        return self._read(name) if path_exists(self.spark, self.layout.path(tier, name)) else None
 
     def table(self, name: str) -> DataFrame:
         if self.as_views:
             return self.spark.table(self.layout.view(name))
-        tier, _ = MODELS[name]
-        return self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
+        return self._read(name)
 
     def merge(self, name: str, batch: DataFrame, order: list[str] | None = None, delete_keys=None) -> None:
         tier, spec = MODELS[name]
@@ -125,6 +129,8 @@ class Run:
             self.written[name] = self.layout.view(name)
             return
         path = self.layout.path(tier, name)
+        if spec.derived:
+            batch = batch.withColumns({c: F.expr(e) for c, e in spec.derived})
         merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
                          delete_keys=delete_keys)
         self.written[name] = path

@@ -99,19 +99,31 @@ STAGED_COLUMNS = [
 
 @dataclass(frozen=True)
 class TableSpec:
-    """How a table is maintained: merge key, high-water mark, partitions, format."""
+    """How a table is maintained: merge key, high-water mark, partitions, format.
+
+    ``derived`` adds storage-only partition columns (name, SQL expression)
+    to tables whose shape has none, so merges can stay partition-limited;
+    they are dropped again when the table is read.
+    """
 
     key: tuple[str, ...] = ("job_posting_id",)
     watermark: str | None = None
     partitions: tuple[str, ...] = field(default_factory=tuple)
     format: str = "parquet"
+    derived: tuple[tuple[str, str], ...] = field(default_factory=tuple)
+
+
+def _by_day_of(column: str) -> dict:
+    """Partition by the day of a load-time column (one partition per load)."""
+    return {"partitions": ("load_date",), "derived": (("load_date", f"CAST(to_date({column}) AS STRING)"),)}
 
 
 BRONZE = TableSpec(watermark="timestamp", partitions=("year", "month", "day"))
 CLEANED = TableSpec(watermark="ingest_dts", partitions=("year", "month", "day"))
-UNIFIED = TableSpec(watermark="ingest_dts")
+UNIFIED = TableSpec(watermark="ingest_dts", **_by_day_of("ingest_dts"))
+# event-time columns would give one partition per scrape day: left unpartitioned
 DESCRIPTIONS = TableSpec(watermark="scraped_dts")
 AVAILABILITY = TableSpec(watermark="validated_dts", partitions=("year", "month", "day"))
 SUMMARIES = TableSpec(watermark="summarized_dts")
-ENRICHED = TableSpec(watermark="enriched_dts")
-STAGED = TableSpec(watermark="enriched_dts")
+ENRICHED = TableSpec(watermark="enriched_dts", **_by_day_of("enriched_dts"))
+STAGED = TableSpec(watermark="enriched_dts", **_by_day_of("enriched_dts"))
