@@ -9,13 +9,19 @@ from .. import schemas
 from .incremental import since
 
 
-def unify(cleaned_b: DataFrame, cleaned_a: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """``UNION ALL`` by name of 20 columns (feed B first).
+def unify(
+    cleaned_b: DataFrame,
+    cleaned_a: DataFrame,
+    target: DataFrame | None = None,
+    columns: list[str] = schemas.UNIFIED_COLUMNS,
+) -> DataFrame:
+    """``UNION ALL`` by name of 20 columns (feed B first);
+    ``columns=schemas.LEGACY_UNIFIED_COLUMNS`` gives the older 18-column union.
 
     Incremental runs keep rows with ``ingest_dts`` above the target's maximum
     with no floor: against an empty target nothing is loaded.
     """
-    u = cleaned_b.select(*schemas.UNIFIED_COLUMNS).unionByName(cleaned_a.select(*schemas.UNIFIED_COLUMNS))
+    u = cleaned_b.select(*columns).unionByName(cleaned_a.select(*columns))
     return since(u, target, "ingest_dts", floor=None)
 
 

@@ -14,11 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import clean_feed, enrich, load_availability
-from ..session import work_path
-from ..sources.files import bronze_stamp, read_availability_csv, read_raw_feed
-from ..sources.sinks import merge_into_table, write_partitioned
-from ..streaming import ingest_files
 from ..functions import (
     cloud_platform_focus,
     normalise_employment_type,
@@ -30,15 +25,23 @@ from ..functions import (
     tech_skill_category,
 )
 from ..operators import (
+    clean_feed,
     clean_feed_legacy,
     descriptions,
+    enrich,
     geocode,
     latest_per_key,
+    load_availability,
+    marts,
     since,
+    unify,
     upsert,
 )
-from ..operators import marts
+from ..session import work_path
 from ..sources import fixtures
+from ..sources.files import bronze_stamp, read_availability_csv, read_raw_feed
+from ..sources.sinks import merge_into_table, write_partitioned
+from ..streaming import ingest_files
 from . import jobs, pipeline
 from . import oracle as _o
 from .oracle import with_ctes
@@ -156,6 +159,32 @@ def q_clean_legacy(spark, sf):
     return clean_feed_legacy(a, "a", AS_OF)
 
 
+def _legacy_sql(src: str, min_s: str, max_s: str, posted: str, source: int) -> str:
+    return f"""SELECT url, job_posting_id, job_title, company_name, job_location, job_seniority_level,
+  job_function, job_employment_type, job_industries, {min_s} AS min_salary, {max_s} AS max_salary,
+  {posted} AS job_posted_date, "timestamp" AS scraped_dts, ingest_dts, _rescued_data,
+  0 AS is_enriched, {source} AS job_source, 1 AS is_active
+FROM {src}"""
+
+
+@register(
+    "unify_legacy",
+    with_ctes(
+        _legacy_sql("bronze_b", "base_salary.min_amount", "base_salary.max_amount", _o.POSTED_B_SQL, 1)
+        + "\nUNION ALL\n"
+        + _legacy_sql("bronze_a", "MIN_AMOUNT", "MAX_AMOUNT", _o.POSTED_A_SQL, 0),
+        "bronze_a",
+        "bronze_b",
+    ),
+)
+def q_unify_legacy(spark, sf):
+    """Older model tree: both feeds cleaned without location parsing, integer
+    flags, then unioned with the raw location kept."""
+    a, b = pipeline.bronze_feeds(spark, sf, AS_OF)
+    return unify(clean_feed_legacy(b, "b", AS_OF), clean_feed_legacy(a, "a", AS_OF),
+                 columns=schemas.LEGACY_UNIFIED_COLUMNS)
+
+
 # ------------------------------------------------------------ unify / enrich
 
 register("unify", with_ctes("SELECT * FROM unified", "unified"))(

@@ -88,6 +88,14 @@ UNIFIED_COLUMNS = [
     "ingest_dts", "_rescued_data", "is_enriched", "job_source", "is_active",
 ]
 
+# Older model tree: the union keeps the raw location and has no parsed parts.
+LEGACY_UNIFIED_COLUMNS = [
+    "url", "job_posting_id", "job_title", "company_name", "job_location", "job_seniority_level",
+    "job_function", "job_employment_type", "job_industries", "min_salary", "max_salary",
+    "job_posted_date", "scraped_dts", "ingest_dts", "_rescued_data", "is_enriched", "job_source",
+    "is_active",
+]
+
 STAGED_COLUMNS = [
     "job_posting_id", "job_url", "job_title", "company_name", "job_city", "job_state",
     "job_country", "job_seniority_level", "job_function", "job_posted_date",
