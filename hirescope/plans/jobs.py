@@ -56,7 +56,7 @@ class Layout:
     ``materialize="table"``: files at ``<root>/<tier>/<table>`` in ``format``,
     maintained incrementally.  ``materialize="view"``: every model is a
     session temp view named ``<view_prefix><model>`` (nothing written; each
-    read recomputes from the raw files), the dbt view materialisation.
+    read recomputes from the raw files), i.e. view materialisation.
     """
 
     root: str = ""
