@@ -47,6 +47,10 @@ from . import oracle as _o
 from .oracle import with_ctes
 
 AS_OF = fixtures.AS_OF
+# two-load scenarios: postings scraped before SPLIT_FIRST arrive on FIRST_LOAD
+FIRST_LOAD = dt.date(2001, 7, 31)
+SPLIT_FIRST = "1999-01-01 00:00:00"
+SPLIT_SECOND = "1998-01-01 00:00:00"
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 SPARK: dict[str, QueryFn] = {}
@@ -198,6 +202,29 @@ def q_descriptions(spark, sf):
     return descriptions(cb, ca)
 
 
+@register(
+    "descriptions_incremental",
+    with_ctes(
+        f"""SELECT job_posting_id, job_summary, scraped_dts FROM cleaned_b
+UNION ALL
+SELECT job_posting_id, job_summary, scraped_dts FROM cleaned_a
+WHERE scraped_dts > (SELECT COALESCE(max(scraped_dts), TIMESTAMP '1900-01-01 00:00:00') FROM (
+  SELECT scraped_dts FROM cleaned_b WHERE scraped_dts < TIMESTAMP '{SPLIT_FIRST}'
+  UNION ALL SELECT scraped_dts FROM cleaned_a WHERE scraped_dts < TIMESTAMP '{SPLIT_FIRST}'))""",
+        "cleaned_a",
+        "cleaned_b",
+    ),
+)
+def q_descriptions_incremental(spark, sf):
+    """Incremental descriptions against a target holding postings scraped
+    before 1999: the scrape-time filter binds to the feed A branch only, so
+    every feed B description is re-merged."""
+    ca, cb = pipeline.cleaned_feeds(spark, sf, AS_OF)
+    cut = F.lit(SPLIT_FIRST).cast("timestamp_ntz")
+    target = descriptions(cb.where(F.col("scraped_dts") < cut), ca.where(F.col("scraped_dts") < cut))
+    return descriptions(cb, ca, target=target)
+
+
 register("load_availability", with_ctes("SELECT * FROM availability", "availability"))(
     lambda spark, sf: pipeline.silver(spark, sf, AS_OF).availability
 )
@@ -278,6 +305,9 @@ register("geo_mart", with_ctes("SELECT * FROM geo_mart ORDER BY opportunity_inde
 
 # ---------------------------------------------------------------------- marts
 
+register("job_density", with_ctes("SELECT * FROM density_v1", "density_v1"))(
+    lambda spark, sf: marts.job_density(_staged(spark, sf), AS_OF)
+)
 register("heatmap_v1", with_ctes("SELECT * FROM heatmap_v1", "heatmap_v1"))(
     lambda spark, sf: marts.heatmap(_staged(spark, sf), AS_OF)
 )
@@ -404,9 +434,6 @@ def q_partitioned_rebuild(spark, sf):
     return spark.read.parquet(path).select(*schemas.CLEANED_COLUMNS)
 
 
-FIRST_LOAD = dt.date(2001, 7, 31)
-SPLIT_FIRST = "1999-01-01 00:00:00"
-SPLIT_SECOND = "1998-01-01 00:00:00"
 
 
 def _cleaned_loaded(spark, sf, load_date):
