@@ -54,9 +54,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Characters that partition folder names percent-escape.
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(32)}
+
+
+def _escape(value) -> str:
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
+
+
 def _partition_dir(partitions: Sequence[str], values: Sequence) -> str:
+    """Folder of one partition (int, string or date values), as Spark names it."""
     return "/".join(
-        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partitions, values)
+        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else _escape(v)}" for c, v in zip(partitions, values)
     )
 
 

@@ -79,3 +79,14 @@ def test_stream_ingest_parity_mode_drops_late_rows(spark):
     raw.where(F.col("timestamp") < cut).write.mode("append").parquet(landing)
     ingest_files(spark, landing, "a", target, ckpt, fixtures.AS_OF, drop_late=True)
     assert spark.read.parquet(target).count() == early.count()
+
+
+def test_merge_drops_emptied_partition_with_escaped_value(spark):
+    path = work_path(spark, "t-esc")
+    schema = "k string, v long, part string"
+    merge_into_table(spark, path, spark.createDataFrame([("a", 1, "x:1/2"), ("b", 1, "y")], schema), ["k"],
+                     partitions=("part",))
+    merge_into_table(spark, path, spark.createDataFrame([("a", 2, "y")], schema), ["k"], partitions=("part",))
+    rows = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "part").collect())
+    assert rows == [("a", 2, "y"), ("b", 1, "y")]
+    assert [d for d in os.listdir(path.replace("file:", "")) if not d.startswith(("_", "."))] == ["part=y"]
