@@ -37,6 +37,7 @@ from ..operators import (
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
 from ..sources.sinks import merge_into_table, path_exists, write_table
+from ..streaming import ingest_bronze
 
 
 @dataclass(frozen=True)
@@ -157,6 +158,7 @@ def run(
     reprocess_on_change: bool = False,
     remove_inactive: bool = False,
     threads: int = 4,
+    bronze_mode: str = "files",
 ) -> dict[str, str]:
     """Run every model once for load date ``as_of``; returns model -> path.
 
@@ -165,10 +167,22 @@ def run(
     reference's behaviour; ``reprocess_on_change`` re-enriches postings whose
     availability or summary changed, and ``remove_inactive`` deletes postings
     that turned inactive from staging.
+
+    ``bronze_mode="files"`` re-reads every raw file and keeps rows newer
+    than the bronze table's latest event time (the reference's method);
+    ``"stream"`` tracks processed files in a stream checkpoint next to the
+    table and reads only new files (late rows inside them are kept).
     """
     r = Run(spark, layout, as_of)
+    if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and r.as_views):
+        raise ValueError(f"unsupported bronze_mode {bronze_mode!r} for {layout.materialize} models")
 
     def bronze(name, feed, src):
+        if bronze_mode == "stream":
+            path = layout.path("bronze", name)
+            ingest_bronze(spark, src, feed, path, layout.path("_checkpoints", name), as_of)
+            r.written[name] = path
+            return
         # raw rows newer than the target's latest event time
         batch = since(read_raw_feed(spark, src, feed), r.existing(name), "timestamp")
         r.merge(name, bronze_stamp(batch, as_of), order=["timestamp"])

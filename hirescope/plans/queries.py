@@ -616,6 +616,20 @@ def q_pipeline_incremental(spark, sf):
     return spark.read.parquet(written["staged"]).select(*schemas.STAGED_COLUMNS)
 
 
+@register("pipeline_stream", _TWO_LOAD_STAGED_SQL)
+def q_pipeline_stream(spark, sf):
+    """The two-load job with bronze kept by a file stream: each run reads
+    only the raw files that arrived since the previous one."""
+    root = work_path(spark, "landing")
+    layout = jobs.Layout(work_path(spark, "warehouse"))
+    cut = F.lit(SPLIT_FIRST).cast("timestamp_ntz")
+    raw = _land(spark, sf, root, F.col("scraped_dts") < cut)
+    jobs.run(spark, raw, layout, FIRST_LOAD, marts=False, bronze_mode="stream")
+    _land(spark, sf, root, F.col("scraped_dts") >= cut, side_tables=False)
+    written = jobs.run(spark, raw, layout, AS_OF, marts=False, bronze_mode="stream")
+    return spark.read.parquet(written["staged"]).select(*schemas.STAGED_COLUMNS)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(SPARK)
 

@@ -1,5 +1,5 @@
 """Incremental file ingest with Structured Streaming."""
 
-from .ingest import ingest_files
+from .ingest import ingest_bronze, ingest_files, merge_files
 
-__all__ = ["ingest_files"]
+__all__ = ["ingest_bronze", "ingest_files", "merge_files"]

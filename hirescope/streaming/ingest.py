@@ -1,45 +1,46 @@
-"""Incremental ingest of raw feed files into a cleaned, partitioned table.
+"""Incremental ingest of raw feed files with Structured Streaming.
 
 Replaces the reference's scheduled "read everything newer than the target's
 high-water mark" loads: the file source's checkpoint remembers which files
 were processed, so a rerun reads only new files (late rows inside new files
-are kept, unlike an event-time filter).  Each micro-batch is stamped,
-cleaned and merged into the target with a partition-limited upsert, which
-is idempotent, so a replayed batch after a failure changes nothing.
+are kept, unlike an event-time filter).  Each micro-batch is transformed and
+merged into the target with a partition-limited upsert, which is
+idempotent, so a batch replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_feed
-from ..sources.files import FEEDS, bronze_stamp
 from ..operators.incremental import since
+from ..sources.files import FEEDS, bronze_stamp
 from ..sources.sinks import merge_into_table, path_exists
 
 
-def ingest_files(
+def merge_files(
     spark: SparkSession,
     landing: str,
     feed: str,
+    transform: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
-    as_of,
     key: Sequence[str] = ("job_posting_id",),
-    order: Sequence[str] = ("scraped_dts",),
+    order: Sequence[str] | None = None,
+    partitions: Sequence[str] = ("year", "month", "day"),
     max_files_per_trigger: int | None = None,
     timeout_s: int | None = None,
-    drop_late: bool = False,
+    late_filter: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> str:
-    """Process every not-yet-seen file under ``landing`` and stop
-    (``availableNow``).  Returns the target path.
+    """Run an ``availableNow`` stream over the raw files of ``feed`` under
+    ``landing``: each micro-batch (with its rows' source file) goes through
+    ``transform`` and is merged into the table at ``target``.
 
-    ``drop_late=True`` is the reference's behaviour: rows whose event time
-    is not newer than the latest already loaded are dropped (a high-water
-    mark on ``timestamp``); by default every row of a new file is kept.
+    ``late_filter(batch, current_target)`` may drop rows before the
+    transform (used for the reference's event-time high-water mark).
     """
     reader = spark.readStream.schema(FEEDS[feed])
     if max_files_per_trigger:
@@ -48,11 +49,9 @@ def ingest_files(
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        if drop_late and path_exists(session, target):
-            batch = since(batch, session.read.parquet(target), "timestamp", "scraped_dts")
-        stamped = bronze_stamp(batch, as_of, with_file_path=False)
-        cleaned = clean_feed(stamped, feed, as_of)
-        merge_into_table(batch.sparkSession, target, cleaned, key, order=order)
+        if late_filter is not None and path_exists(session, target):
+            batch = late_filter(batch, session.read.parquet(target))
+        merge_into_table(session, target, transform(batch), key, partitions, order=order)
 
     query = (
         raw.writeStream.foreachBatch(merge_batch)
@@ -64,3 +63,52 @@ def ingest_files(
     if query.exception() is not None:
         raise query.exception()
     return target
+
+
+def ingest_files(
+    spark: SparkSession,
+    landing: str,
+    feed: str,
+    target: str,
+    checkpoint: str,
+    as_of,
+    key: Sequence[str] = ("job_posting_id",),
+    order: Sequence[str] = ("scraped_dts",),
+    max_files_per_trigger: int | None = None,
+    timeout_s: int | None = None,
+    drop_late: bool = False,
+) -> str:
+    """Raw feed files straight into the cleaned table (stamp + clean + merge).
+
+    ``drop_late=True`` is the reference's behaviour: rows whose event time
+    is not newer than the latest already loaded are dropped (a high-water
+    mark on ``timestamp``); by default every row of a new file is kept.
+    """
+
+    def transform(batch: DataFrame) -> DataFrame:
+        return clean_feed(bronze_stamp(batch, as_of, with_file_path=False), feed, as_of)
+
+    late = (lambda batch, current: since(batch, current, "timestamp", "scraped_dts")) if drop_late else None
+    return merge_files(spark, landing, feed, transform, target, checkpoint, key, order,
+                       max_files_per_trigger=max_files_per_trigger, timeout_s=timeout_s, late_filter=late)
+
+
+def ingest_bronze(
+    spark: SparkSession,
+    landing: str,
+    feed: str,
+    target: str,
+    checkpoint: str,
+    as_of,
+    key: Sequence[str] = ("job_posting_id",),
+    drop_late: bool = False,
+) -> str:
+    """Raw feed files into the bronze table: raw columns, load stamps and the
+    source file of every row; only files not seen before are read."""
+
+    def transform(batch: DataFrame) -> DataFrame:
+        return bronze_stamp(batch, as_of, with_file_path=False)
+
+    late = (lambda batch, current: since(batch, current, "timestamp")) if drop_late else None
+    return merge_files(spark, landing, feed, transform, target, checkpoint, key, order=("timestamp",),
+                       late_filter=late)

@@ -8,7 +8,7 @@ from conftest import SF_SMOKE
 
 SIDE_EFFECT_KEYS = {
     "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
-    "bronze_lineage", "pipeline_run", "pipeline_incremental", "pipeline_views",
+    "bronze_lineage", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
 }
 
 
