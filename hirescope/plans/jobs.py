@@ -37,6 +37,7 @@ from ..operators import (
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
 from ..sources.sinks import merge_into_table, path_exists, write_table
+from ..session import size_shuffle_partitions
 from ..streaming import ingest_bronze
 
 
@@ -174,6 +175,10 @@ def run(
     table and reads only new files (late rows inside them are kept).
     """
     r = Run(spark, layout, as_of)
+    if not r.as_views:
+        # shuffles sized for the raw files plus the tables they are merged into
+        size_shuffle_partitions(spark, [raw.feed_a, raw.feed_b, raw.availability_csv, raw.ai_summaries,
+                                        layout.root])
     if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and r.as_views):
         raise ValueError(f"unsupported bronze_mode {bronze_mode!r} for {layout.materialize} models")
 

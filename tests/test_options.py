@@ -87,3 +87,17 @@ def test_job_remove_inactive(spark):
         jobs.run(spark, raw, layout, dt.date(2001, 8, 4), marts=False, remove_inactive=remove)
         kept = spark.read.parquet(written["staged"]).where(F.col("job_posting_id") == victim).count()
         assert (kept == 1) is expect_kept
+
+
+def test_shuffle_partitions_follow_input_size(spark):
+    from hirescope.session import INITIAL_PARTITIONS, size_shuffle_partitions
+
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert size_shuffle_partitions(spark, ["/root/testdata/sf0.001"]) == base  # small input: unchanged
+        assert spark.conf.get(INITIAL_PARTITIONS, None) in (None, "")
+        wanted = size_shuffle_partitions(spark, ["/root/testdata/sf0.1"], bytes_per_partition=1 << 20)
+        assert wanted > base and spark.conf.get(INITIAL_PARTITIONS) == str(wanted)
+        assert size_shuffle_partitions(spark, ["/root/testdata/sf0.001"]) == wanted  # a set value is kept
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
