@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m hirescope run ...`` or ``python -m hirescope run ...``.
+"""Command line: ``python -m hirescope run ...``, or on a cluster
+``spark-submit --py-files hirescope.zip scripts/run_job.py run ...``.
 
 Runs every model once for one load date, reading raw files and writing
 bronze, silver and gold tables under ``--warehouse``.  The session comes
