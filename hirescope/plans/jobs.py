@@ -36,7 +36,7 @@ from ..operators import (
 )
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
-from ..sources.sinks import merge_into_table, path_exists, write_table
+from ..sources.sinks import CatalogTable, merge_into_table, path_exists, write_table
 from ..session import size_shuffle_partitions
 from ..streaming import ingest_bronze
 
@@ -65,10 +65,17 @@ class Layout:
     format: str = "parquet"
     materialize: str = "table"
     view_prefix: str = "hs_"
+    # catalog database for the tables (None: path-only tables)
+    catalog: str | None = None
+    # >0: tables keyed by job_posting_id and joined on it are bucketed by it
+    buckets: int = 0
 
     def path(self, tier: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{tier}/{table}"
 
+    def table_name(self, name: str) -> str:
+        return f"{self.catalog}.{name}"
+
     def view(self, name: str) -> str:
         return f"{self.view_prefix}{name}"
 
@@ -86,6 +93,10 @@ MODELS = {
     "enriched": ("silver", schemas.ENRICHED),
     "staged": ("gold", schemas.STAGED),
 }
+# the enrichment joins these three on job_posting_id: bucketed alike, they
+# join without a shuffle
+BUCKETED = {"unified", "availability", "ai_summaries"}
+
 MARTS = {
     "heatmap": lambda staged, as_of: heatmap(staged, as_of),
     "heatmap_v2": lambda staged, as_of: heatmap(staged, as_of, standardise=True),
@@ -106,16 +117,29 @@ class Run:
     def as_views(self) -> bool:
         return self.layout.materialize == "view"
 
+    def catalog_table(self, name: str) -> CatalogTable | None:
+        if self.layout.catalog is None:
+            return None
+        buckets = self.layout.buckets if name in BUCKETED else 0
+        return CatalogTable(self.layout.table_name(name), buckets)
+
     def _read(self, name: str) -> DataFrame:
         tier, spec = MODELS[name]
-        df = self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
+        if self.layout.catalog is not None:
+            df = self.spark.table(self.layout.table_name(name))
+        else:
+            df = self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
         return df.drop(*[c for c, _ in spec.derived])
 
     def existing(self, name: str) -> DataFrame | None:
         if self.as_views:  # a view is always a full recompute
             return None
         tier, _ = MODELS[name]
-        return self._read(name) if path_exists(self.spark, self.layout.path(tier, name)) else None
+        if self.layout.catalog is not None:
+            found = self.spark.catalog.tableExists(self.layout.table_name(name))
+        else:
+            found = path_exists(self.spark, self.layout.path(tier, name))
+        return self._read(name) if found else None
 
     def table(self, name: str) -> DataFrame:
         if self.as_views:
@@ -134,7 +158,7 @@ class Run:
         if spec.derived:
             batch = batch.withColumns({c: F.expr(e) for c, e in spec.derived})
         merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
-                         delete_keys=delete_keys)
+                         delete_keys=delete_keys, table=self.catalog_table(name))
         self.written[name] = path
 
 
@@ -179,7 +203,10 @@ def run(
         # shuffles sized for the raw files plus the tables they are merged into
         size_shuffle_partitions(spark, [raw.feed_a, raw.feed_b, raw.availability_csv, raw.ai_summaries,
                                         layout.root])
-    if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and r.as_views):
+    if layout.catalog is not None:
+        # tables carry their own paths; the database folder sits beside them
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.catalog} LOCATION '{layout.path('_catalog', layout.catalog)}'")
+    if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and (r.as_views or layout.catalog)):
         raise ValueError(f"unsupported bronze_mode {bronze_mode!r} for {layout.materialize} models")
 
     def bronze(name, feed, src):

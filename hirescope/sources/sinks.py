@@ -77,6 +77,35 @@ def _delete_partition_dirs(spark: SparkSession, path: str, partitions: Sequence[
         p.getFileSystem(conf).delete(p, True)
 
 
+class CatalogTable:
+    """A catalog table stored at a known path, optionally bucketed by its key.
+
+    Tables bucketed by the same key into the same number of buckets join on
+    that key without a shuffle.  The catalog (e.g. a metastore) keeps the
+    bucket layout; rows are written with ``saveAsTable`` / ``insertInto``.
+    """
+
+    def __init__(self, name: str, buckets: int = 0):
+        self.name = name
+        self.buckets = buckets
+
+    def exists(self, spark: SparkSession) -> bool:
+        return spark.catalog.tableExists(self.name)
+
+    def create(self, df: DataFrame, path: str, partitions: Sequence[str], key: Sequence[str]) -> None:
+        writer = df.write.format("parquet").option("path", path).mode("overwrite")
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        if self.buckets:
+            writer = writer.bucketBy(self.buckets, *key).sortBy(*key)
+        writer.saveAsTable(self.name)
+
+    def replace(self, spark: SparkSession, df: DataFrame) -> None:
+        """Overwrite the partitions present in ``df`` (all of an unpartitioned table)."""
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        df.write.insertInto(self.name, overwrite=True)
+
+
 def merge_into_table(
     spark: SparkSession,
     path: str,
@@ -86,10 +115,13 @@ def merge_into_table(
     order: Sequence[str] | None = None,
     staging_root: str | None = None,
     delete_keys: DataFrame | None = None,
+    table: CatalogTable | None = None,
 ) -> str:
     """Upsert ``batch`` into a partitioned Parquet table at ``path``,
     rewriting only the partitions the batch touches.  Rows whose key is in
-    ``delete_keys`` are removed as well.
+    ``delete_keys`` are removed as well.  With ``table`` the data lives in a
+    catalog table at ``path`` (bucketed by ``key`` if asked) and is read and
+    written through the catalog.
 
     Touched partitions are those of the batch rows plus those holding a
     target row whose key the batch replaces (a key may move to a newer
@@ -106,11 +138,14 @@ def merge_into_table(
     key, partitions = list(key), list(partitions)
     if order:
         batch = latest_per_key(batch, key, order)
-    if not path_exists(spark, path):
+    if table is not None and not table.exists(spark):
+        table.create(batch, path, partitions, key)
+        return path
+    if table is None and not path_exists(spark, path):
         return write_partitioned(batch, path, partitions) if partitions else write_table(batch, path)
-    target = spark.read.parquet(path)
+    target = spark.table(table.name) if table is not None else spark.read.parquet(path)
     if not partitions:
-        return _merge_whole(spark, path, target, batch, key, staging_root, delete_keys)
+        return _merge_whole(spark, path, target, batch, key, staging_root, delete_keys, table)
     # the batch is read three times below; keep it for the merge only
     batch = batch.select(*target.columns).persist()
     try:
@@ -135,14 +170,17 @@ def merge_into_table(
     finally:
         batch.unpersist()
     staged = spark.read.schema(target.schema).parquet(staging).select(*target.columns)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    if table is not None:
+        table.replace(spark, staged)
+    else:
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     emptied = [p for p in shrinking if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
     if emptied:
         _delete_partition_dirs(spark, path, partitions, emptied)
     return path
 
 
-def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None):
+def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None, table=None):
     """Unpartitioned table: the merged table goes to staging, then replaces the target."""
     from ..operators.incremental import upsert
     from ..session import work_path
@@ -160,5 +198,9 @@ def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None
         merged.write.mode("overwrite").parquet(staging)
     finally:
         batch.unpersist()
-    spark.read.schema(target.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    staged = spark.read.schema(target.schema).parquet(staging)
+    if table is not None:
+        table.replace(spark, staged)
+    else:
+        staged.write.mode("overwrite").parquet(path)
     return path

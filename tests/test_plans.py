@@ -9,6 +9,7 @@ from conftest import SF_SMOKE
 SIDE_EFFECT_KEYS = {
     "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
     "bronze_lineage", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
+    "pipeline_bucketed",
 }
 
 
@@ -45,3 +46,25 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "market_temperature" in df.columns
+
+
+def test_bucketed_enrichment_inputs_join_without_shuffle(spark):
+    import datetime as dt
+
+    from hirescope.operators import enrich
+    from hirescope.plans import jobs
+    from hirescope.plans import queries as q
+    from hirescope.session import work_path
+
+    raw = q._land(spark, SF_SMOKE, work_path(spark, "t-landing"))
+    layout = jobs.Layout(work_path(spark, "t-warehouse"), catalog="hs_plan_test", buckets=4)
+    jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False)
+    r = jobs.Run(spark, layout, dt.date(2001, 8, 1))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too big to broadcast
+    try:
+        df = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), dt.date(2001, 8, 1))
+        plan = _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
