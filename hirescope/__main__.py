@@ -29,6 +29,8 @@ def main(argv=None) -> None:
     run.add_argument("--as-of", default=str(dt.date.today()), help="load date, yyyy-MM-dd")
     run.add_argument("--format", default="parquet")
     run.add_argument("--views", action="store_true", help="models as temp views (nothing written)")
+    run.add_argument("--catalog", help="catalog database for the tables (default: path-only tables)")
+    run.add_argument("--buckets", type=int, default=0, help="bucket the enrichment inputs by posting id")
     run.add_argument("--no-marts", action="store_true")
     run.add_argument("--threads", type=int, default=4)
     run.add_argument("--bronze-mode", choices=["files", "stream"], default="files")
@@ -38,7 +40,8 @@ def main(argv=None) -> None:
 
     spark = SparkSession.builder.appName("hirescope").getOrCreate()
     raw = jobs.RawInputs(args.feed_a, args.feed_b, args.availability, args.summaries)
-    layout = jobs.Layout(args.warehouse, args.format, "view" if args.views else "table")
+    layout = jobs.Layout(args.warehouse, args.format, "view" if args.views else "table",
+                         catalog=args.catalog, buckets=args.buckets)
     written = jobs.run(
         spark,
         raw,
