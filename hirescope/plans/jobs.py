@@ -156,7 +156,7 @@ class Run:
             return
         path = self.layout.path(tier, name)
         if spec.derived:
-            batch = batch.withColumns({c: F.expr(e) for c, e in spec.derived})
+            batch = batch.withColumns({c: F.expr(e.format(as_of=str(self.as_of)[:10])) for c, e in spec.derived})
         merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
                          delete_keys=delete_keys, table=self.catalog_table(name))
         self.written[name] = path

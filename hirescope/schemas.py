@@ -109,9 +109,10 @@ STAGED_COLUMNS = [
 class TableSpec:
     """How a table is maintained: merge key, high-water mark, partitions, format.
 
-    ``derived`` adds storage-only partition columns (name, SQL expression)
-    to tables whose shape has none, so merges can stay partition-limited;
-    they are dropped again when the table is read.
+    ``derived`` adds storage-only partition columns (name, SQL expression;
+    ``{as_of}`` is replaced by the run's load date) to tables whose shape has
+    none, so merges can stay partition-limited; they are dropped again when
+    the table is read.
     """
 
     key: tuple[str, ...] = ("job_posting_id",)
@@ -129,9 +130,14 @@ def _by_day_of(column: str) -> dict:
 BRONZE = TableSpec(watermark="timestamp", partitions=("year", "month", "day"))
 CLEANED = TableSpec(watermark="ingest_dts", partitions=("year", "month", "day"))
 UNIFIED = TableSpec(watermark="ingest_dts", **_by_day_of("ingest_dts"))
-# event-time columns would give one partition per scrape day: left unpartitioned
-DESCRIPTIONS = TableSpec(watermark="scraped_dts")
+def _by_load() -> dict:
+    """Partition by the run's load date (for tables whose only time column is
+    an event time, which would give one partition per event day)."""
+    return {"partitions": ("load_date",), "derived": (("load_date", "'{as_of}'"),)}
+
+
+DESCRIPTIONS = TableSpec(watermark="scraped_dts", **_by_load())
 AVAILABILITY = TableSpec(watermark="validated_dts", partitions=("year", "month", "day"))
-SUMMARIES = TableSpec(watermark="summarized_dts")
+SUMMARIES = TableSpec(watermark="summarized_dts", **_by_load())
 ENRICHED = TableSpec(watermark="enriched_dts", **_by_day_of("enriched_dts"))
 STAGED = TableSpec(watermark="enriched_dts", **_by_day_of("enriched_dts"))
