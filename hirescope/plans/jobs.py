@@ -200,9 +200,10 @@ def run(
     """
     r = Run(spark, layout, as_of)
     if not r.as_views:
-        # shuffles sized for the raw files plus the tables they are merged into
-        size_shuffle_partitions(spark, [raw.feed_a, raw.feed_b, raw.availability_csv, raw.ai_summaries,
-                                        layout.root])
+        # shuffles sized for the raw inputs (the big shuffles carry new data;
+        # merged tables are only probed by key); listing the whole warehouse
+        # would be a full object listing on object stores
+        size_shuffle_partitions(spark, [raw.feed_a, raw.feed_b, raw.availability_csv, raw.ai_summaries])
     if layout.catalog is not None:
         # tables carry their own paths; the database folder sits beside them
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.catalog} LOCATION '{layout.path('_catalog', layout.catalog)}'")
