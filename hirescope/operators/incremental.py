@@ -62,8 +62,10 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*key).agg(F.max(packed).alias("_row")).select(*key, "_row.*").select(*df.columns)
 
 
-def _key_match(key: Sequence[str]) -> Column:
-    return F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
+def key_match(key: Sequence[str], left: str = "t", right: str = "b") -> Column:
+    """Null-safe equality of ``key`` between two aliased sides (planned as an
+    equi-join on hashed keys, not a nested loop)."""
+    return F.expr(" AND ".join(f"{left}.`{k}` <=> {right}.`{k}`" for k in key))
 
 
 def upsert(
@@ -86,5 +88,5 @@ def upsert(
         batch = latest_per_key(batch, key, order)
     batch = batch.select(*target.columns)
     keys = batch.select(*key).alias("b")
-    kept = target.alias("t").join(keys, _key_match(key), "left_anti")
+    kept = target.alias("t").join(keys, key_match(key), "left_anti")
     return kept.select(*target.columns).unionByName(batch)

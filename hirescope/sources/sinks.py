@@ -132,7 +132,7 @@ def merge_into_table(
     removed.  Re-running the same batch gives the same table.  Only the list
     of touched partition values (one row per load date) reaches the driver.
     """
-    from ..operators.incremental import latest_per_key
+    from ..operators.incremental import key_match, latest_per_key
     from ..session import work_path
 
     key, partitions = list(key), list(partitions)
@@ -153,7 +153,7 @@ def merge_into_table(
         if delete_keys is not None:
             keys = keys.unionByName(delete_keys.select(*key))
         keys = keys.alias("b")
-        match = F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in key))
+        match = key_match(key)
         hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
         tagged = hit.unionByName(batch.select(*partitions, F.lit(False).alias("_old"))).distinct().collect()
         new_parts = {tuple(r[c] for c in partitions) for r in tagged if not r["_old"]}
@@ -182,7 +182,7 @@ def merge_into_table(
 
 def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None, table=None):
     """Unpartitioned table: the merged table goes to staging, then replaces the target."""
-    from ..operators.incremental import upsert
+    from ..operators.incremental import key_match, upsert
     from ..session import work_path
 
     batch = batch.select(*target.columns).persist()
@@ -193,8 +193,7 @@ def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None
         merged = upsert(target, batch, key)
         if delete_keys is not None:
             gone = delete_keys.select(*key).alias("d")
-            cond = F.expr(" AND ".join(f"m.`{k}` <=> d.`{k}`" for k in key))
-            merged = merged.alias("m").join(gone, cond, "left_anti").select(*target.columns)
+            merged = merged.alias("m").join(gone, key_match(key, "m", "d"), "left_anti").select(*target.columns)
         merged.write.mode("overwrite").parquet(staging)
     finally:
         batch.unpersist()
