@@ -36,6 +36,7 @@ def main(argv=None) -> None:
     run.add_argument("--bronze-mode", choices=["files", "stream"], default="files")
     run.add_argument("--reprocess-on-change", action="store_true")
     run.add_argument("--remove-inactive", action="store_true")
+    run.add_argument("--employment-mode", choices=["reference", "fixed"], default="reference")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("hirescope").getOrCreate()
@@ -52,6 +53,7 @@ def main(argv=None) -> None:
         remove_inactive=args.remove_inactive,
         threads=args.threads,
         bronze_mode=args.bronze_mode,
+        employment_mode=args.employment_mode,
     )
     print(json.dumps(written, indent=2, sort_keys=True))
 

@@ -184,6 +184,7 @@ def run(
     remove_inactive: bool = False,
     threads: int = 4,
     bronze_mode: str = "files",
+    employment_mode: str = "reference",
 ) -> dict[str, str]:
     """Run every model once for load date ``as_of``; returns model -> path.
 
@@ -193,6 +194,9 @@ def run(
     availability or summary changed, and ``remove_inactive`` deletes postings
     that turned inactive from staging.
 
+    ``employment_mode="fixed"`` lower-cases feed A's employment type before
+    matching the enum (the reference strips capitals first).
+
     ``bronze_mode="files"`` re-reads every raw file and keeps rows newer
     than the bronze table's latest event time (the reference's method);
     ``"stream"`` tracks processed files in a stream checkpoint next to the
@@ -223,7 +227,8 @@ def run(
     def cleaned(name, feed):
         raw_cols = (schemas.RAW_FEED_A if feed == "a" else schemas.RAW_FEED_B).names
         src = r.table(f"bronze_{feed}").select(*raw_cols, "ingest_dts")
-        r.merge(name, clean_feed(src, feed, as_of, target=r.existing(name)), order=["ingest_dts", "scraped_dts"])
+        cleaned_rows = clean_feed(src, feed, as_of, target=r.existing(name), employment_mode=employment_mode)
+        r.merge(name, cleaned_rows, order=["ingest_dts", "scraped_dts"])
 
     def availability():
         batch = load_availability(read_availability_csv(spark, raw.availability_csv), as_of,

@@ -121,6 +121,30 @@ def q_employment_type(spark, sf):
     )
 
 
+_FIXED_SQL = _o.EMPLOYMENT_SQL.replace(
+    "lower(regexp_replace(job_employment_type, '[^a-z]', '', 'g'))",
+    "regexp_replace(lower(job_employment_type), '[^a-z]', '', 'g')",
+)
+
+
+@register(
+    "employment_type_fixed",
+    with_ctes(
+        f"SELECT job_posting_id, job_employment_type AS raw_employment_type, {_FIXED_SQL} AS job_employment_type "
+        "FROM bronze_a",
+        "bronze_a",
+    ),
+)
+def q_employment_type_fixed(spark, sf):
+    """The opt-in fix: lower-case first, so 'Full-time' maps to FULL_TIME."""
+    a, _ = pipeline.bronze_feeds(spark, sf, AS_OF)
+    return a.select(
+        "job_posting_id",
+        F.col("job_employment_type").alias("raw_employment_type"),
+        normalise_employment_type(F.col("job_employment_type"), mode="fixed").alias("job_employment_type"),
+    )
+
+
 _BOTH = "SELECT {cols} FROM cleaned_b UNION ALL SELECT {cols} FROM cleaned_a"
 
 
