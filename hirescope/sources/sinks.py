@@ -152,6 +152,8 @@ def merge_into_table(
         keys = batch.select(*key)
         if delete_keys is not None:
             keys = keys.unionByName(delete_keys.select(*key))
+        if delete_keys is not None or not order:  # repeated keys collapse map-side
+            keys = keys.dropDuplicates()
         keys = keys.alias("b")
         match = key_match(key)
         hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
