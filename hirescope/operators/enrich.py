@@ -74,6 +74,10 @@ def enrich(
     availability or summary arrives later; ``reprocess_on_change=True`` also
     takes postings whose availability check or summary is newer than the
     last enrichment.
+
+    ``availability`` and ``summaries`` hold one row per posting (as the
+    merged side tables do; ``latest_per_key`` gives that for raw input),
+    otherwise a posting would be repeated once per match.
     """
     ju = unified.where(F.col("is_enriched") == F.lit(False))
     hwm = None
