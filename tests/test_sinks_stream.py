@@ -90,3 +90,29 @@ def test_merge_drops_emptied_partition_with_escaped_value(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "part").collect())
     assert rows == [("a", 2, "y"), ("b", 1, "y")]
     assert [d for d in os.listdir(path.replace("file:", "")) if not d.startswith(("_", "."))] == ["part=y"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ROW = st.tuples(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(1, 3))  # key, partition
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(_ROW, min_size=1, max_size=6), min_size=2, max_size=3))
+def test_merge_sequence_equals_latest_of_all(spark, batches):
+    from hirescope.operators import latest_per_key
+
+    schema = "k string, v long, p int"
+    path = work_path(spark, "t-prop")
+    version, everything = 0, []
+    for rows in batches:
+        batch = []
+        for k, p in rows:
+            version += 1
+            batch.append((k, version, p))
+        everything += batch
+        merge_into_table(spark, path, spark.createDataFrame(batch, schema), ["k"], partitions=("p",), order=["v"])
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "p").collect())
+    want = sorted(tuple(r) for r in latest_per_key(spark.createDataFrame(everything, schema), ["k"], ["v"]).collect())
+    assert got == want
