@@ -37,6 +37,7 @@ def main(argv=None) -> None:
     run.add_argument("--reprocess-on-change", action="store_true")
     run.add_argument("--remove-inactive", action="store_true")
     run.add_argument("--employment-mode", choices=["reference", "fixed"], default="reference")
+    run.add_argument("--rescue", action="store_true", help="keep values that do not fit the raw schema")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("hirescope").getOrCreate()
@@ -54,6 +55,7 @@ def main(argv=None) -> None:
         threads=args.threads,
         bronze_mode=args.bronze_mode,
         employment_mode=args.employment_mode,
+        rescue=args.rescue,
     )
     print(json.dumps(written, indent=2, sort_keys=True))
 

@@ -185,6 +185,7 @@ def run(
     threads: int = 4,
     bronze_mode: str = "files",
     employment_mode: str = "reference",
+    rescue: bool = False,
 ) -> dict[str, str]:
     """Run every model once for load date ``as_of``; returns model -> path.
 
@@ -194,6 +195,9 @@ def run(
     availability or summary changed, and ``remove_inactive`` deletes postings
     that turned inactive from staging.
 
+    ``rescue=True`` reads raw feed files whose schema drifted: values that
+    do not fit the fixed schema are kept in ``_rescued_data``.
+
     ``employment_mode="fixed"`` lower-cases feed A's employment type before
     matching the enum (the reference strips capitals first).
 
@@ -221,7 +225,7 @@ def run(
             r.written[name] = path
             return
         # raw rows newer than the target's latest event time
-        batch = since(read_raw_feed(spark, src, feed), r.existing(name), "timestamp")
+        batch = since(read_raw_feed(spark, src, feed, rescue=rescue), r.existing(name), "timestamp")
         r.merge(name, bronze_stamp(batch, as_of), order=["timestamp"])
 
     def cleaned(name, feed):

@@ -30,13 +30,49 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
-def read_raw_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
+def read_raw_feed(spark: SparkSession, path: str, feed: str, rescue: bool = False) -> DataFrame:
     """Parquet directory scan of one raw feed with its fixed schema.
 
     ``_rescued_data`` is part of the schema; for Parquet it stays NULL
-    unless the producer filled it.
+    unless the producer filled it.  With ``rescue=True`` the files' own
+    (footer) schema is read and fitted to the fixed one: a column of another
+    type is converted with ``try_cast``, and every value that does not
+    convert, plus every column the schema does not know, is kept as JSON in
+    ``_rescued_data`` (``{"column": "value", ...}``) instead of failing the
+    load or being dropped.
     """
-    return spark.read.schema(FEEDS[feed]).parquet(path)
+    schema = FEEDS[feed]
+    if not rescue:
+        return spark.read.schema(schema).parquet(path)
+    raw = spark.read.parquet(path)
+    have = {f.name: f.dataType for f in raw.schema.fields}
+    cols, rescued = [], []
+    for field in schema.fields:
+        if field.name == "_rescued_data":
+            continue
+        if field.name not in have:
+            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+        elif have[field.name] == field.dataType:
+            cols.append(F.col(field.name))
+        else:
+            src = F.col(field.name)
+            fitted = src.try_cast(field.dataType)
+            cols.append(fitted.alias(field.name))
+            rescued += [F.lit(field.name), F.when(src.isNotNull() & fitted.isNull(), _as_text(src, have[field.name]))]
+    for name, dtype in have.items():
+        if name not in schema.names:
+            rescued += [F.lit(name), _as_text(F.col(name), dtype)]
+    found = F.map_filter(F.create_map(*rescued), lambda k, v: v.isNotNull()) if rescued else None
+    new = F.when(F.size(found) > 0, F.to_json(found)) if found is not None else F.lit(None).cast("string")
+    old = F.col("_rescued_data") if "_rescued_data" in have else F.lit(None).cast("string")
+    return raw.select(*cols, F.coalesce(old, new).alias("_rescued_data"))
+
+
+def _as_text(col: Column, dtype) -> Column:
+    from pyspark.sql import types as T
+
+    complex_type = isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+    return F.to_json(col) if complex_type else col.cast("string")
 
 
 def read_availability_csv(spark: SparkSession, path: str) -> DataFrame:

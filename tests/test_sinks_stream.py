@@ -116,3 +116,21 @@ def test_merge_sequence_equals_latest_of_all(spark, batches):
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "p").collect())
     want = sorted(tuple(r) for r in latest_per_key(spark.createDataFrame(everything, schema), ["k"], ["v"]).collect())
     assert got == want
+
+
+def test_rescue_keeps_values_that_do_not_fit(spark):
+    import json
+
+    from hirescope.sources import read_raw_feed
+
+    path = work_path(spark, "t-rescue")
+    drifted = spark.createDataFrame(
+        [("1", "12.5", "extra-1", "2001-07-01"), ("2", "n/a", None, "2001-07-02")],
+        "job_posting_id string, MIN_AMOUNT string, new_col string, job_posted_date string",
+    )
+    drifted.write.parquet(path)
+    rows = {r.job_posting_id: r for r in read_raw_feed(spark, path, "a", rescue=True).collect()}
+    assert rows["1"].MIN_AMOUNT == 12.5 and rows["1"].MAX_AMOUNT is None
+    assert json.loads(rows["1"]._rescued_data) == {"new_col": "extra-1"}
+    assert rows["2"].MIN_AMOUNT is None and json.loads(rows["2"]._rescued_data) == {"MIN_AMOUNT": "n/a"}
+    assert read_raw_feed(spark, path, "a", rescue=True).columns == read_raw_feed(spark, path, "a").columns
