@@ -123,14 +123,16 @@ def merge_into_table(
     catalog table at ``path`` (bucketed by ``key`` if asked) and is read and
     written through the catalog.
 
-    Touched partitions are those of the batch rows plus those holding a
-    target row whose key the batch replaces (a key may move to a newer
-    load-date partition).  Their new content (surviving rows + batch rows) is
+    Touched partitions are those holding a target row whose key the batch
+    replaces or deletes (a key may move to a newer load-date partition).
+    Their new content (surviving rows + batch rows that belong there) is
     written to a staging folder first, so the target is never overwritten
-    while it is being read; then only those partitions are replaced
-    (dynamic partition overwrite).  A touched partition left without rows is
-    removed.  Re-running the same batch gives the same table.  Only the list
-    of touched partition values (one row per load date) reaches the driver.
+    while it is being read; then only those partitions are replaced (dynamic
+    partition overwrite), and a touched partition left without rows is
+    removed.  The remaining batch rows are appended, so an append-only batch
+    (e.g. a streaming micro-batch of new postings) rewrites nothing.
+    Re-running the same batch gives the same table.  Only the list of
+    touched partition values (one row per load date) reaches the driver.
     """
     from ..operators.incremental import key_match, latest_per_key
     from ..session import work_path
@@ -146,7 +148,7 @@ def merge_into_table(
     target = spark.table(table.name) if table is not None else spark.read.parquet(path)
     if not partitions:
         return _merge_whole(spark, path, target, batch, key, staging_root, delete_keys, table)
-    # the batch is read three times below; keep it for the merge only
+    # the batch is read several times below; keep it for the merge only
     batch = batch.select(*target.columns).persist()
     try:
         keys = batch.select(*key)
@@ -156,30 +158,48 @@ def merge_into_table(
             keys = keys.dropDuplicates()
         keys = keys.alias("b")
         match = key_match(key)
-        hit = target.alias("t").join(keys, match, "left_semi").select(*partitions, F.lit(True).alias("_old"))
-        tagged = hit.unionByName(batch.select(*partitions, F.lit(False).alias("_old"))).distinct().collect()
-        new_parts = {tuple(r[c] for c in partitions) for r in tagged if not r["_old"]}
-        if not tagged:  # nothing to insert, replace or delete
-            return path
-        touched = sorted({tuple(r[c] for c in partitions) for r in tagged}, key=repr)
-        # partitions that only lose rows may end up empty
-        shrinking = [p for p in touched if p not in new_parts]
-        touched_df = spark.createDataFrame(touched, target.select(*partitions).schema)
-        affected = target.join(touched_df, partitions, "left_semi")
-        kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
-        staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
-        kept.unionByName(batch).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
+        # partitions holding a row that the batch replaces or deletes: only
+        # these are rewritten; one row per load date reaches the driver
+        touched = sorted(
+            {tuple(r) for r in target.alias("t").join(keys, match, "left_semi").select(*partitions)
+             .distinct().collect()},
+            key=repr,
+        )
+        staging = None
+        if touched:
+            touched_df = spark.createDataFrame(touched, target.select(*partitions).schema)
+            affected = target.join(touched_df, partitions, "left_semi")
+            kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
+            # (a join on column names lists those columns first: restore the order)
+            arriving = batch.join(touched_df, partitions, "left_semi").select(*target.columns)
+            staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
+            kept.unionByName(arriving).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
+            appended = batch.join(touched_df, partitions, "left_anti").select(*target.columns)
+        else:
+            appended = batch
+        # rows for partitions nothing was replaced in: a plain append
+        _append(spark, appended, path, partitions, table)
     finally:
         batch.unpersist()
-    staged = spark.read.schema(target.schema).parquet(staging).select(*target.columns)
+    if staging is not None:
+        staged = spark.read.schema(target.schema).parquet(staging).select(*target.columns)
+        if table is not None:
+            table.replace(spark, staged)
+        else:
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                *partitions
+            ).parquet(path)
+        emptied = [p for p in touched if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
+        if emptied:
+            _delete_partition_dirs(spark, path, partitions, emptied)
+    return path
+
+
+def _append(spark, df: DataFrame, path: str, partitions, table) -> None:
     if table is not None:
-        table.replace(spark, staged)
+        df.write.insertInto(table.name, overwrite=False)
     else:
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    emptied = [p for p in shrinking if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
-    if emptied:
-        _delete_partition_dirs(spark, path, partitions, emptied)
-    return path
+        df.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None, table=None):

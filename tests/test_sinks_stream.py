@@ -98,7 +98,7 @@ from hypothesis import strategies as st  # noqa: E402
 _ROW = st.tuples(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(1, 3))  # key, partition
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=int(__import__("os").environ.get("MERGE_EXAMPLES", "4")), deadline=None)
 @given(st.lists(st.lists(_ROW, min_size=1, max_size=6), min_size=2, max_size=3))
 def test_merge_sequence_equals_latest_of_all(spark, batches):
     from hirescope.operators import latest_per_key
@@ -134,3 +134,23 @@ def test_rescue_keeps_values_that_do_not_fit(spark):
     assert json.loads(rows["1"]._rescued_data) == {"new_col": "extra-1"}
     assert rows["2"].MIN_AMOUNT is None and json.loads(rows["2"]._rescued_data) == {"MIN_AMOUNT": "n/a"}
     assert read_raw_feed(spark, path, "a", rescue=True).columns == read_raw_feed(spark, path, "a").columns
+
+
+def test_merge_into_bucketed_catalog_table(spark):
+    from hirescope.sources.sinks import CatalogTable
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS hs_merge_test LOCATION '{work_path(spark, 'db')}'")
+    table = CatalogTable("hs_merge_test.t", buckets=4)
+    path = work_path(spark, "t-cat")
+    schema = "k string, v long, p int"
+    merge_into_table(spark, path, spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], schema), ["k"],
+                     partitions=("p",), table=table)
+    merge_into_table(spark, path, spark.createDataFrame([("c", 1, 2)], schema), ["k"], partitions=("p",),
+                     table=table)  # new key only: appended
+    merge_into_table(spark, path, spark.createDataFrame([("a", 2, 2)], schema), ["k"], partitions=("p",),
+                     table=table)  # key moves from p=1 to p=2
+    got = sorted(tuple(r) for r in spark.table(table.name).select("k", "v", "p").collect())
+    assert got == [("a", 2, 2), ("b", 1, 1), ("c", 1, 2)]
+    desc = " ".join(str(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect())
+    assert "Num Buckets" in desc
+    spark.sql(f"DROP TABLE {table.name}")
