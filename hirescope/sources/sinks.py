@@ -211,6 +211,10 @@ def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None
     try:
         if batch.isEmpty() and (delete_keys is None or delete_keys.isEmpty()):
             return path
+        replaced = target.alias("t").join(batch.select(*key).alias("b"), key_match(key), "left_semi")
+        if delete_keys is None and replaced.isEmpty():  # only new keys: append
+            _append(spark, batch, path, [], table)
+            return path
         staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
         merged = upsert(target, batch, key)
         if delete_keys is not None:

@@ -154,3 +154,13 @@ def test_merge_into_bucketed_catalog_table(spark):
     desc = " ".join(str(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect())
     assert "Num Buckets" in desc
     spark.sql(f"DROP TABLE {table.name}")
+
+
+def test_unpartitioned_merge_appends_new_keys_and_rewrites_on_replace(spark):
+    path = work_path(spark, "t-flat")
+    schema = "k string, v long"
+    merge_into_table(spark, path, spark.createDataFrame([("a", 1)], schema), ["k"], partitions=())
+    merge_into_table(spark, path, spark.createDataFrame([("b", 1)], schema), ["k"], partitions=())
+    merge_into_table(spark, path, spark.createDataFrame([("a", 2), ("c", 1)], schema), ["k"], partitions=())
+    merge_into_table(spark, path, spark.createDataFrame([("c", 1)], schema), ["k"], partitions=())
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1), ("c", 1)]
