@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..sources.files import as_of_timestamp, load_date_parts
 from .incremental import since
 
+# Fixed value: the text that marks a missing seniority or salary.
 NOT_APPLICABLE = "Not Applicable"
 
 

@@ -103,6 +103,9 @@ def heatmap(staged: DataFrame, as_of, standardise: bool = False) -> DataFrame:
 
 # ------------------------------------------------------ company intelligence
 
+# Fixed values (must equal the reference's): seniority labels counted as
+# junior, mid-senior and leadership roles.  Band thresholds are written
+# inline in each band function below.
 JUNIOR = ["Entry level", "Associate"]
 MID_SENIOR = "Mid-Senior level"
 LEADERSHIP = ["Director", "Executive"]
