@@ -68,3 +68,14 @@ def test_bucketed_enrichment_inputs_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+
+
+def test_spread_only_touches_under_split_inputs(spark):
+    from hirescope.sources.files import spread
+
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert spread(wide, "id", min_partitions=8) is wide  # enough splits: plan unchanged
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread_out = spread(narrow, "id", min_partitions=8)
+    assert spread_out.rdd.getNumPartitions() == 8
+    assert "hashpartitioning(id" in _plan(spread_out)
