@@ -130,3 +130,19 @@ def test_not_applicable_text_in_string_salary(spark):
     df = spark.createDataFrame([("Not Applicable", "9"), ("5", "9"), (None, "9")], "own string, ai string")
     got = [r[0] for r in df.select(enriched_salary(F.col("own"), F.col("ai"), T.StringType())).collect()]
     assert got == ["9", "5", "9"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3),
+                          st.sampled_from(["x", "y", "z"])), min_size=1, max_size=30))
+def test_latest_per_key_matches_python(spark, rows):
+    want = {}
+    for k, v, p in rows:  # greatest version, ties broken by the rest of the row
+        if k not in want or (v, p) > want[k][1:]:
+            want[k] = (k, v, p)
+    got = latest_per_key(spark.createDataFrame(rows, SCHEMA), ["id"], ["version"]).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.values(), key=repr)
