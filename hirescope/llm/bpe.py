@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 #: characters that stand for the bytes 0 to 255 (none is a space of any kind)
 BYTE_BASE = 0x100
 #: Unicode White_Space, which is what the patterns' \s means
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: entries of the per-worker cache of encoded text chunks
 CACHE_ENTRIES = 400_000
 #: longer chunks are encoded but not kept

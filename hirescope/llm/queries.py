@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirescope.llm import bpe
+from hirescope.llm import bpe, simhash
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -20,8 +21,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, ranks))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("representative.doc_id").alias("component_id"))
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
