@@ -9,12 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import bpe, simhash
+from hirescope.llm import bpe, simhash, substring_dedup
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -27,6 +32,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_simhash": op10_simhash,
 }
