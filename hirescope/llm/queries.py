@@ -9,10 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import bpe, simhash, substring_dedup
+from hirescope.llm import bpe, packing, simhash, substring_dedup
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), capacity=2048)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -33,6 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_packing": op6_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_simhash": op10_simhash,
 }

@@ -1,0 +1,105 @@
+"""Packing: the tokenizers library's ids, whole pieces, gapless sequences, few of them."""
+
+import collections
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from hirescope.llm import packing, queries  # noqa: E402
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    t = tokenizers.Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text, add_special_tokens=False).ids + [0]
+
+
+def want(reference, docs, capacity):
+    out = collections.Counter()
+    for i, text in docs:
+        ids = reference(text or "")
+        for at in range(0, len(ids), capacity):
+            part = np.array(ids[at : at + capacity], "<u4")
+            out[i, at // capacity, at, len(part), zlib.crc32(part.tobytes())] += 1
+    return out
+
+
+def check(rows, expected, capacity):
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == expected
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_encoder_equals_the_library(reference):
+    rng = random.Random(1)
+    odd = [chr(c) for c in (0x85, 0xA0, 0x130, 0x301, 0x307, 0x3A3, 0x3C3, 0x958, 0x1C5, 0x2003, 0x200B, 0x3000, 0x1F600, 0xBD, 0xE9)]
+    alphabet = [*"ab t\n\t '.!<|&sSI12", *odd, "<|endoftext|>"]
+    encoder = packing.WordEncoder(PATH)
+    for _ in range(4000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(text)[:-1], repr(text)
+
+
+def test_generations_and_slices(reference, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 20)
+    monkeypatch.setattr(packing, "SLICE", 50)
+    encoder, rng = packing.WordEncoder(PATH), random.Random(2)
+    for _ in range(30):
+        text = " ".join(f"w{rng.randint(0, 60)}," + "x" * rng.choice([0, 60]) for _ in range(60))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(text)[:-1]
+
+
+def test_edge_cases(spark, reference):
+    docs = [(1, None), (2, ""), (3, " \n"), (4, "a b c"), (4, "a b c"), (5, "word " * 400), (None, "x y")]
+    df = spark.createDataFrame([(i, t, 1, "z") for i, t in docs], "doc_id long, text string, length int, piece string")
+    rows = packing.pack(df, PATH, capacity=16, part_rows=2).collect()
+    check(rows, want(reference, docs, 16), 16)
+    assert packing.pack(df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_holds_all_pieces_in_few_sequences(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([64, 512, 2048])
+    counts = collections.Counter(min(capacity, max(1, int(rng.lognormvariate(np.log(capacity / 4), 0.8)))) for _ in range(6000))
+    runs = packing.plan(counts, capacity)
+    held = collections.Counter()
+    for times, lengths in runs:
+        assert times > 0 and sum(lengths) <= capacity
+        for n in lengths:
+            held[n] += times
+    assert held == counts
+    tokens, full = sum(n * c for n, c in counts.items()), counts[capacity]
+    least = full + -(-(tokens - full * capacity) // capacity)
+    assert sum(t for t, _ in runs) <= 1.01 * least + 1
+
+
+def test_plan_edges():
+    assert packing.plan({}) == [] and packing.plan({2048: 3}) == [(3, [2048])]
+    assert sum(t for t, _ in packing.plan({1: 5000})) == 3
+    with pytest.raises(ValueError):
+        packing.plan({2049: 1})
+
+
+def test_query(spark, reference):
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    rows = queries.op6_packing(spark, sf).collect()
+    n = check(rows, want(reference, docs, 2048), 2048)
+    assert n <= 1.02 * -(-sum(r["length"] for r in rows) // 2048) + 1
