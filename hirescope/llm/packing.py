@@ -235,8 +235,8 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY, n_groups: int = GR
         raise ValueError(f"lengths must be 1 to {capacity}")
     lengths = sorted(((length, c) for length, c in counts.items() if c), reverse=True)
     large = [(length, c) for length, c in lengths if length * small_part > capacity]
-    groups = _groups(large, n_groups)
-    runs = _substitute(groups, _configure(groups, capacity))
+    groups = _groups([x for x in large if x[0] < capacity], n_groups)
+    runs = [(c, [length]) for length, c in large if length == capacity] + _substitute(groups, _configure(groups, capacity))
     by_room: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)
     for times, places in runs:
         by_room[capacity - sum(places)].append((times, places))

@@ -91,7 +91,8 @@ def test_plan_holds_all_pieces_in_few_sequences(seed):
 
 
 def test_plan_edges():
-    assert packing.plan({}) == [] and packing.plan({2048: 3}) == [(3, [2048])]
+    assert packing.plan({}) == []
+    assert packing.plan({2048: 3}) == [(3, [2048])]
     assert sum(t for t, _ in packing.plan({1: 5000})) == 3
     with pytest.raises(ValueError):
         packing.plan({2049: 1})
