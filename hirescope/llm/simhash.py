@@ -177,7 +177,8 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, sub: int =
         u, v = _link(x, y, radius, sub)
         return pa.table({"u": nodes[u], "v": nodes[v]})
 
-    return members.groupBy("a", "b").applyInArrow(compare, "u long, v long")
+    # written: what follows reads the links more than once
+    return materialize(members.groupBy("a", "b").applyInArrow(compare, "u long, v long"), "simhash-links")
 
 
 def near_duplicates(df: DataFrame, id_cols: Sequence[str] = ("doc_id",), text_col: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
