@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import bpe, packing, quality, simhash, substring_dedup
+from hirescope.llm import bpe, packing, pii, quality, simhash, substring_dedup
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -21,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(read_table(spark, sf_dir, "documents")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     base = [F.col("__stats")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -44,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii": op2_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op8_byte_bpe": op8_byte_bpe,
