@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import bpe, packing, pii, quality, simhash, substring_dedup
+from hirescope.llm import bpe, packing, pii, quality, simhash, substring_dedup, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), capacity=2048)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -51,6 +55,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_simhash": op10_simhash,
 }
