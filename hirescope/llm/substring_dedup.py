@@ -99,6 +99,13 @@ def _bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.append(np.searchsorted(hashes, firsts), len(hashes))
 
 
+def _among(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which ``hashes`` are among the sorted ``wanted`` ones."""
+    if not len(wanted):
+        return np.zeros(len(hashes), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes
+
+
 def _texts(column) -> Iterator[bytes]:
     for value in column:
         yield (value.as_py() or "").encode()
@@ -153,11 +160,11 @@ def remove_repeats(df: DataFrame, columns: Sequence[str] = ("doc_id",), text_col
     def count(table: pa.Table) -> pa.Table:
         own = [unpack(h.as_py()) for h in table.column("hashes")]
         merged = np.sort(np.concatenate(own))
-        shared = merged[1:][merged[1:] == merged[:-1]]
+        shared = np.unique(merged[1:][merged[1:] == merged[:-1]])
         answers = []
         for hashes, twice in zip(own, table.column("twice")):
             flags = np.unpackbits(np.frombuffer(twice.as_py(), np.uint8), count=len(hashes)).astype(bool)
-            flags[np.searchsorted(hashes, shared[np.isin(shared, hashes)])] = True
+            flags |= _among(hashes, shared)
             answers.append(np.packbits(flags).tobytes() if flags.any() else None)
         found = [i for i, a in enumerate(answers) if a is not None]
         return pa.table({"chunk": table.column("chunk").take(found).combine_chunks(), "bucket": table.column("bucket").take(found).combine_chunks(), "flags": pa.array([answers[i] for i in found], pa.binary())})
@@ -173,7 +180,7 @@ def remove_repeats(df: DataFrame, columns: Sequence[str] = ("doc_id",), text_col
             flags[cuts[bucket] : cuts[bucket + 1]] = np.unpackbits(np.frombuffer(packed, np.uint8), count=cuts[bucket + 1] - cuts[bucket])
         repeated, out = hashes[flags], {r: [] for r in results}
         for data, (n, h) in zip(_texts(table.column("__text")), own):
-            gone = covered(np.isin(h, repeated), n, window) if len(repeated) else np.zeros(n, bool)
+            gone = covered(_among(h, repeated), n, window) if len(repeated) else np.zeros(n, bool)
             edges = np.nonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))[0].reshape(-1, 2)
             kept, at = [], 0
             for words in word_slices(data):
