@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import bpe, html_extract, packing, pii, quality, simhash, substring_dedup, url_filter
+from hirescope.llm import ann, bpe, html_extract, packing, pii, quality, simhash, substring_dedup, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -25,6 +25,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(read_table(spark, sf_dir, "documents")))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -57,6 +61,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
+    "op3_nearest": op3_nearest,
     "op4_html_extract": op4_html_extract,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
