@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import ann, bpe, html_extract, packing, pii, quality, simhash, substring_dedup, url_filter
+from hirescope.llm import ann, bpe, html_extract, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
+#: the word tokenizer's end-of-text id, which no text encodes to
+END_OF_TEXT = 49407
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, ranks))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = token_counts.token_blocks(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), END_OF_TEXT)
+    return token_counts.count_tokens(blocks, END_OF_TEXT, "doc_id").select("doc_id", "n_tokens")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("representative.doc_id").alias("component_id"))
@@ -67,6 +74,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
 }
 
