@@ -139,8 +139,8 @@ def remove_repeats(df: DataFrame, columns: Sequence[str] = ("doc_id",), text_col
     size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
     bits = max(0, (size // 6 // bucket_hashes)).bit_length()
-    carried = [F.col(c) for c in columns]
-    base = df.select(F.pmod(F.xxhash64(text_col, *columns), F.lit(chunks)).alias("__chunk"), F.col(text_col).alias("__text"), *carried)
+    carried = [F.col(c) for c in columns if c != text_col]  # the text itself travels once
+    base = df.select(F.pmod(F.xxhash64(*dict.fromkeys([text_col, *columns])), F.lit(chunks)).alias("__chunk"), F.col(text_col).alias("__text"), *carried)
 
     def emit(table: pa.Table) -> pa.Table:
         windows = Windows(window)
@@ -192,7 +192,7 @@ def remove_repeats(df: DataFrame, columns: Sequence[str] = ("doc_id",), text_col
             out["intervals"].append([{"start": a, "end": b} for a, b in edges.tolist()])
             out["kept"].append(b" ".join(kept).decode())
         kinds = [pa.int64(), pa.int64(), pa.list_(item), pa.string()]
-        return pa.table([table.column(c) for c in columns] + [pa.array(out[r], k) for r, k in zip(results, kinds)], [*columns, *results])
+        return pa.table([table.column("__text" if c == text_col else c) for c in columns] + [pa.array(out[r], k) for r, k in zip(results, kinds)], [*columns, *results])
 
     schema = T.StructType(
         [
