@@ -26,7 +26,8 @@ def main(argv=None) -> None:
     run.add_argument("--availability", required=True, help="folder of availability CSV files")
     run.add_argument("--summaries", required=True, help="folder of AI summary Parquet files")
     run.add_argument("--warehouse", required=True, help="root folder of the tables")
-    run.add_argument("--as-of", default=str(dt.date.today()), help="load date, yyyy-MM-dd")
+    run.add_argument("--as-of", default=str(dt.date.today()), help="day the marts look back from, yyyy-MM-dd")
+    run.add_argument("--load-ts", help="stamp of this load, ISO time in UTC (default: now)")
     run.add_argument("--format", default="parquet")
     run.add_argument("--views", action="store_true", help="models as temp views (nothing written)")
     run.add_argument("--catalog", help="catalog database for the tables (default: path-only tables)")
@@ -37,7 +38,8 @@ def main(argv=None) -> None:
     run.add_argument("--reprocess-on-change", action="store_true")
     run.add_argument("--remove-inactive", action="store_true")
     run.add_argument("--employment-mode", choices=["reference", "fixed"], default="reference")
-    run.add_argument("--rescue", action="store_true", help="keep values that do not fit the raw schema")
+    run.add_argument("--no-rescue", action="store_true", help="drop what does not fit the raw schema")
+    run.add_argument("--filter-both", action="store_true", help="filter both feeds' descriptions by the mark")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("hirescope").getOrCreate()
@@ -55,7 +57,9 @@ def main(argv=None) -> None:
         threads=args.threads,
         bronze_mode=args.bronze_mode,
         employment_mode=args.employment_mode,
-        rescue=args.rescue,
+        rescue=not args.no_rescue,
+        load_ts=dt.datetime.fromisoformat(args.load_ts) if args.load_ts else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+        filter_both=args.filter_both,
     )
     print(json.dumps(written, indent=2, sort_keys=True))
 

@@ -51,9 +51,7 @@ def parse_city(loc: Column) -> Column:
             # kept untrimmed on purpose: the geocoder trims its own side
             (loc.rlike(CODE_THEN_AU_PATTERN), _first_part(loc)),
             (state_only, F.lit(None).cast("string")),
-            (loc == F.lit("Australia"), F.lit(None).cast("string")),
-            (loc.like("%,%,%"), F.trim(_first_part(loc))),
-            (loc.like("%,%") & ~state_only, F.trim(_first_part(loc))),
+            (loc.like("%,%"), F.trim(_first_part(loc))),
         ]
     )
 

@@ -2,10 +2,10 @@
 
 from .clean import clean_feed, clean_feed_legacy, location_columns
 from .unify import unify, descriptions
-from .enrich import enrich, load_availability, load_ai_summaries
+from .enrich import enrich, load_availability, load_ai_summaries, unreadable_flags
 from .stage import stage_active
 from .geo import geocode
-from .incremental import since, high_water_mark, latest_per_key, upsert
+from .incremental import since, high_water_mark, latest_per_key, matching, upsert
 from .marts import heatmap, company_mart, skills_mart, geo_mart
 
 __all__ = [
@@ -17,11 +17,13 @@ __all__ = [
     "enrich",
     "load_availability",
     "load_ai_summaries",
+    "unreadable_flags",
     "stage_active",
     "geocode",
     "since",
     "high_water_mark",
     "latest_per_key",
+    "matching",
     "upsert",
     "heatmap",
     "company_mart",

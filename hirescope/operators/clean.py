@@ -74,7 +74,7 @@ def clean_feed(
     """
     if feed not in SOURCE_ID:
         raise ValueError(f"unknown feed {feed!r}")
-    df = since(bronze, target, "ingest_dts")
+    df = since(bronze, target, "ingest_dts", partition=("year", "month", "day"))
     df = location_columns(df)
     df = employment_type(df, feed, employment_mode)
     df = salary_bounds(df, feed)

@@ -14,15 +14,24 @@ NOT_APPLICABLE = "Not Applicable"
 
 
 def load_availability(raw: DataFrame, as_of, target: DataFrame | None = None) -> DataFrame:
-    """Typed availability rows plus load-date partitions."""
+    """Typed availability rows plus load-date partitions.
+
+    The flag may be text: ``true``/``1``/``yes`` and ``false``/``0``/``no``
+    convert, anything else is NULL (see ``unreadable_flags``)."""
     df = raw.select(
         F.col("job_posting_id").cast("string").alias("job_posting_id"),
-        F.col("is_active").cast("boolean").alias("is_active"),
+        F.col("is_active").try_cast("boolean").alias("is_active"),
         F.col("validated_dts"),
     ).withColumns(load_date_parts(as_of))
     return since(df, target, "validated_dts")
 
 
+def unreadable_flags(raw: DataFrame) -> DataFrame:
+    """Pool rows whose flag is text that is no boolean: they load with a NULL
+    flag, so a report of them belongs beside the load."""
+    return raw.where(F.col("is_active").isNotNull() & F.col("is_active").try_cast("boolean").isNull())
+
+
 SUMMARY_COLUMNS = [
     "job_posting_id", "job_seniority_level", "workplace_type", "min_salary",
     "max_salary", "it_domains", "ai_summaries", "summarized_dts",
@@ -81,17 +90,19 @@ def enrich(
     otherwise a posting would be repeated once per match.
     """
     ju = unified.where(F.col("is_enriched") == F.lit(False))
-    hwm = None
     if target is not None and not reprocess_on_change:
-        ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None)
+        ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None, partition="load_date")
     elif target is not None:
         hwm = target.agg(F.max("enriched_dts")).scalar()
-    change_cols = hwm is not None
-    jia = availability.select(
-        "job_posting_id",
-        F.col("is_active").alias("_avail_active"),
-        *([F.col("validated_dts").alias("_validated")] if change_cols else []),
-    )
+        # the few postings whose side rows changed are found first; only they and new postings are joined
+        changed = (
+            availability.where(F.col("validated_dts") > hwm).select("job_posting_id")
+            .union(summaries.where(F.col("summarized_dts") > hwm).select("job_posting_id"))
+            .distinct()
+        )
+        again = ju.where(F.col("ingest_dts") <= hwm).join(changed, "job_posting_id", "left_semi").select(*ju.columns)
+        ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None, partition="load_date").unionByName(again)
+    jia = availability.select("job_posting_id", F.col("is_active").alias("_avail_active"))
     jas = summaries.select(
         "job_posting_id",
         F.col("job_seniority_level").alias("_ai_seniority"),
@@ -100,12 +111,9 @@ def enrich(
         F.col("max_salary").alias("_ai_max_salary"),
         "it_domains",
         "ai_summaries",
-        *([F.col("summarized_dts").alias("_summarized")] if change_cols else []),
     )
     types = {f.name: f.dataType for f in unified.schema.fields}
     j = ju.join(jia, "job_posting_id", "left").join(jas, "job_posting_id", "left")
-    if hwm is not None:
-        j = j.where((F.col("ingest_dts") > hwm) | (F.col("_validated") > hwm) | (F.col("_summarized") > hwm))
     return j.select(
         "url", "job_posting_id", "job_title", "company_name", "job_city", "job_state", "job_country",
         enriched_seniority(

@@ -9,6 +9,7 @@ is reduced inside each task before anything is shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,15 +36,25 @@ def since(
     source_col: str,
     target_col: str | None = None,
     floor: str | None = DEFAULT_FLOOR,
+    partition: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` newer than the target's high-water mark.
 
     ``target=None`` means a first (full) load.  ``target_col`` may differ from
     ``source_col`` (e.g. postings' ingest time against enrichment time).
+
+    ``partition`` names the partition column of ``batch`` that holds the day
+    of ``source_col``, or its year, month and day columns: days before the
+    mark's day cannot hold newer rows, so their files are not opened.  It is
+    ignored where ``batch`` has no such columns (a view, say).
     """
     if target is None:
         return batch
     hwm = high_water_mark(target, target_col or source_col, floor)
+    names = [partition] if isinstance(partition, str) else list(partition or [])
+    if names and set(names) <= set(batch.columns):
+        day = F.col(names[0]).cast("date") if len(names) == 1 else F.make_date(*(F.col(c) for c in names))
+        batch = batch.where(day >= high_water_mark(target, target_col or source_col, floor).cast("date"))
     return batch.where(F.col(source_col) > hwm)
 
 
@@ -68,6 +79,20 @@ def key_match(key: Sequence[str], left: str = "t", right: str = "b") -> Column:
     return F.expr(" AND ".join(f"{left}.`{k}` <=> {right}.`{k}`" for k in key))
 
 
+def matching(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """``df`` semi- or anti-joined (``how``) to ``keys`` on a null-safe key.
+
+    Rows whose key is complete join by plain equality, which bucketed tables
+    answer without a shuffle; only rows with a NULL in the key, if any, join
+    null-safely."""
+    key = list(key)
+    complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in key))
+    keys = keys.select(*key)
+    plain = df.where(complete).join(keys.where(complete), key, how).select(*df.columns)
+    rest = df.where(~complete).alias("t").join(keys.where(~complete).alias("b"), key_match(key), how)
+    return plain.unionByName(rest.select(*df.columns))
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -79,9 +104,8 @@ def upsert(
 
     If ``order`` is given the batch is first reduced to its latest row per
     key (a merge source may not repeat a key).  The result is
-    ``target ANTI JOIN batch-keys UNION ALL batch``; the anti join is an
-    equi-join (null-safe equality is planned on hash keys), broadcast by AQE
-    only when the batch keys are measured small.
+    ``target ANTI JOIN batch-keys UNION ALL batch``, broadcast by AQE only
+    when the batch keys are measured small.
     """
     key = list(key)
     if order:
@@ -90,6 +114,4 @@ def upsert(
     keys = batch.select(*key)
     if not order:  # a key repeated by a third of the batch collapses map-side
         keys = keys.dropDuplicates()
-    keys = keys.alias("b")
-    kept = target.alias("t").join(keys, key_match(key), "left_anti")
-    return kept.select(*target.columns).unionByName(batch)
+    return matching(target, keys, key, "left_anti").unionByName(batch)

@@ -114,30 +114,41 @@ LEADERSHIP = ["Director", "Executive"]
 def company_metrics(staged: DataFrame, as_of) -> DataFrame:
     """Group by company and industry: volume, windows, employment, seniority, salary.
 
-    Functions and cities come from small bounded domains, so their distinct
-    counts are the sizes of per-group sets (merged map-side); the open-ended
-    job title keeps the exact distinct aggregate.  With a single distinct
-    column Spark needs no row expansion.
+    Rows are first reduced to one per company, industry, title, function and
+    city with plain sums (map-side); the three exact distinct counts then run
+    over that much smaller set, so no set of raw values is ever collected.
     """
     emp, sen = F.col("job_employment_type"), F.col("job_seniority_level")
-    return staged.groupBy("company_name", "job_industries").agg(
-        F.count(F.lit(1)).alias("total_job_postings"),
+    low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
+    high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
+    counts = {
+        "total_job_postings": F.count(F.lit(1)),
+        "jobs_last_7d": _count_if(_recent(as_of, 7)),
+        "jobs_last_30d": _count_if(_recent(as_of, 30)),
+        "jobs_last_90d": _count_if(_recent(as_of, 90)),
+        "fulltime_roles": _sum_if(emp == "Full-time"),
+        "contract_roles": _sum_if(emp == "Contract"),
+        "parttime_roles": _sum_if(emp == "Part-time"),
+        "junior_roles": _sum_if(sen.isin(JUNIOR)),
+        "midsenior_roles": _sum_if(sen == MID_SENIOR),
+        "leadership_roles": _sum_if(sen.isin(LEADERSHIP)),
+    }
+    reduced = staged.groupBy("company_name", "job_industries", "job_title", "job_function", "job_city").agg(
+        *(c.alias(name) for name, c in counts.items()),
+        F.sum(low).alias("_low"), F.count(low).alias("_n_low"), F.sum(high).alias("_high"), F.count(high).alias("_n_high"),
+        F.min("job_posted_date").alias("_first"), F.max("job_posted_date").alias("_latest"),
+    )
+    total = {name: F.sum(name).alias(name) for name in counts}
+    return reduced.groupBy("company_name", "job_industries").agg(
+        total.pop("total_job_postings"),
         F.countDistinct("job_title").alias("unique_roles"),
-        F.size(F.collect_set("job_function")).cast("long").alias("function_diversity"),
-        F.size(F.collect_set("job_city")).cast("long").alias("geographic_spread"),
-        _count_if(_recent(as_of, 7)).alias("jobs_last_7d"),
-        _count_if(_recent(as_of, 30)).alias("jobs_last_30d"),
-        _count_if(_recent(as_of, 90)).alias("jobs_last_90d"),
-        _sum_if(emp == "Full-time").alias("fulltime_roles"),
-        _sum_if(emp == "Contract").alias("contract_roles"),
-        _sum_if(emp == "Part-time").alias("parttime_roles"),
-        _sum_if(sen.isin(JUNIOR)).alias("junior_roles"),
-        _sum_if(sen == MID_SENIOR).alias("midsenior_roles"),
-        _sum_if(sen.isin(LEADERSHIP)).alias("leadership_roles"),
-        F.avg(F.when(F.col("min_salary") > 0, F.col("min_salary"))).alias("avg_min_salary"),
-        F.avg(F.when(F.col("max_salary") > 0, F.col("max_salary"))).alias("avg_max_salary"),
-        F.min("job_posted_date").alias("first_posting_date"),
-        F.max("job_posted_date").alias("latest_posting_date"),
+        F.countDistinct("job_function").alias("function_diversity"),
+        F.countDistinct("job_city").alias("geographic_spread"),
+        *total.values(),
+        F.try_divide(F.sum("_low"), F.sum("_n_low")).alias("avg_min_salary"),
+        F.try_divide(F.sum("_high"), F.sum("_n_high")).alias("avg_max_salary"),
+        F.min("_first").alias("first_posting_date"),
+        F.max("_latest").alias("latest_posting_date"),
     )
 
 
@@ -282,33 +293,41 @@ GEO_KEYS = ["state", "city", "latitude", "longitude", "city_tier"]
 def geo_aggregate(staged: DataFrame, as_of) -> DataFrame:
     """Group geocoded postings by state, city, point and tier; 19 measures.
 
-    Industries and functions are needed both as sorted distinct arrays and as
-    distinct counts, so they are collected once (bounded by the number of
-    distinct values per group) and counted with ``size``; only the company
-    count uses an exact distinct aggregate.  That keeps a single distinct
-    column and avoids expanding every row three times.
+    Rows are first reduced to one per group, company, function and industry
+    with plain sums (map-side).  The sorted arrays of functions and industries
+    (wanted in the output, so as large as their distinct values) and the exact
+    company count then come from that smaller set.
     """
     g = geocode(staged).withColumnsRenamed({"job_state": "state", "job_city": "city"})
     emp, sen, mid = F.col("job_employment_type"), F.col("job_seniority_level"), F.col("mid_salary")
     positive_mid = F.when(mid > 0, mid)
-    agg = g.groupBy(*GEO_KEYS).agg(
-        F.count(F.lit(1)).alias("total_jobs"),
+    distance = F.col("distance_from_sydney_km")
+    counts = {
+        "total_jobs": F.count(F.lit(1)),
+        "fulltime_jobs": _sum_if(emp == "Full-time"),
+        "contract_jobs": _sum_if(emp == "Contract"),
+        "parttime_jobs": _sum_if(emp == "Part-time"),
+        "entry_level_jobs": _sum_if(sen.isin(JUNIOR)),
+        "midsenior_jobs": _sum_if(sen == MID_SENIOR),
+        "senior_jobs": _sum_if(sen.isin(LEADERSHIP)),
+        "salary_sample_size": F.count(positive_mid),
+        "jobs_last_week": _count_if(_recent(as_of, 7)),
+        "jobs_last_month": _count_if(_recent(as_of, 30)),
+    }
+    reduced = g.groupBy(*GEO_KEYS, "company_name", "job_function", "job_industries").agg(
+        *(c.alias(name) for name, c in counts.items()),
+        F.sum(positive_mid).alias("_mid"), F.min(positive_mid).alias("_low"), F.max(positive_mid).alias("_high"),
+        F.sum(distance).alias("_distance"), F.count(distance).alias("_n_distance"),
+    )
+    agg = reduced.groupBy(*GEO_KEYS).agg(
+        *(F.sum(name).alias(name) for name in counts),
         F.countDistinct("company_name").alias("unique_companies"),
         F.sort_array(F.collect_set("job_function")).alias("top_functions"),
         F.sort_array(F.collect_set("job_industries")).alias("top_industries"),
-        _sum_if(emp == "Full-time").alias("fulltime_jobs"),
-        _sum_if(emp == "Contract").alias("contract_jobs"),
-        _sum_if(emp == "Part-time").alias("parttime_jobs"),
-        _sum_if(sen.isin(JUNIOR)).alias("entry_level_jobs"),
-        _sum_if(sen == MID_SENIOR).alias("midsenior_jobs"),
-        _sum_if(sen.isin(LEADERSHIP)).alias("senior_jobs"),
-        F.avg(positive_mid).alias("avg_salary"),
-        F.min(positive_mid).alias("min_salary_market"),
-        F.max(positive_mid).alias("max_salary_market"),
-        F.count(positive_mid).alias("salary_sample_size"),
-        _count_if(_recent(as_of, 7)).alias("jobs_last_week"),
-        _count_if(_recent(as_of, 30)).alias("jobs_last_month"),
-        F.avg("distance_from_sydney_km").alias("avg_distance_from_sydney"),
+        F.try_divide(F.sum("_mid"), F.sum("salary_sample_size")).alias("avg_salary"),
+        F.min("_low").alias("min_salary_market"),
+        F.max("_high").alias("max_salary_market"),
+        F.try_divide(F.sum("_distance"), F.sum("_n_distance")).alias("avg_distance_from_sydney"),
     )
     return agg.withColumns(
         {

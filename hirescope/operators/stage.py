@@ -19,7 +19,7 @@ def stage_active(enriched: DataFrame, as_of, target: DataFrame | None = None) ->
     """
     now = as_of_timestamp(as_of)
     df = enriched.where(F.col("is_active"))
-    df = since(df, target, "enriched_dts")
+    df = since(df, target, "enriched_dts", partition="load_date")
     return df.select(
         "job_posting_id",
         F.col("url").alias("job_url"),
@@ -37,5 +37,5 @@ def stage_active(enriched: DataFrame, as_of, target: DataFrame | None = None) ->
 def inactive_keys(enriched: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Keys of postings in the batch that are no longer active (NULL counts
     as inactive): the rows to remove from staging when that option is on."""
-    batch = since(enriched, target, "enriched_dts")
+    batch = since(enriched, target, "enriched_dts", partition="load_date")
     return batch.where(~F.coalesce(F.col("is_active"), F.lit(False))).select("job_posting_id")

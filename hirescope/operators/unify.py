@@ -21,8 +21,8 @@ def unify(
     Incremental runs keep rows with ``ingest_dts`` above the target's maximum
     with no floor: against an empty target nothing is loaded.
     """
-    u = cleaned_b.select(*columns).unionByName(cleaned_a.select(*columns))
-    return since(u, target, "ingest_dts", floor=None)
+    new = lambda df: since(df, target, "ingest_dts", floor=None, partition=("year", "month", "day")).select(*columns)
+    return new(cleaned_b).unionByName(new(cleaned_a))
 
 
 DESCRIPTION_COLUMNS = ["job_posting_id", "job_summary", "scraped_dts"]

@@ -12,6 +12,7 @@ merges the result by key.  Marts are rebuilt in full from the staged table.
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -36,8 +37,7 @@ from ..operators import (
 )
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
-from ..sources.sinks import CatalogTable, merge_into_table, path_exists, write_table
-from ..session import size_shuffle_partitions
+from ..sources.sinks import CatalogTable, finish_pending, merge_into_table, read_table, table_exists, write_table
 from ..streaming import ingest_bronze
 
 
@@ -110,7 +110,7 @@ MARTS = {
 class Run:
     spark: SparkSession
     layout: Layout
-    as_of: object
+    load_ts: object
     written: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -121,15 +121,16 @@ class Run:
         if self.layout.catalog is None:
             return None
         buckets = self.layout.buckets if name in BUCKETED else 0
-        return CatalogTable(self.layout.table_name(name), buckets)
+        return CatalogTable(self.layout.table_name(name), buckets, self.layout.format)
 
     def _read(self, name: str) -> DataFrame:
-        tier, spec = MODELS[name]
+        """The model's table with its storage-only partition column, after any
+        interrupted merge of it is finished: marks come from complete merges."""
+        path = self.layout.path(MODELS[name][0], name)
         if self.layout.catalog is not None:
-            df = self.spark.table(self.layout.table_name(name))
-        else:
-            df = self.spark.read.format(self.layout.format).load(self.layout.path(tier, name))
-        return df.drop(*[c for c, _ in spec.derived])
+            finish_pending(self.spark, path, self.catalog_table(name))
+            return self.spark.table(self.layout.table_name(name))
+        return read_table(self.spark, path, self.layout.format)
 
     def existing(self, name: str) -> DataFrame | None:
         if self.as_views:  # a view is always a full recompute
@@ -138,9 +139,15 @@ class Run:
         if self.layout.catalog is not None:
             found = self.spark.catalog.tableExists(self.layout.table_name(name))
         else:
-            found = path_exists(self.spark, self.layout.path(tier, name))
+            found = table_exists(self.spark, self.layout.path(tier, name))
         return self._read(name) if found else None
 
+    def latest_ingest(self, name: str):
+        """The last load's stamp in a model's table, if it exists."""
+        df = self.existing(name)
+        text = None if df is None else df.agg(F.date_format(F.max("ingest_dts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        return text and dt.datetime.fromisoformat(text)
+
     def table(self, name: str) -> DataFrame:
         if self.as_views:
             return self.spark.table(self.layout.view(name))
@@ -156,9 +163,9 @@ class Run:
             return
         path = self.layout.path(tier, name)
         if spec.derived:
-            batch = batch.withColumns({c: F.expr(e.format(as_of=str(self.as_of)[:10])) for c, e in spec.derived})
+            batch = batch.withColumns({c: F.expr(e.format(as_of=str(self.load_ts)[:10])) for c, e in spec.derived})
         merge_into_table(self.spark, path, batch, list(spec.key), list(spec.partitions), order=order,
-                         delete_keys=delete_keys, table=self.catalog_table(name))
+                         delete_keys=delete_keys, table=self.catalog_table(name), fmt=self.layout.format)
         self.written[name] = path
 
 
@@ -185,9 +192,18 @@ def run(
     threads: int = 4,
     bronze_mode: str = "files",
     employment_mode: str = "reference",
-    rescue: bool = False,
+    rescue: bool = True,
+    load_ts=None,
+    filter_both: bool = False,
 ) -> dict[str, str]:
-    """Run every model once for load date ``as_of``; returns model -> path.
+    """Run every model once; returns model -> path.
+
+    ``as_of`` is the day that the marts look back from.  ``load_ts`` stamps
+    the load (ingest, enrichment and audit times, load-date partitions) and
+    must be later than that of every earlier load, else new rows would hide
+    behind the marks of the tables after them: a load with new rows and a
+    stamp that is not later is refused.  Its default is the midnight of
+    ``as_of``; several loads a day need a time each.
 
     Models run in dependency waves; models inside a wave do not read each
     other and run concurrently up to ``threads``.  The defaults keep the
@@ -195,8 +211,11 @@ def run(
     availability or summary changed, and ``remove_inactive`` deletes postings
     that turned inactive from staging.
 
-    ``rescue=True`` reads raw feed files whose schema drifted: values that
-    do not fit the fixed schema are kept in ``_rescued_data``.
+    Raw feed files whose schema drifted keep what does not fit the fixed
+    schema in ``_rescued_data``; ``rescue=False`` drops it.
+
+    ``filter_both=True`` filters feed B's descriptions by the mark as well
+    (the reference merges all of feed B again in every run).
 
     ``employment_mode="fixed"`` lower-cases feed A's employment type before
     matching the enum (the reference strips capitals first).
@@ -206,36 +225,43 @@ def run(
     ``"stream"`` tracks processed files in a stream checkpoint next to the
     table and reads only new files (late rows inside them are kept).
     """
-    r = Run(spark, layout, as_of)
-    if not r.as_views:
-        # shuffles sized for the raw inputs (the big shuffles carry new data;
-        # merged tables are only probed by key); listing the whole warehouse
-        # would be a full object listing on object stores
-        size_shuffle_partitions(spark, [raw.feed_a, raw.feed_b, raw.availability_csv, raw.ai_summaries])
+    if load_ts is None:
+        load_ts = dt.datetime.combine(dt.date.fromisoformat(str(as_of)[:10]), dt.time())
+    # dates and stamps are read and written in one zone on every cluster
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    r = Run(spark, layout, load_ts)
     if layout.catalog is not None:
         # tables carry their own paths; the database folder sits beside them
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.catalog} LOCATION '{layout.path('_catalog', layout.catalog)}'")
     if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and (r.as_views or layout.catalog)):
         raise ValueError(f"unsupported bronze_mode {bronze_mode!r} for {layout.materialize} models")
 
+    latest = max((m for m in map(r.latest_ingest, ("cleaned_a", "cleaned_b", "unified")) if m is not None), default=None)
+
+    def check_stamp(batch: DataFrame) -> None:
+        if latest is not None and load_ts <= latest and not batch.isEmpty():
+            raise ValueError(f"load_ts {load_ts} is not later than the last load's ({latest}): its rows would never be cleaned")
+
     def bronze(name, feed, src):
         if bronze_mode == "stream":
             path = layout.path("bronze", name)
-            ingest_bronze(spark, src, feed, path, layout.path("_checkpoints", name), as_of)
+            ingest_bronze(spark, src, feed, path, layout.path("_checkpoints", name), load_ts, rescue=rescue,
+                          check=check_stamp, fmt=layout.format)
             r.written[name] = path
             return
         # raw rows newer than the target's latest event time
         batch = since(read_raw_feed(spark, src, feed, rescue=rescue), r.existing(name), "timestamp")
-        r.merge(name, bronze_stamp(batch, as_of), order=["timestamp"])
+        check_stamp(batch)
+        r.merge(name, bronze_stamp(batch, load_ts), order=["timestamp"])
 
     def cleaned(name, feed):
         raw_cols = (schemas.RAW_FEED_A if feed == "a" else schemas.RAW_FEED_B).names
-        src = r.table(f"bronze_{feed}").select(*raw_cols, "ingest_dts")
-        cleaned_rows = clean_feed(src, feed, as_of, target=r.existing(name), employment_mode=employment_mode)
+        src = r.table(f"bronze_{feed}").select(*raw_cols, "ingest_dts", "year", "month", "day")
+        cleaned_rows = clean_feed(src, feed, load_ts, target=r.existing(name), employment_mode=employment_mode)
         r.merge(name, cleaned_rows, order=["ingest_dts", "scraped_dts"])
 
     def availability():
-        batch = load_availability(read_availability_csv(spark, raw.availability_csv), as_of,
+        batch = load_availability(read_availability_csv(spark, raw.availability_csv), load_ts,
                                   target=r.existing("availability"))
         r.merge("availability", batch, order=["validated_dts"])
 
@@ -248,18 +274,19 @@ def run(
         r.merge("unified", batch, order=["ingest_dts", "scraped_dts"])
 
     def described():
-        batch = descriptions(r.table("cleaned_b"), r.table("cleaned_a"), target=r.existing("descriptions"))
+        batch = descriptions(r.table("cleaned_b"), r.table("cleaned_a"), target=r.existing("descriptions"),
+                             filter_both=filter_both)
         r.merge("descriptions", batch, order=["scraped_dts"])
 
     def enriched():
-        batch = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), as_of,
+        batch = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), load_ts,
                        target=r.existing("enriched"), reprocess_on_change=reprocess_on_change)
         r.merge("enriched", batch, order=["ingest_dts"])
 
     def staged():
         target = r.existing("staged")
         gone = inactive_keys(r.table("enriched"), target) if remove_inactive else None
-        r.merge("staged", stage_active(r.table("enriched"), as_of, target=target), order=["enriched_dts"],
+        r.merge("staged", stage_active(r.table("enriched"), load_ts, target=target), order=["enriched_dts"],
                 delete_keys=gone)
 
     def mart(name, build):

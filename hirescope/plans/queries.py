@@ -40,6 +40,7 @@ from ..operators import (
 from ..session import work_path
 from ..sources import fixtures
 from ..sources.files import bronze_stamp, read_availability_csv, read_raw_feed
+from ..sources import sinks
 from ..sources.sinks import merge_into_table, write_partitioned
 from ..streaming import ingest_files
 from . import jobs, pipeline
@@ -51,6 +52,7 @@ AS_OF = fixtures.AS_OF
 FIRST_LOAD = dt.date(2001, 7, 31)
 SPLIT_FIRST = "1999-01-01 00:00:00"
 SPLIT_SECOND = "1998-01-01 00:00:00"
+LEGACY_MARK = "1997-06-01 00:00:00"
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 SPARK: dict[str, QueryFn] = {}
@@ -187,6 +189,25 @@ def q_clean_legacy(spark, sf):
     return clean_feed_legacy(a, "a", AS_OF)
 
 
+@register(
+    "clean_legacy_incremental",
+    with_ctes(
+        f"""SELECT url, job_posting_id, job_title, company_name, job_location, job_summary, job_seniority_level,
+  job_function, job_employment_type, job_industries, MIN_AMOUNT AS min_salary, MAX_AMOUNT AS max_salary,
+  {_o.POSTED_A_SQL} AS job_posted_date, "timestamp" AS scraped_dts, ingest_dts, _rescued_data,
+  0 AS is_enriched, 0 AS job_source, 1 AS is_active, {_o.PARTS_SQL}
+FROM bronze_a WHERE "timestamp" > TIMESTAMP '{LEGACY_MARK}'""",
+        "bronze_a",
+    ),
+)
+def q_clean_legacy_incremental(spark, sf):
+    """The older tree's filter: raw event time against the target's ingest time."""
+    a, _ = pipeline.bronze_feeds(spark, sf, AS_OF)
+    loaded = a.withColumn("ingest_dts", F.lit(LEGACY_MARK).cast("timestamp"))
+    target = clean_feed_legacy(loaded.where(F.col("timestamp") < F.lit(LEGACY_MARK).cast("timestamp_ntz")), "a", AS_OF)
+    return clean_feed_legacy(a, "a", AS_OF, target=target)
+
+
 def _legacy_sql(src: str, min_s: str, max_s: str, posted: str, source: int) -> str:
     return f"""SELECT url, job_posting_id, job_title, company_name, job_location, job_seniority_level,
   job_function, job_employment_type, job_industries, {min_s} AS min_salary, {max_s} AS max_salary,
@@ -493,14 +514,39 @@ def q_merge_partitioned(spark, sf):
     return spark.read.parquet(path).select(*schemas.CLEANED_COLUMNS)
 
 
-@register("load_availability_csv", with_ctes("SELECT * FROM availability", "availability"))
+@register(
+    "load_availability_csv",
+    with_ctes(
+        """SELECT * REPLACE (CASE WHEN CAST(job_posting_id AS BIGINT) % 7 = 0 THEN NULL ELSE is_active END AS is_active) FROM availability""",
+        "availability",
+    ),
+)
 def q_load_availability_csv(spark, sf):
-    """Availability pool through the CSV source with an explicit schema."""
+    """Availability pool through the CSV source with an explicit schema; the
+    flag comes as 1/0, as true/false and, for some rows, as an odd word."""
     path = work_path(spark, "availability-csv")
-    fixtures.availability(spark, sf).write.option("header", True).csv(path)
+    k, active = F.col("job_posting_id").cast("long"), F.col("is_active")
+    flag = F.when(k % 7 == 0, "maybe").when(k % 2 == 0, F.when(active, "1").otherwise("0")).otherwise(active.cast("string"))
+    fixtures.availability(spark, sf).withColumn("is_active", flag).write.option("header", True).csv(path)
     return load_availability(read_availability_csv(spark, path), AS_OF)
 
 
+@register("merge_resume", _MERGE_SQL)
+def q_merge_resume(spark, sf):
+    """The two loads of merge_partitioned, the second one broken off after its
+    journal, once before and once after the table was changed; reading the
+    table finishes it."""
+    path = work_path(spark, "merged")
+    first = _cleaned_loaded(spark, sf, FIRST_LOAD)
+    merge_into_table(spark, path, first.where(F.col("scraped_dts") < F.lit(SPLIT_FIRST).cast("timestamp_ntz")), ["job_posting_id"])
+    second = _cleaned_loaded(spark, sf, AS_OF).where(F.col("scraped_dts") >= F.lit(SPLIT_SECOND).cast("timestamp_ntz"))
+    half = F.pmod(F.xxhash64("job_posting_id"), F.lit(2))
+    for part, step in ((0, "before"), (1, "after")):
+        with sinks.broken_off(step):
+            merge_into_table(spark, path, second.where(half == part), ["job_posting_id"])
+    return sinks.read_table(spark, path).select(*schemas.CLEANED_COLUMNS)
+
+
 STREAM_FILES = 4
 
 
@@ -516,6 +562,20 @@ def q_stream_ingest(spark, sf):
     return spark.read.parquet(target).select(*schemas.CLEANED_COLUMNS)
 
 
+@register("stream_drop_late", with_ctes(f"SELECT * FROM cleaned_a WHERE scraped_dts >= TIMESTAMP '{SPLIT_SECOND}'", "cleaned_a"))
+def q_stream_drop_late(spark, sf):
+    """Recent postings land first; a later file of older ones is dropped by
+    the reference's event-time mark."""
+    landing, target, checkpoint = (work_path(spark, n) for n in ("landing-late", "late-target", "late-ckpt"))
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF))
+    cut = F.lit(SPLIT_SECOND).cast("timestamp_ntz")
+    raw.where(F.col("timestamp") >= cut).write.parquet(landing)
+    ingest_files(spark, landing, "a", target, checkpoint, AS_OF, drop_late=True)
+    raw.where(F.col("timestamp") < cut).write.mode("append").parquet(landing)
+    ingest_files(spark, landing, "a", target, checkpoint, AS_OF, drop_late=True)
+    return sinks.read_table(spark, target).select(*schemas.CLEANED_COLUMNS)
+
+
 # ------------------------------------------------- incremental tiers (two loads)
 
 
@@ -561,22 +621,54 @@ def q_incremental_enrich(spark, sf):
     return enrich(old_u.unionByName(new_u), silver.availability, silver.summaries, AS_OF, target=target)
 
 
+LINEAGE_SLICES = 4
+
+
 @register(
     "bronze_lineage",
     with_ctes(
-        f"""SELECT job_posting_id, "timestamp", ingest_dts, true AS has_source_file, {_o.PARTS_SQL} FROM bronze_a""",
+        f"""SELECT job_posting_id, "timestamp", ingest_dts,
+  'slice' || CAST(CAST(job_posting_id AS BIGINT) % {LINEAGE_SLICES} AS VARCHAR) AS source_folder, {_o.PARTS_SQL} FROM bronze_a""",
         "bronze_a",
     ),
 )
 def q_bronze_lineage(spark, sf):
-    """Raw feed A files read back with their fixed schema and stamped with
-    load time, load-date parts and each row's source file."""
+    """Raw feed A files, landed in one folder per id class, read back with
+    their fixed schema and stamped with load time, load-date parts and each
+    row's source file, whose folder tells the id class."""
     landing = work_path(spark, "raw-a")
-    fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF)).write.parquet(landing)
-    bronze = bronze_stamp(read_raw_feed(spark, landing, "a"), AS_OF)
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF))
+    folders = [f"{landing}/slice{i}" for i in range(LINEAGE_SLICES)]
+    for i, folder in enumerate(folders):
+        raw.where(F.col("job_posting_id").cast("long") % LINEAGE_SLICES == i).write.parquet(folder)
+    bronze = bronze_stamp(read_raw_feed(spark, folders, "a"), AS_OF)
     return bronze.select(
         "job_posting_id", "timestamp", "ingest_dts",
-        F.col("source_file").endswith(".parquet").alias("has_source_file"), "year", "month", "day",
+        F.regexp_extract("source_file", "/(slice[0-9]+)/[^/]+$", 1).alias("source_folder"), "year", "month", "day",
+    )
+
+
+@register(
+    "bronze_rescued",
+    with_ctes(
+        """SELECT job_posting_id, CASE WHEN CAST(job_posting_id AS BIGINT) % 5 = 0 THEN NULL ELSE MIN_AMOUNT END AS MIN_AMOUNT,
+  CASE WHEN CAST(job_posting_id AS BIGINT) % 5 = 0 AND MIN_AMOUNT IS NOT NULL THEN 'about ' || CAST(CAST(MIN_AMOUNT AS BIGINT) AS VARCHAR) END AS rescued_amount,
+  CASE WHEN CAST(job_posting_id AS BIGINT) % 3 = 0 THEN company_name END AS rescued_recruiter
+FROM bronze_a""",
+        "bronze_a",
+    ),
+)
+def q_bronze_rescued(spark, sf):
+    """Feed A files that drifted: the salary is text that does not always
+    convert, and an unknown column turns up.  Both are kept as rescued data."""
+    landing = work_path(spark, "raw-drifted")
+    k, amount = F.col("job_posting_id").cast("long"), F.col("MIN_AMOUNT")
+    text = F.when(k % 5 == 0, F.concat(F.lit("about "), amount.cast("long").cast("string"))).otherwise(amount.cast("string"))
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF)).drop("_rescued_data")
+    raw.withColumns({"MIN_AMOUNT": text, "recruiter": F.when(k % 3 == 0, F.col("company_name"))}).write.parquet(landing)
+    kept = F.from_json("_rescued_data", "map<string,string>")
+    return read_raw_feed(spark, landing, "a").select(
+        "job_posting_id", "MIN_AMOUNT", kept["MIN_AMOUNT"].alias("rescued_amount"), kept["recruiter"].alias("rescued_recruiter")
     )
 
 
@@ -605,6 +697,29 @@ def q_pipeline_run(spark, sf):
     return spark.read.parquet(written["heatmap_v2"])
 
 
+@register("pipeline_same_day", with_ctes("SELECT * EXCLUDE (ingest_dts, enriched_dts, dbt_created_at, dbt_updated_at) FROM staged", "staged"))
+def q_pipeline_same_day(spark, sf):
+    """Two loads on one day, each with its own load time: the second one's
+    postings reach staging like the first one's."""
+    root = work_path(spark, "landing")
+    layout = jobs.Layout(work_path(spark, "warehouse"))
+    cut = F.lit(SPLIT_FIRST).cast("timestamp_ntz")
+    raw = _land(spark, sf, root, F.col("scraped_dts") < cut)
+    morning = dt.datetime.combine(AS_OF, dt.time(8))
+    jobs.run(spark, raw, layout, AS_OF, marts=False, load_ts=morning)
+    _land(spark, sf, root, F.col("scraped_dts") >= cut, side_tables=False)
+    written = jobs.run(spark, raw, layout, AS_OF, marts=False, load_ts=morning + dt.timedelta(hours=8))
+    return sinks.read_table(spark, written["staged"]).select(*schemas.STAGED_COLUMNS).drop("ingest_dts", "enriched_dts", "dbt_created_at", "dbt_updated_at")
+
+
+@register("pipeline_orc", with_ctes("SELECT * FROM staged", "staged"))
+def q_pipeline_orc(spark, sf):
+    """The whole job with ORC tables; staging read back."""
+    raw = _land(spark, sf, work_path(spark, "landing"))
+    written = jobs.run(spark, raw, jobs.Layout(work_path(spark, "warehouse"), format="orc"), AS_OF, marts=False)
+    return sinks.read_table(spark, written["staged"], "orc").select(*schemas.STAGED_COLUMNS)
+
+
 @register("pipeline_views", with_ctes("SELECT * FROM heatmap_v2", "heatmap_v2"))
 def q_pipeline_views(spark, sf):
     """The same job with every model materialised as a temp view: nothing is

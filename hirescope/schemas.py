@@ -52,7 +52,7 @@ RAW_FEED_B = T.StructType(
 AVAILABILITY_CSV = T.StructType(
     [
         T.StructField("job_posting_id", T.StringType()),
-        T.StructField("is_active", T.BooleanType()),
+        T.StructField("is_active", T.StringType()),
         T.StructField("validated_dts", T.TimestampType()),
         T.StructField("_corrupt_record", T.StringType()),
     ]

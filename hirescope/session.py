@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,14 +39,17 @@ def local_session(cores: str | int = "*", app: str = "hirescope", **extra: str)
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is; a
+    cluster session without it is refused, because executors would write to
+    their own disks.  Only a local session gets a scratch folder of its own.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="hirescope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -56,38 +60,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of files under ``paths`` (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            total += fs.getContentSummary(p).getLength()
-    return total
-
-
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def size_shuffle_partitions(spark: SparkSession, paths, bytes_per_partition: int = 128 << 20) -> int:
-    """Start shuffles with enough partitions for the data under ``paths``.
-
-    Adaptive execution can merge small shuffle partitions but never split an
-    oversized one (skewed joins aside), so the initial count has to scale
-    with the input: about one partition per ``bytes_per_partition`` of input,
-    never fewer than ``spark.sql.shuffle.partitions``.  A value the user set
-    is left alone.  Returns the count in effect.
-    """
-    current = spark.conf.get(INITIAL_PARTITIONS, None)
-    if current:
-        return int(current)
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(base, -(-input_bytes(spark, paths) // bytes_per_partition))
-    if wanted > base:
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    return wanted

@@ -12,39 +12,22 @@ from .. import schemas
 FEEDS = {"a": schemas.RAW_FEED_A, "b": schemas.RAW_FEED_B}
 
 
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when it has fewer partitions than the
-    cluster can run at once (e.g. a single-row-group file).
-
-    A large multi-file input already has enough splits, so this is a no-op
-    there; only under-split inputs pay one (deterministic, retry-safe) hash
-    exchange.  Only the partition count of the plan is inspected, no data.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. no RDD access on a remote session)
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def read_raw_feed(spark: SparkSession, path: str, feed: str, rescue: bool = False) -> DataFrame:
-    """Parquet directory scan of one raw feed with its fixed schema.
-
-    ``_rescued_data`` is part of the schema; for Parquet it stays NULL
-    unless the producer filled it.  With ``rescue=True`` the files' own
-    (footer) schema is read and fitted to the fixed one: a column of another
-    type is converted with ``try_cast``, and every value that does not
-    convert, plus every column the schema does not know, is kept as JSON in
-    ``_rescued_data`` (``{"column": "value", ...}``) instead of failing the
-    load or being dropped.
+def read_raw_feed(spark: SparkSession, path: str | list[str], feed: str, rescue: bool = True) -> DataFrame:
+    """Parquet scan of one raw feed (a folder or a list of files), fitted to
+    its fixed schema.
+
+    The files' own schemas (footers, merged) are fitted to the fixed one: a
+    column of another type is converted with ``try_cast``, and every value
+    that does not convert, plus every column the schema does not know, is kept
+    as JSON in ``_rescued_data`` (``{"column": "value", ...}``), so nothing a
+    producer adds is lost.  ``rescue=False`` reads the fixed schema only,
+    without a look at the footers, and drops unknown columns.
     """
     schema = FEEDS[feed]
+    paths = [path] if isinstance(path, str) else list(path)
     if not rescue:
-        return spark.read.schema(schema).parquet(path)
-    raw = spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(*paths)
+    raw = spark.read.option("mergeSchema", True).parquet(*paths)
     have = {f.name: f.dataType for f in raw.schema.fields}
     cols, rescued = [], []
     for field in schema.fields:
@@ -78,6 +61,8 @@ def _as_text(col: Column, dtype) -> Column:
 def read_availability_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV directory scan of the availability pool.
 
+    ``is_active`` is read as text (``load_availability`` converts ``true``,
+    ``1``, ``false``, ``0`` and the like), so odd values are not lost here.
     Rows that do not fit the schema keep their text in ``_corrupt_record``
     (PERMISSIVE mode) instead of failing the load.
     """
@@ -97,7 +82,7 @@ def read_ai_summaries(spark: SparkSession, path: str) -> DataFrame:
 def as_of_timestamp(as_of: dt.datetime | dt.date | str) -> Column:
     """A load-time literal in the session zone (the reference's current_timestamp)."""
     if isinstance(as_of, dt.datetime):
-        text = as_of.strftime("%Y-%m-%d %H:%M:%S")
+        text = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
     else:
         text = f"{as_of} 00:00:00" if len(str(as_of)) == 10 else str(as_of)
     return F.to_timestamp(F.lit(text))

@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import spread
 
 # The latest o_orderdate at every scale factor; the default "today".
 AS_OF = dt.date(2001, 8, 1)
@@ -57,10 +56,7 @@ def _hot(k: Column, index: Column) -> Column:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
-    )
-    return spread(orders, "o_orderkey")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
 
 def postings(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:

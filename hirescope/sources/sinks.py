@@ -1,20 +1,66 @@
-"""Sinks: full rebuild, load-date partitioned tables, and reading them back.
-
-Tables are written to a path (Parquet by default; the format is a
-parameter so a table format can be dropped in where its jar exists).
+"""Sinks: full rebuild, load-date partitioned tables, crash-safe merges, and
+reading tables back.
+
+Tables are written to a path (Parquet by default; the format is a parameter).
+A change of an existing table is prepared beside it, in ``<path>__pending``:
+the batch and the new content of what will be replaced are written there, then
+a journal.  Only then is the table touched.  Whoever reads or merges the table
+next through this module finishes a change that has a journal (each step can
+be repeated) and forgets one that has none, so a lost driver leaves neither
+lost nor doubled rows.  A finished change leaves no folder behind.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+DONE = "_SUCCESS"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was completely created at ``path`` (a driver lost
+    during the first write leaves a folder without Spark's success marker)."""
+    return path_exists(spark, f"{path}/{DONE}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _delete_folder_of(spark: SparkSession, uri: str) -> None:
+    """Delete a folder given as the URI that file metadata shows (encoded)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Create-or-replace a whole table (``materialized='table'``)."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    """Create-or-replace a whole table (``materialized='table'``).  The old
+    rows stay readable until the new ones are completely written."""
+    spark = df.sparkSession
+    finish_pending(spark, path)
+    if not table_exists(spark, path):
+        df.write.mode("overwrite").format(fmt).save(path)
+        return path
+    df.write.mode("overwrite").format(fmt).save(f"{_pending(path)}/replaced")
+    _commit(spark, path, None, {"format": fmt, "partitions": [], "key": [], "replaced": True, "append": False, "emptied": []})
     return path
 
 
@@ -43,40 +89,6 @@ def write_partitioned(
     return path
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-# Characters that partition folder names percent-escape.
-_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(32)}
-
-
-def _escape(value) -> str:
-    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
-
-
-def _partition_dir(partitions: Sequence[str], values: Sequence) -> str:
-    """Folder of one partition (int, string or date values), as Spark names it."""
-    return "/".join(
-        f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else _escape(v)}" for c, v in zip(partitions, values)
-    )
-
-
-def _delete_partition_dirs(spark: SparkSession, path: str, partitions: Sequence[str], values: list) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for row in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_partition_dir(partitions, row)}")
-        p.getFileSystem(conf).delete(p, True)
-
-
 class CatalogTable:
     """A catalog table stored at a known path, optionally bucketed by its key.
 
@@ -85,15 +97,16 @@ class CatalogTable:
     bucket layout; rows are written with ``saveAsTable`` / ``insertInto``.
     """
 
-    def __init__(self, name: str, buckets: int = 0):
+    def __init__(self, name: str, buckets: int = 0, fmt: str = "parquet"):
         self.name = name
         self.buckets = buckets
+        self.format = fmt
 
     def exists(self, spark: SparkSession) -> bool:
         return spark.catalog.tableExists(self.name)
 
     def create(self, df: DataFrame, path: str, partitions: Sequence[str], key: Sequence[str]) -> None:
-        writer = df.write.format("parquet").option("path", path).mode("overwrite")
+        writer = df.write.format(self.format).option("path", path).mode("overwrite")
         if partitions:
             writer = writer.partitionBy(*partitions)
         if self.buckets:
@@ -105,6 +118,93 @@ class CatalogTable:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         df.write.insertInto(self.name, overwrite=True)
 
+    def drop_partition(self, spark: SparkSession, values: dict) -> None:
+        literal = lambda v: "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spec = ", ".join(f"`{c}`={literal(v)}" for c, v in values.items())
+        spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    finish_pending(spark, path)
+    return spark.read.format(fmt).load(path)
+
+
+def finish_pending(spark: SparkSession, path: str, table: CatalogTable | None = None) -> bool:
+    """Finish or forget an interrupted change of the table at ``path``; true
+    if one was finished."""
+    pending = _pending(path)
+    if not path_exists(spark, pending):
+        return False
+    ready = path_exists(spark, f"{pending}/journal/{DONE}")
+    if ready:
+        journal = json.loads("".join(r[0] for r in spark.read.text(f"{pending}/journal").collect()))  # one line
+        _apply(spark, path, table, journal, again=True)
+    _delete(spark, f"{pending}/journal")
+    _delete(spark, pending)
+    return ready
+
+
+_broken_off: ContextVar[str] = ContextVar("broken_off", default="")
+
+
+@contextmanager
+def broken_off(step: str):
+    """For rehearsals: changes made inside stop after their journal is
+    written, ``"before"`` or ``"after"`` the table is changed, as if the driver
+    were lost there."""
+    token = _broken_off.set(step)
+    try:
+        yield
+    finally:
+        _broken_off.reset(token)
+
+
+def _commit(spark: SparkSession, path: str, table: CatalogTable | None, journal: dict) -> None:
+    """Write the journal, then carry the change out."""
+    pending = _pending(path)
+    spark.createDataFrame([(json.dumps(journal),)], "value string").coalesce(1).write.mode("overwrite").text(f"{pending}/journal")
+    if _broken_off.get() == "before":
+        return
+    _apply(spark, path, table, journal)
+    if _broken_off.get() == "after":
+        return
+    _delete(spark, f"{pending}/journal")
+    _delete(spark, pending)
+
+
+def _apply(spark: SparkSession, path: str, table: CatalogTable | None, journal: dict, again: bool = False) -> None:
+    """Carry out a journalled change; may be repeated from the start."""
+    from ..operators.incremental import matching
+
+    pending, fmt, partitions = _pending(path), journal["format"], journal["partitions"]
+    read = lambda name: spark.read.format(fmt).load(f"{pending}/{name}")
+    if journal["replaced"]:
+        if table is not None:
+            columns = spark.table(table.name)
+            table.replace(spark, spark.read.format(fmt).schema(columns.schema).load(f"{pending}/replaced").select(*columns.columns))
+        else:
+            writer = read("replaced").write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (writer.partitionBy(*partitions) if partitions else writer).save(path)
+    for emptied in journal["emptied"]:
+        if table is not None:
+            table.drop_partition(spark, emptied["values"])
+        else:
+            _delete_folder_of(spark, emptied["folder"])
+    if journal["append"]:
+        rows = read("append")
+        if again:  # some of them may have arrived: keys already there are not appended twice
+            now = spark.table(table.name) if table is not None else spark.read.format(fmt).load(path)
+            rows = matching(rows, now.select(*journal["key"]), journal["key"], "left_anti")
+        if table is not None:
+            rows.select(*spark.table(table.name).columns).write.insertInto(table.name, overwrite=False)
+        else:
+            writer = rows.write.format(fmt).mode("append")
+            (writer.partitionBy(*partitions) if partitions else writer).save(path)
+
 
 def merge_into_table(
     spark: SparkSession,
@@ -113,119 +213,76 @@ def merge_into_table(
     key: Sequence[str],
     partitions: Sequence[str] = ("year", "month", "day"),
     order: Sequence[str] | None = None,
-    staging_root: str | None = None,
     delete_keys: DataFrame | None = None,
     table: CatalogTable | None = None,
+    fmt: str = "parquet",
 ) -> str:
-    """Upsert ``batch`` into a partitioned Parquet table at ``path``,
-    rewriting only the partitions the batch touches.  Rows whose key is in
-    ``delete_keys`` are removed as well.  With ``table`` the data lives in a
-    catalog table at ``path`` (bucketed by ``key`` if asked) and is read and
-    written through the catalog.
-
-    Touched partitions are those holding a target row whose key the batch
-    replaces or deletes (a key may move to a newer load-date partition).
-    Their new content (surviving rows + batch rows that belong there) is
-    written to a staging folder first, so the target is never overwritten
-    while it is being read; then only those partitions are replaced (dynamic
-    partition overwrite), and a touched partition left without rows is
-    removed.  The remaining batch rows are appended, so an append-only batch
-    (e.g. a streaming micro-batch of new postings) rewrites nothing.
-    Re-running the same batch gives the same table.  Only the list of
-    touched partition values (one row per load date) reaches the driver.
+    """Upsert ``batch`` into the table at ``path``, rewriting only the
+    partitions that hold a row whose key the batch replaces.  Rows whose key
+    is in ``delete_keys`` are removed as well.  With ``table`` the data lives
+    in a catalog table at ``path`` (bucketed by ``key`` if asked) and is read
+    and written through the catalog.
+
+    Without ``order`` the batch must not repeat a key; with it the latest row
+    of a key counts.  Partitions that hold a replaced row (a key may move to
+    a newer load date) get new content: surviving rows and the batch's rows
+    for them; a partition left without rows is removed.  Batch rows for other
+    partitions are appended, so an append-only batch rewrites nothing.  An
+    unpartitioned table is rewritten only if a key is replaced.  Replaying a
+    batch changes nothing, and a lost driver is made good by the next merge or
+    read (see the module text).  Only the list of touched partitions (one row
+    per load date) reaches the driver.
     """
-    from ..operators.incremental import key_match, latest_per_key
-    from ..session import work_path
+    from ..operators.incremental import latest_per_key, matching
 
     key, partitions = list(key), list(partitions)
+    finish_pending(spark, path, table)
     if order:
         batch = latest_per_key(batch, key, order)
     if table is not None and not table.exists(spark):
         table.create(batch, path, partitions, key)
         return path
-    if table is None and not path_exists(spark, path):
-        return write_partitioned(batch, path, partitions) if partitions else write_table(batch, path)
-    target = spark.table(table.name) if table is not None else spark.read.parquet(path)
-    if not partitions:
-        return _merge_whole(spark, path, target, batch, key, staging_root, delete_keys, table)
-    # the batch is read several times below; keep it for the merge only
-    batch = batch.select(*target.columns).persist()
-    try:
-        keys = batch.select(*key)
-        if delete_keys is not None:
-            keys = keys.unionByName(delete_keys.select(*key))
-        if delete_keys is not None or not order:  # repeated keys collapse map-side
-            keys = keys.dropDuplicates()
-        keys = keys.alias("b")
-        match = key_match(key)
-        # partitions holding a row that the batch replaces or deletes: only
-        # these are rewritten; one row per load date reaches the driver
-        touched = sorted(
-            {tuple(r) for r in target.alias("t").join(keys, match, "left_semi").select(*partitions)
-             .distinct().collect()},
-            key=repr,
-        )
-        staging = None
+    if table is None and not table_exists(spark, path):
+        # static overwrite: clears what a broken-off first write left, and marks success at the table's root
+        batch.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static").partitionBy(*partitions).save(path)
+        return path
+    target = spark.table(table.name) if table is not None else spark.read.format(fmt).load(path)
+    columns, pending = target.columns, _pending(path)
+    # the batch is read several times below: from files, not from a plan that could change
+    # (with the table's types: partition values that are read back from folder names may be dates or numbers)
+    typed = batch.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
+    typed.write.format(fmt).mode("overwrite").save(f"{pending}/batch")
+    batch = spark.read.format(fmt).schema(target.schema).load(f"{pending}/batch").select(*columns)
+    keys = batch.select(*key)
+    if delete_keys is not None:
+        keys = keys.unionByName(delete_keys.select(*key))
+    if delete_keys is not None or not order:  # repeated keys collapse map-side
+        keys = keys.dropDuplicates()
+    journal = {"format": fmt, "partitions": partitions, "key": key, "replaced": False, "append": True, "emptied": []}
+    save = lambda df, name: df.write.format(fmt).mode("overwrite").save(f"{pending}/{name}")
+    if partitions:
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("__folder")
+        hits = matching(target.select(*dict.fromkeys([*key, *partitions]), folder), keys, key, "left_semi")
+        touched = hits.select(*partitions, "__folder").distinct().collect()
+        appended = batch
         if touched:
-            touched_df = spark.createDataFrame(touched, target.select(*partitions).schema)
-            affected = target.join(touched_df, partitions, "left_semi")
-            kept = affected.alias("t").join(keys, match, "left_anti").select(*target.columns)
-            # (a join on column names lists those columns first: restore the order)
-            arriving = batch.join(touched_df, partitions, "left_semi").select(*target.columns)
-            staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
-            kept.unionByName(arriving).write.mode("overwrite").partitionBy(*partitions).parquet(staging)
-            appended = batch.join(touched_df, partitions, "left_anti").select(*target.columns)
-        else:
-            appended = batch
-        # rows for partitions nothing was replaced in: a plain append
-        _append(spark, appended, path, partitions, table)
-    finally:
-        batch.unpersist()
-    if staging is not None:
-        staged = spark.read.schema(target.schema).parquet(staging).select(*target.columns)
-        if table is not None:
-            table.replace(spark, staged)
-        else:
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                *partitions
-            ).parquet(path)
-        emptied = [p for p in touched if not path_exists(spark, f"{staging}/{_partition_dir(partitions, p)}")]
-        if emptied:
-            _delete_partition_dirs(spark, path, partitions, emptied)
-    return path
-
-
-def _append(spark, df: DataFrame, path: str, partitions, table) -> None:
-    if table is not None:
-        df.write.insertInto(table.name, overwrite=False)
+            touched_df = spark.createDataFrame(sorted({tuple(r)[:-1] for r in touched}, key=repr), target.select(*partitions).schema)
+            # partition values are matched null-safely: a row of the NULL partition is in it
+            kept = matching(matching(target, touched_df, partitions, "left_semi"), keys, key, "left_anti")
+            arriving = matching(batch, touched_df, partitions, "left_semi")
+            appended = matching(batch, touched_df, partitions, "left_anti")
+            save(kept.unionByName(arriving), "replaced")
+            present = {tuple(r) for r in spark.read.format(fmt).schema(target.schema).load(f"{pending}/replaced").select(*partitions).distinct().collect()}
+            journal["replaced"] = True
+            gone = {(tuple(r)[:-1], r["__folder"]) for r in touched if tuple(r)[:-1] not in present}
+            journal["emptied"] = [{"folder": f, "values": {c: None if v is None else str(v) for c, v in zip(partitions, values)}} for values, f in sorted(gone, key=repr)]
+        save(appended, "append")
     else:
-        df.write.mode("append").partitionBy(*partitions).parquet(path)
-
-
-def _merge_whole(spark, path, target, batch, key, staging_root, delete_keys=None, table=None):
-    """Unpartitioned table: the merged table goes to staging, then replaces the target."""
-    from ..operators.incremental import key_match, upsert
-    from ..session import work_path
-
-    batch = batch.select(*target.columns).persist()
-    try:
-        if batch.isEmpty() and (delete_keys is None or delete_keys.isEmpty()):
-            return path
-        replaced = target.alias("t").join(batch.select(*key).alias("b"), key_match(key), "left_semi")
-        if delete_keys is None and replaced.isEmpty():  # only new keys: append
-            _append(spark, batch, path, [], table)
-            return path
-        staging = (staging_root or work_path(spark, "merge-staging")).rstrip("/")
-        merged = upsert(target, batch, key)
-        if delete_keys is not None:
-            gone = delete_keys.select(*key).alias("d")
-            merged = merged.alias("m").join(gone, key_match(key, "m", "d"), "left_anti").select(*target.columns)
-        merged.write.mode("overwrite").parquet(staging)
-    finally:
-        batch.unpersist()
-    staged = spark.read.schema(target.schema).parquet(staging)
-    if table is not None:
-        table.replace(spark, staged)
-    else:
-        staged.write.mode("overwrite").parquet(path)
+        replaced = not matching(target, keys, key, "left_semi").isEmpty()
+        if replaced:
+            save(matching(target, keys, key, "left_anti").unionByName(batch), "replaced")
+        else:
+            save(batch, "append")
+        journal |= {"replaced": replaced, "append": not replaced}
+    _commit(spark, path, table, journal)
     return path

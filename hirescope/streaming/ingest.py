@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_feed
 from ..operators.incremental import since
-from ..sources.files import FEEDS, bronze_stamp
-from ..sources.sinks import merge_into_table, path_exists
+from ..sources.files import FEEDS, bronze_stamp, read_raw_feed
+from ..sources.sinks import merge_into_table, read_table, table_exists
 
 
 def merge_files(
@@ -32,26 +32,40 @@ def merge_files(
     order: Sequence[str] | None = None,
     partitions: Sequence[str] = ("year", "month", "day"),
     max_files_per_trigger: int | None = None,
-    timeout_s: int | None = None,
     late_filter: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    rescue: bool = True,
+    check: Callable[[DataFrame], None] | None = None,
+    fmt: str = "parquet",
 ) -> str:
     """Run an ``availableNow`` stream over the raw files of ``feed`` under
     ``landing``: each micro-batch (with its rows' source file) goes through
     ``transform`` and is merged into the table at ``target``.
 
     ``late_filter(batch, current_target)`` may drop rows before the
-    transform (used for the reference's event-time high-water mark).
+    transform (used for the reference's event-time high-water mark);
+    ``check(batch)`` may refuse a batch by raising.  With ``rescue`` the files
+    of a micro-batch are read with their own schemas, and what does not fit
+    the feed's schema is kept in ``_rescued_data``.  The call returns when all
+    files present at its start are merged, and raises if the stream fails.
     """
-    reader = spark.readStream.schema(FEEDS[feed])
+    # a rescuing stream only tells which files are new: it reads a column that no file has
+    reader = spark.readStream.schema("__none string" if rescue else FEEDS[feed])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        if late_filter is not None and path_exists(session, target):
-            batch = late_filter(batch, session.read.parquet(target))
-        merge_into_table(session, target, transform(batch), key, partitions, order=order)
+        if rescue:  # the batch's files are read with their own schemas
+            files = [r[0] for r in batch.select("source_file").distinct().collect()]
+            if not files:
+                return
+            batch = read_raw_feed(session, files, feed).withColumn("source_file", F.col("_metadata.file_path"))
+        if check is not None:
+            check(batch)
+        if late_filter is not None and table_exists(session, target):
+            batch = late_filter(batch, read_table(session, target, fmt))
+        merge_into_table(session, target, transform(batch), key, partitions, order=order, fmt=fmt)
 
     query = (
         raw.writeStream.foreachBatch(merge_batch)
@@ -59,9 +73,7 @@ def merge_files(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
-    if query.exception() is not None:
-        raise query.exception()
+    query.awaitTermination()
     return target
 
 
@@ -75,7 +87,6 @@ def ingest_files(
     key: Sequence[str] = ("job_posting_id",),
     order: Sequence[str] = ("scraped_dts",),
     max_files_per_trigger: int | None = None,
-    timeout_s: int | None = None,
     drop_late: bool = False,
 ) -> str:
     """Raw feed files straight into the cleaned table (stamp + clean + merge).
@@ -90,7 +101,7 @@ def ingest_files(
 
     late = (lambda batch, current: since(batch, current, "timestamp", "scraped_dts")) if drop_late else None
     return merge_files(spark, landing, feed, transform, target, checkpoint, key, order,
-                       max_files_per_trigger=max_files_per_trigger, timeout_s=timeout_s, late_filter=late)
+                       max_files_per_trigger=max_files_per_trigger, late_filter=late)
 
 
 def ingest_bronze(
@@ -102,6 +113,9 @@ def ingest_bronze(
     as_of,
     key: Sequence[str] = ("job_posting_id",),
     drop_late: bool = False,
+    rescue: bool = True,
+    check: Callable[[DataFrame], None] | None = None,
+    fmt: str = "parquet",
 ) -> str:
     """Raw feed files into the bronze table: raw columns, load stamps and the
     source file of every row; only files not seen before are read."""
@@ -111,4 +125,4 @@ def ingest_bronze(
 
     late = (lambda batch, current: since(batch, current, "timestamp")) if drop_late else None
     return merge_files(spark, landing, feed, transform, target, checkpoint, key, order=("timestamp",),
-                       late_filter=late)
+                       late_filter=late, rescue=rescue, check=check, fmt=fmt)

@@ -89,15 +89,41 @@ def test_job_remove_inactive(spark):
         assert (kept == 1) is expect_kept
 
 
-def test_shuffle_partitions_follow_input_size(spark):
-    from hirescope.session import INITIAL_PARTITIONS, size_shuffle_partitions
-
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert size_shuffle_partitions(spark, ["/root/testdata/sf0.001"]) == base  # small input: unchanged
-        assert spark.conf.get(INITIAL_PARTITIONS, None) in (None, "")
-        wanted = size_shuffle_partitions(spark, ["/root/testdata/sf0.1"], bytes_per_partition=1 << 20)
-        assert wanted > base and spark.conf.get(INITIAL_PARTITIONS) == str(wanted)
-        assert size_shuffle_partitions(spark, ["/root/testdata/sf0.001"]) == wanted  # a set value is kept
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+def test_load_without_a_later_stamp_is_refused(spark):
+    import pytest
+
+    sf = "/root/testdata/sf0.001"
+    for mode in ("files", "stream"):
+        root = work_path(spark, "t-landing")
+        cut = F.lit(q.SPLIT_FIRST).cast("timestamp_ntz")
+        raw = q._land(spark, sf, root, F.col("scraped_dts") < cut)
+        layout = jobs.Layout(work_path(spark, "t-warehouse"))
+        jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False, bronze_mode=mode)
+        jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False, bronze_mode=mode)  # nothing new: fine
+        q._land(spark, sf, root, F.col("scraped_dts") >= cut, side_tables=False)
+        with pytest.raises(Exception, match="not later than the last load"):
+            jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False, bronze_mode=mode)
+        written = jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False, bronze_mode=mode, load_ts=dt.datetime(2001, 8, 1, 9))
+        ids = spark.read.parquet(written["unified"]).select("job_posting_id")
+        assert ids.count() == ids.distinct().count() == q.fixtures.postings(spark, sf).count()
+
+
+def test_cluster_session_without_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from hirescope import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

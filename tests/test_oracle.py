@@ -6,8 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import ROOT, SF_SMOKE
+from hirescope.plans import queries as entry
 
 _spec = importlib.util.spec_from_file_location("check_oracle", os.path.join(ROOT, "scripts", "check_oracle.py"))
 check = importlib.util.module_from_spec(_spec)

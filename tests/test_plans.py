@@ -1,14 +1,17 @@
 """Plan checks: no Python evaluation anywhere, broadcast of the fixed dimension,
 pruned scans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from hirescope.plans import queries as registry
 from conftest import SF_SMOKE
 
 SIDE_EFFECT_KEYS = {
     "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
-    "bronze_lineage", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
+    "bronze_lineage", "bronze_rescued", "merge_resume", "stream_drop_late", "pipeline_same_day", "pipeline_orc", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
     "pipeline_bucketed",
 }
 
@@ -17,27 +20,27 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SIDE_EFFECT_KEYS))
 def test_no_python_udf_in_plan(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMOKE))
+    plan = _plan(registry.queries()[name](spark, SF_SMOKE))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SIDE_EFFECT_KEYS))
 def test_no_cross_join_in_plan(spark, name):
     """High-water marks are scalar subqueries; every join is an equi-join."""
-    plan = _plan(entry.queries()[name](spark, SF_SMOKE))
+    plan = _plan(registry.queries()[name](spark, SF_SMOKE))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_geocode_broadcasts_city_dimension(spark):
-    plan = _plan(entry.queries()["geocode"](spark, SF_SMOKE))
+    plan = _plan(registry.queries()["geocode"](spark, SF_SMOKE))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
 
 
 def test_orders_scan_is_pruned(spark):
-    df = entry.queries()["heatmap_v1"](spark, SF_SMOKE)
+    df = registry.queries()["heatmap_v1"](spark, SF_SMOKE)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "o_orderpriority" not in text and "o_orderstatus" not in text
 
@@ -70,12 +73,60 @@ def test_bucketed_enrichment_inputs_join_without_shuffle(spark):
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
 
 
-def test_spread_only_touches_under_split_inputs(spark):
-    from hirescope.sources.files import spread
+def _without_broadcast(spark, build):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too big to broadcast
+    try:
+        return _plan(build())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_unify_shuffles_for_its_joins_only(spark):
+    plan = _without_broadcast(spark, lambda: registry.queries()["unify"](spark, SF_SMOKE))
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_merge_probe_uses_the_buckets(spark):
+    from hirescope.operators import matching
+    from hirescope.sources.sinks import CatalogTable
+    from hirescope.session import work_path
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS hs_probe LOCATION '{work_path(spark, 'db')}'")
+    rows = spark.range(2000).selectExpr("CAST(id AS STRING) AS k", "id AS v", "CAST(id % 3 AS STRING) AS p")
+    for name in ("t", "b"):
+        CatalogTable(f"hs_probe.{name}", 4).create(rows, work_path(spark, name), ["p"], ["k"])
+    t, b = spark.table("hs_probe.t"), spark.table("hs_probe.b")
+    plan = _without_broadcast(spark, lambda: matching(t, b.select("k"), ["k"], "left_semi"))
+    complete = plan.split("Union", 1)[1].split(":- ", 1)[1].split("\n+- ", 1)[0]
+    first = plan[plan.index("SortMergeJoin") : plan.index("SortMergeJoin", plan.index("SortMergeJoin") + 1)]
+    assert "Exchange" not in first, complete
+    spark.sql("DROP DATABASE hs_probe CASCADE")
+
+
+def test_incremental_reads_prune_partitions(spark):
+    import datetime as dt
+
+    from hirescope.operators import clean_feed, enrich, stage_active, unify
+    from hirescope.plans import jobs
+    from hirescope.plans import queries as q
+    from hirescope.session import work_path
+
+    raw = q._land(spark, SF_SMOKE, work_path(spark, "t-landing"))
+    layout = jobs.Layout(work_path(spark, "t-warehouse"))
+    jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False)
+    r = jobs.Run(spark, layout, dt.date(2001, 8, 2))
+    tiers = {
+        "cleaned": clean_feed(r.table("bronze_a"), "a", r.load_ts, target=r.existing("cleaned_a")),
+        "unified": unify(r.table("cleaned_b"), r.table("cleaned_a"), target=r.existing("unified")),
+        "enriched": enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), r.load_ts, target=r.existing("enriched")),
+        "staged": stage_active(r.table("enriched"), r.load_ts, target=r.existing("staged")),
+    }
+    for name, df in tiers.items():
+        plan = _plan(df)
+        assert re.search(r"PartitionFilters: \[[^\]]*(load_date|year)", plan), name
+
 
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert spread(wide, "id", min_partitions=8) is wide  # enough splits: plan unchanged
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread_out = spread(narrow, "id", min_partitions=8)
-    assert spread_out.rdd.getNumPartitions() == 8
-    assert "hashpartitioning(id" in _plan(spread_out)
+def test_marts_collect_no_sets_of_raw_rows(spark):
+    plan = _plan(registry.queries()["company_metrics"](spark, SF_SMOKE))
+    assert "ObjectHashAggregate" not in plan and "collect_set" not in plan

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from hirescope.operators import load_availability, unreadable_flags
 from hirescope.session import work_path
 from hirescope.sources import fixtures, read_availability_csv
 from hirescope.sources.sinks import merge_into_table
@@ -43,10 +44,13 @@ def test_availability_csv_keeps_bad_rows_aside(spark):
     path = work_path(spark, "t-csv")
     os.makedirs(path.replace("file:", ""), exist_ok=True)
     with open(path.replace("file:", "") + "/pool.csv", "w") as fh:
-        fh.write("job_posting_id,is_active,validated_dts\n1,true,2001-07-01 10:00:00\n2,maybe,2001-07-01 10:00:00\n")
+        fh.write("job_posting_id,is_active,validated_dts\n1,true,2001-07-01 10:00:00\n2,maybe,2001-07-01 10:00:00\n"
+                 "3,1,2001-07-01 10:00:00\n4,0,2001-07-01 10:00:00\n")
     rows = {r.job_posting_id: r for r in read_availability_csv(spark, path).collect()}
-    assert rows["1"].is_active is True and rows["1"]._corrupt_record is None
-    assert rows["2"].is_active is None and rows["2"]._corrupt_record.startswith("2,maybe")
+    assert rows["1"].is_active == "true" and rows["1"]._corrupt_record is None
+    raw = read_availability_csv(spark, path)
+    assert {r.job_posting_id: r.is_active for r in load_availability(raw, "2001-08-01").collect()} == {"1": True, "2": None, "3": True, "4": False}
+    assert [(r.job_posting_id, r.is_active) for r in unreadable_flags(raw).collect()] == [("2", "maybe")]
 
 
 def test_stream_ingest_only_new_files_and_late_rows(spark):
@@ -164,3 +168,58 @@ def test_unpartitioned_merge_appends_new_keys_and_rewrites_on_replace(spark):
     merge_into_table(spark, path, spark.createDataFrame([("a", 2), ("c", 1)], schema), ["k"], partitions=())
     merge_into_table(spark, path, spark.createDataFrame([("c", 1)], schema), ["k"], partitions=())
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_interrupted_merges_are_finished_once(spark):
+    """A driver lost before or after the change of the table, in either kind
+    of table: the next merge or read makes it good, and nothing is doubled."""
+    from hirescope.sources import sinks
+
+    schema = "k string, v long, p int"
+    for partitions in (("p",), ()):
+        for step in ("before", "after"):
+            path = work_path(spark, "t-broken")
+            merge_into_table(spark, path, spark.createDataFrame([("a", 1, 1), ("b", 1, 1), ("c", 1, 2)], schema), ["k"], partitions)
+            with sinks.broken_off(step):
+                merge_into_table(spark, path, spark.createDataFrame([("a", 2, 3), ("d", 2, 2), ("b", 2, 3)], schema), ["k"], partitions)
+            with sinks.broken_off(step):  # finishes the first, is broken off itself
+                merge_into_table(spark, path, spark.createDataFrame([("e", 3, 4), (None, 3, 4)], schema), ["k"], partitions)
+            rows = sorted((tuple(r) for r in sinks.read_table(spark, path).select("k", "v", "p").collect()), key=repr)
+            assert rows == sorted([("a", 2, 3), ("b", 2, 3), ("c", 1, 2), ("d", 2, 2), ("e", 3, 4), (None, 3, 4)], key=repr)
+            assert not sinks.path_exists(spark, sinks._pending(path))
+
+
+def test_unfinished_preparation_is_forgotten(spark):
+    from hirescope.sources import sinks
+
+    path = work_path(spark, "t-forget")
+    merge_into_table(spark, path, spark.createDataFrame([("a", 1)], "k string, v long"), ["k"], ())
+    spark.createDataFrame([("z", 9)], "k string, v long").write.parquet(f"{sinks._pending(path)}/replaced")
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("a", 1)]
+    sinks.write_table(spark.createDataFrame([("b", 2)], "k string, v long"), path)
+    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("b", 2)]
+
+
+def test_stream_rescues_drifted_files(spark):
+    landing, target, ckpt = (work_path(spark, n) for n in ("t-land", "t-target", "t-ckpt"))
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, "/root/testdata/sf0.001")).drop("_rescued_data").limit(20)
+    raw.withColumn("recruiter", F.lit("r")).withColumn("MIN_AMOUNT", F.lit("n/a")).write.parquet(landing)
+    ingest_files(spark, landing, "a", target, ckpt, fixtures.AS_OF)
+    rows = spark.read.parquet(target).select("min_salary", "_rescued_data").collect()
+    assert len(rows) == 20 and all(r.min_salary is None and '"recruiter":"r"' in r._rescued_data and "n/a" in r._rescued_data for r in rows)
+
+
+def test_failed_stream_raises(spark):
+    import pytest
+
+    from hirescope.streaming.ingest import merge_files
+
+    landing, target, ckpt = (work_path(spark, n) for n in ("t-land", "t-target", "t-ckpt"))
+    fixtures.raw_feed_a(fixtures.postings(spark, "/root/testdata/sf0.001")).limit(5).write.parquet(landing)
+
+    def refuse(batch):
+        raise ValueError("refused")
+
+    with pytest.raises(Exception, match="refused"):
+        merge_files(spark, landing, "a", lambda b: b, target, ckpt, check=refuse)
+    assert not spark.streams.active
