@@ -517,7 +517,7 @@ def q_merge_partitioned(spark, sf):
 @register(
     "load_availability_csv",
     with_ctes(
-        """SELECT * REPLACE (CASE WHEN CAST(job_posting_id AS BIGINT) % 7 = 0 THEN NULL ELSE is_active END AS is_active) FROM availability""",
+        """SELECT * REPLACE (CASE WHEN CAST(job_posting_id AS BIGINT) % 7 = 0 THEN NULL ELSE CAST(is_active AS VARCHAR) END AS is_active) FROM availability""",
         "availability",
     ),
 )
@@ -528,7 +528,8 @@ def q_load_availability_csv(spark, sf):
     k, active = F.col("job_posting_id").cast("long"), F.col("is_active")
     flag = F.when(k % 7 == 0, "maybe").when(k % 2 == 0, F.when(active, "1").otherwise("0")).otherwise(active.cast("string"))
     fixtures.availability(spark, sf).withColumn("is_active", flag).write.option("header", True).csv(path)
-    return load_availability(read_availability_csv(spark, path), AS_OF)
+    loaded = load_availability(read_availability_csv(spark, path), AS_OF)
+    return loaded.withColumn("is_active", F.col("is_active").cast("string"))
 
 
 @register("merge_resume", _MERGE_SQL)
