@@ -31,14 +31,13 @@ from hirescope.llm.common import materialize
 NEAREST = 20
 #: projections, and the share of windows that makes a vector a candidate
 PROJECTIONS = 160
-COLLIDE_SHARE = 0.57
+COLLIDE_SHARE = 0.6
 #: candidates wanted: this share of the block and a multiple of the results
-CANDIDATE_SHARE = 0.08
+CANDIDATE_SHARE = 0.14
 CANDIDATE_MULTIPLE = 4
-#: half width of the first window (vectors have length 1), its growth, and the steps that a later query starts below
+#: half width of the first window (vectors have length 1) and its growth
 WIDTH = 0.05
 GROWTH = 1.15
-START_BELOW = 2
 #: vectors of a block (places are 16-bit numbers) and queries of a block
 BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -95,6 +94,8 @@ class SortedBlock:
         self.ids, self.columns = ids, np.ascontiguousarray(vectors.T)
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
         longest = lengths.max()
+        if m > 255:
+            raise ValueError("collisions are counted in bytes: at most 255 projections")
         extended = np.hstack([vectors / longest, np.sqrt(np.maximum(0.0, 1 - (lengths / longest) ** 2))[:, None]])
         self.lines = _projections(vectors.shape[1], m)
         projected = self.lines @ extended.T
@@ -117,11 +118,12 @@ class SortedBlock:
             high = np.array([v.searchsorted(x, "right") for v, x in zip(self.values, at + width)])
             # a place below the window wraps round and is too large as well
             inside = self.places - low.astype(np.uint16)[:, None] < (high - low).astype(np.uint16)[:, None]
-            found = np.nonzero(inside.sum(axis=0, dtype=np.uint16) >= need)[0]
-            if len(found) >= wanted:
-                # the next query starts a few steps narrower than this one ended
-                self.width = max(WIDTH, width / GROWTH**START_BELOW)
-                return found
+            counts = inside.view(np.uint8).sum(axis=0, dtype=np.uint8)
+            if np.count_nonzero(counts >= need) >= wanted:
+                # the next query starts a step narrower than this one ended
+                self.width = max(WIDTH, width / GROWTH)
+                # one step can pass far more than are wanted: then the threshold rises to the last one wanted
+                return np.nonzero(counts >= max(need, np.partition(counts, n - wanted)[n - wanted]))[0]
             width *= GROWTH
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
