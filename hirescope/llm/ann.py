@@ -34,7 +34,7 @@ PROJECTIONS = 160
 COLLIDE_SHARE = 0.6
 #: candidates wanted: this share of the block and a multiple of the results
 CANDIDATE_SHARE = 0.14
-CANDIDATE_MULTIPLE = 4
+CANDIDATE_MULTIPLE = 30
 #: half width of the first window (vectors have length 1) and its growth
 WIDTH = 0.05
 GROWTH = 1.15
