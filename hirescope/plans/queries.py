@@ -123,16 +123,10 @@ def q_employment_type(spark, sf):
     )
 
 
-_FIXED_SQL = _o.EMPLOYMENT_SQL.replace(
-    "lower(regexp_replace(job_employment_type, '[^a-z]', '', 'g'))",
-    "regexp_replace(lower(job_employment_type), '[^a-z]', '', 'g')",
-)
-
-
 @register(
     "employment_type_fixed",
     with_ctes(
-        f"SELECT job_posting_id, job_employment_type AS raw_employment_type, {_FIXED_SQL} AS job_employment_type "
+        f"SELECT job_posting_id, job_employment_type AS raw_employment_type, {_o.EMPLOYMENT_FIXED_SQL} AS job_employment_type "
         "FROM bronze_a",
         "bronze_a",
     ),
