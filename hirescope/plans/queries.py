@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -440,8 +441,8 @@ def q_since_watermark(spark, sf):
     return since(a, target, "timestamp").select("job_posting_id", "timestamp")
 
 
-_BATCHES_SQL = f"""SELECT CAST(o_orderkey % {fixtures.UPSERT_MODULUS} AS VARCHAR) AS id, o_orderkey AS version,
-  CAST(floor(o_orderkey / {fixtures.UPSERT_MODULUS}) AS INTEGER) AS batch_no, o_totalprice AS amount FROM orders"""
+_BATCHES_SQL = f"""SELECT CAST(o_custkey AS VARCHAR) AS id, o_orderkey AS version,
+  CAST(o_orderkey // {fixtures.BATCH_ORDERS} AS INTEGER) AS batch_no, o_totalprice AS amount FROM orders"""
 
 _LATEST_SQL = f"""SELECT id, version, batch_no, amount FROM ({_BATCHES_SQL}) b
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1"""
@@ -692,6 +693,48 @@ def q_pipeline_run(spark, sf):
     return spark.read.parquet(written["heatmap_v2"])
 
 
+#: model -> (rows' name, one text that depends on the model's rules)
+MODEL_DIGESTS = {
+    "bronze_a": ("job_posting_id", "job_location"),
+    "bronze_b": ("job_posting_id", "job_location"),
+    "cleaned_a": ("job_posting_id", "concat_ws('|', job_city, job_state, job_country, job_employment_type, job_posted_date)"),
+    "cleaned_b": ("job_posting_id", "concat_ws('|', job_city, job_state, job_country, job_employment_type, job_posted_date)"),
+    "unified": ("job_posting_id", "concat_ws('|', job_city, job_state, company_name, job_posted_date)"),
+    "descriptions": ("job_posting_id", "job_summary"),
+    "availability": ("job_posting_id", "CASE WHEN is_active THEN 'active' ELSE 'gone' END"),
+    "ai_summaries": ("job_posting_id", "concat_ws('|', job_seniority_level, workplace_type, it_domains, ai_summaries)"),
+    "enriched": ("job_posting_id", "concat_ws('|', job_seniority_level, workplace_type, ai_summaries, CASE WHEN is_active THEN 'active' ELSE 'gone' END)"),
+    "staged": ("job_posting_id", "concat_ws('|', job_url, job_seniority_level, job_city)"),
+    "heatmap": (f"concat_ws('|', {', '.join(marts.HEATMAP_KEYS)})", "market_temperature"),
+    "heatmap_v2": (f"concat_ws('|', {', '.join(marts.HEATMAP_KEYS)})", "market_temperature"),
+    "company_hiring": ("concat_ws('|', company_name, job_industries)", "concat_ws('|', hiring_stage, hiring_strategy, market_presence)"),
+    "skills_demand": (f"concat_ws('|', {', '.join(marts.SKILL_KEYS)})", "concat_ws('|', demand_level, market_trend)"),
+    "geography": ("concat_ws('|', state, city)", "concat_ws('|', city_tier, market_size, activity_level, salary_tier)"),
+}
+_MODEL_SOURCES = {"heatmap": "heatmap_v1", "company_hiring": "company_mart", "skills_demand": "skills_mart", "geography": "geo_mart"}
+_MODEL_SQL = {m: _MODEL_SOURCES.get(m, m) if m != "descriptions" else f"({_CLEANED_BOTH_SQL})" for m in MODEL_DIGESTS}
+
+
+@register(
+    "pipeline_models",
+    with_ctes(
+        " UNION ALL ".join(f"SELECT '{m}' AS model, {k} AS row_name, {v} AS content FROM {_MODEL_SQL[m]} AS m" for m, (k, v) in MODEL_DIGESTS.items()),
+        *(s for m, s in _MODEL_SQL.items() if m != "descriptions"),
+    ),
+)
+def q_pipeline_models(spark, sf):
+    """Every table that one run of the job writes: its rows' names and a text
+    that depends on the model's rules."""
+    raw = _land(spark, sf, work_path(spark, "landing"))
+    written = jobs.run(spark, raw, jobs.Layout(work_path(spark, "warehouse")), AS_OF)
+    assert set(written) == set(MODEL_DIGESTS)
+    tables = [
+        sinks.read_table(spark, written[m]).select(F.lit(m).alias("model"), F.expr(k).alias("row_name"), F.expr(v).alias("content"))
+        for m, (k, v) in MODEL_DIGESTS.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @register("pipeline_same_day", with_ctes("SELECT * EXCLUDE (ingest_dts, enriched_dts, dbt_created_at, dbt_updated_at) FROM staged", "staged"))
 def q_pipeline_same_day(spark, sf):
     """Two loads on one day, each with its own load time: the second one's

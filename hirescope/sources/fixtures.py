@@ -43,7 +43,9 @@ FUNCTIONS = [
 EMPLOYMENT_TYPES = ["Full-time", "full-time", "Contract", "Part-time", "contract", "  ", None]
 WORKPLACE_TYPES = ["REMOTE", "HYBRID", "ONSITE"]
 URL_PREFIX = "https://jobs.example/"
-UPSERT_MODULUS = 5000
+#: customers of a town, and orders of a batch of versions
+TOWN_CUSTOMERS = 40
+BATCH_ORDERS = 1000
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -73,8 +75,11 @@ def postings(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFr
         key.alias("job_posting_id"),
         F.concat(F.lit(URL_PREFIX), key).alias("url"),
         _pick(TITLES, _hot(k, (k * 5 + 1) % 13)).alias("job_title"),
-        F.concat(F.lit("Company "), (F.col("o_custkey") % 60).cast("string")).alias("company_name"),
-        _pick(LOCATIONS, _hot(k, (k * 3 + 2) % 17)).alias("job_location"),
+        F.concat(F.lit("Company "), F.col("o_custkey").cast("string")).alias("company_name"),
+        # towns, of few postings each, grow in number with the data
+        F.when(k % 50 == 7, F.concat(F.lit("Town "), F.floor(F.col("o_custkey") / TOWN_CUSTOMERS).cast("string"), F.lit(", QLD, AU")))
+        .otherwise(_pick(LOCATIONS, _hot(k, (k * 3 + 2) % 17)))
+        .alias("job_location"),
         _pick(SENIORITIES, _hot(k, (k * 7 + 4) % 11)).alias("job_seniority_level"),
         _pick(FUNCTIONS, k % 5).alias("job_function"),
         _pick(EMPLOYMENT_TYPES, _hot(k, (k * 2 + 1) % 7)).alias("job_employment_type"),
@@ -161,12 +166,12 @@ def ai_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def upsert_batches(spark: SparkSession, sf_dir: str, modulus: int = UPSERT_MODULUS) -> DataFrame:
-    """Versioned change rows: ``modulus`` ids, one version per order."""
+def upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned change rows: one id a customer, one version an order."""
     k = F.col("o_orderkey")
     return _orders(spark, sf_dir).select(
-        (k % modulus).cast("string").alias("id"),
+        F.col("o_custkey").cast("string").alias("id"),
         k.alias("version"),
-        F.floor(k / modulus).cast("int").alias("batch_no"),
+        F.floor(k / BATCH_ORDERS).cast("int").alias("batch_no"),
         F.col("o_totalprice").alias("amount"),
     )
