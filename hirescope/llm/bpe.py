@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from pyspark.sql import types as T
 BYTE_BASE = 0x100
 #: Unicode White_Space, which is what the patterns' \s means
 WHITE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-#: entries of the per-worker cache of encoded text chunks
-CACHE_ENTRIES = 400_000
+#: entries of a generation of a worker's encoded text chunks, and of its pre-tokens
+CACHE_ENTRIES = 180_000
 #: longer chunks are encoded but not kept
 CACHE_CHARS = 40
 
@@ -78,28 +79,41 @@ class Encoder:
         # supported patterns never match across a chunk's end, so a chunk has whole matches only.
         self._chunks = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+").findall
         self._mapping = {b: BYTE_BASE + b for b in range(256)}
-        self._known: dict[str, bytes] = {}
-
-    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        parts = [self._pre_tokens(chunk) for chunk in chunks]
-        distinct = list(dict.fromkeys(p for pre_tokens in parts for p in pre_tokens))
-        mapped = [p.encode().decode("latin-1").translate(self._mapping) for p in distinct]
-        ids = {p: np.array(i, "<i4").tobytes() for p, i in zip(distinct, self._model.encode(mapped))}
-        return {chunk: b"".join([ids[p] for p in pre_tokens]) for chunk, pre_tokens in zip(chunks, parts)}
+        # kept chunks are of two generations: one met again moves to the younger, the older goes when that is full
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._tokens: dict[str, bytes] = {}
+
+    def _encode_pre_tokens(self, pre_tokens: set[str]) -> dict[str, bytes]:
+        known = {p: self._tokens[p] for p in pre_tokens if p in self._tokens}
+        new = [p for p in pre_tokens if p not in known]
+        mapped = [p.encode().decode("latin-1").translate(self._mapping) for p in new]
+        fresh = {p: array("i", i).tobytes() for p, i in zip(new, self._model.encode(mapped, num_threads=1))}
+        if len(self._tokens) > CACHE_ENTRIES:
+            self._tokens.clear()
+        self._tokens.update((p, i) for p, i in fresh.items() if len(p) <= CACHE_CHARS)
+        return known | fresh
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not in the younger generation; short ones go there."""
+        found = {c: self._old[c] for c in chunks if c in self._old}
+        parts = {c: self._pre_tokens(c) for c in chunks if c not in found}
+        ids = self._encode_pre_tokens({p for pre_tokens in parts.values() for p in pre_tokens})
+        found.update((c, b"".join([ids[p] for p in pre_tokens])) for c, pre_tokens in parts.items())
+        self._young.update((c, i) for c, i in found.items() if len(c) <= CACHE_CHARS)
+        return found
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        chunks, known = self._chunks(text), self._known
-        new = {c for c in chunks if c not in known}
+        if len(self._young) > CACHE_ENTRIES:
+            self._old, self._young = self._young, {}
+        chunks, young = self._chunks(text), self._young
+        new = {c for c in chunks if c not in young}
         if new:
-            if len(known) > CACHE_ENTRIES:
-                known.clear()
-                new = set(chunks)
-            fresh = self._encode_chunks(list(new))
-            known.update((c, i) for c, i in fresh.items() if len(c) <= CACHE_CHARS)
-            return b"".join([fresh[c] if c in fresh else known[c] for c in chunks])
-        return b"".join([known[c] for c in chunks])
+            found = self._learn(new)
+            return b"".join([found[c] if c in found else young[c] for c in chunks])
+        return b"".join([young[c] for c in chunks])
 
 
 _ENCODERS: dict[int, Encoder] = {}
