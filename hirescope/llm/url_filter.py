@@ -89,6 +89,7 @@ def _number(c: Column) -> Column:
 
 def _grams(numbers: Column) -> Column:
     """Index of every character with its context in the dense table."""
+
     def at(x: Column, i: Column) -> Column:
         out = F.get(x, i - ORDER)
         for k in range(ORDER - 1, -1, -1):
