@@ -1,6 +1,5 @@
 """Employment, dates, seniority and title classification rule tables."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from hirescope.functions import (

@@ -1,6 +1,5 @@
 """Partition-limited merge, CSV source and the availableNow file ingest."""
 
-import datetime as dt
 import os
 
 from pyspark.sql import functions as F
