@@ -17,6 +17,7 @@ occurrences of instances, reduced to distinct pattern-instance pairs first.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,11 +39,34 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: a token with a digit, from its first character to its last
-_TOKEN = rf"(?<![^{SPACE_CLASS}])[^{SPACE_CLASS}0-9]*+[0-9][^{SPACE_CLASS}]*+"
-INSTANCE = "|".join([PATTERNS["phone"], PATTERNS["card"], _TOKEN, PATTERNS["email"]])
 #: punctuation that is not part of an identifier at its ends
 EDGES = "\"'`()[]{}<>,;:.!?*#$%&|="
+#: where a token ends but for such punctuation; the rest of a token up to a list's next item
+_STOP = rf"(?=[{re.escape(EDGES)}]*+(?![^{SPACE_CLASS}]))"
+_REST = rf"[^{SPACE_CLASS},;|]*+[,;|]*+"
+#: a token with a digit, from its first character (or where a list's item before it ended) to its last
+_TOKEN = rf"(?:\G|(?<![^{SPACE_CLASS}]))[^{SPACE_CLASS}0-9]*+[0-9][^{SPACE_CLASS}]*+"
+#: tokens of digits with single hyphens, one space apart
+_RUN = rf"[0-9]++(?:-[0-9]++)*+{_STOP}"
+_RUNS = rf"{_RUN}(?:\x20{_RUN})*+"
+#: the digits of a card, and those of a card in groups of four; the least and the further digits of a phone
+_CARD = r"[0-9](?:[\x20-]?[0-9]){15,18}"
+_GROUPS = r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?:[\x20-]?[0-9]){0,3}+(?![\x20-]?[0-9])"
+_PHONE, _MORE = r"\+[0-9](?:[\x20().-]*+[0-9]){7}", r"(?:[\x20().0-9-]*[0-9])?"
+# A phone or a run of digits is an instance only as whole tokens, cut back to a token's end if it ends inside one;
+# a phone or card that ends at no token's end is one with the rest of its token.  Any other token is taken whole.
+INSTANCE = "|".join(
+    [
+        rf"{_PHONE}{_MORE}{_STOP}",
+        rf"{_PHONE}{_MORE}+{_REST}",
+        PATTERNS["phone"] + _STOP,
+        rf"(?={_CARD}{_STOP}){_RUNS}",
+        rf"{_GROUPS}{_REST}",
+        _RUNS,
+        _TOKEN,
+        PATTERNS["email"],
+    ]
+)
 #: characters before an instance in which its two words of context are sought
 CONTEXT_CHARS = 64
 MIN_CHARS = 5

@@ -109,3 +109,44 @@ def test_query(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(line).encode()).hexdigest()
         assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(b[0] == k for b in base) for k in pii.KINDS]
         assert set(line) <= set(r["spans"].split(",") if r["spans"] else [])
+
+
+def test_instances_are_whole_tokens(spark):
+    cards = "4111 1111 1111 1111", "4012888888881881"
+    cases = {
+        "see the 48F29-AA now": ["48f29-aa"],
+        "see the 12AB34567, now": ["12ab34567"],
+        "see the 2019-AB-7781 now": ["2019-ab-7781"],
+        "see the 77041-X and the 77041-Y now": ["77041-x", "77041-y"],
+        "see the (77041) now": ["77041"],
+        "see the 192.168.0.17. now": ["192.168.0.17"],
+        "see the +12AB345 now": ["+12ab345"],
+        "call the +1 (555) 010-1000, then the 77041-1 2": ["+1 (555) 010-1000", "77041-1 2"],
+        "call the +1 (555) 010-1000x5 now": ["+1 (555) 010-1000x5"],
+        f"pay the {cards[0]} now": [cards[0]],
+        f"pay the {cards[0]}x now": [f"{cards[0]}x"],
+        f"pay the {cards[1]}-AA now": [f"{cards[1]}-aa"],
+        "see the 48joe@x.com now": ["48joe@x.com"],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {i: x for i, x in df.select("doc_id", pii.instances(F.col("text"))).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        assert [x["instance"] for x in got[i]] == want, text
+        assert [text[x["start"] : x["end"]].lower() for x in got[i]] == want
+    # what follows an entity inside a list is seen too, and long runs cost no more than one pass
+    lists = [f"+1 (555) 010-1000,+1 (555) 010-1001;{cards[0]},{cards[1]}|77041-X", "+1 (555) 010-1000 77041AB 2 " + cards[0] + " 77041AB"]
+    lists += ["9" * 30_000 + "x", "+1" + "9" * 30_000 + "x", "1 " * 20_000 + "x1", "1-" * 20_000, "+1" + "(1" * 20_000, "a" * 30_000 + "1"]
+    df = spark.createDataFrame(list(enumerate(lists)), "doc_id long, text string")
+    found = {i: x for i, x in df.select("doc_id", F.transform(F.regexp_extract_all("text", F.lit(pii.INSTANCE), F.lit(0)), lambda m: F.btrim(m, F.lit(pii.EDGES)))).collect()}
+    assert found[0] == ["+1 (555) 010-1000", "+1 (555) 010-1001", *cards, "77041-X"]
+    assert found[1] == ["+1 (555) 010-1000", "77041AB", "2 " + cards[0], "77041AB"]
+    assert found[2] == [lists[2]] and found[3] == [lists[3]] and found[7] == [lists[7]]
+
+
+def test_bootstrap_discovers_digit_first_identifiers(spark):
+    docs = planted(random.Random(1)) + [f"or please call desk: {i}8F29-{i}A today" for i in range(6)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    for r in pii.find(df).collect():
+        text, base = docs[r["doc_id"]], tuples(r["base"])
+        extra = [text[s:e] for k, s, e in tuples(r["spans"]) if (k, s, e) not in base]
+        assert extra == re.findall(r"ext-\w+|\w+-\wA", text)
