@@ -67,8 +67,8 @@ INSTANCE = "|".join(
         PATTERNS["email"],
     ]
 )
-#: characters before an instance in which its two words of context are sought
-CONTEXT_CHARS = 64
+#: a pattern of more characters is told by its hash
+PATTERN_CHARS = 64
 MIN_CHARS = 5
 ROUNDS = 3
 #: least score and least known instances of an accepted pattern; least confidence of an accepted instance
@@ -164,18 +164,37 @@ def _holds(kind: str, m: Column) -> Column:
     return _let(F.regexp_extract(m, PATTERNS[kind], 0), lambda x: (x != "") & _valid(kind, x))
 
 
+def _last_words(words: Column) -> Column:
+    """The last two of words that single spaces separate."""
+    return F.substring_index(words, " ", -2)
+
+
 def instances(text: Column) -> Column:
     """Array of struct (start, end, pattern, instance, seed) of a text's
-    identifier-like tokens; seed is the kind of a base entity, else null."""
+    identifier-like tokens; seed is the kind of a base entity, else null.
 
-    def of(x: Column) -> Column:
+    The pattern is the two words before an instance, however far, or the one
+    word if the text starts with it; an instance at a text's start has none
+    and is left out.  An instance before it is one word, in which an email is
+    "@" and all from the first digit to the last is "0"."""
+
+    def words(x: Column, i: Column) -> Column:
         core = F.btrim(x["m"], F.lit(EDGES))
+        own = F.when(F.contains(core, F.lit("@")), "@").otherwise(F.regexp_replace(F.lower(core), "(?s)[0-9](?:.*[0-9])?", "0"))
+        # punctuation after an instance is no word
+        gap = F.when(i == 0, x["gap"]).otherwise(F.ltrim(x["gap"], F.lit(EDGES)))
+        between = F.lower(_last_words(F.btrim(F.regexp_replace(gap, f"[{SPACE_CLASS}]++", " "))))
         start = x["start"] + F.length(x["m"]) - F.length(F.ltrim(x["m"], F.lit(EDGES)))
-        context = F.lower(F.regexp_extract(F.right(x["gap"], F.lit(CONTEXT_CHARS)), rf"([^{SPACE_CLASS}]+[{SPACE_CLASS}]+[^{SPACE_CLASS}]+)[{SPACE_CLASS}]*$", 1))
-        pattern = F.regexp_replace(context, f"[{SPACE_CLASS}]+", " ")
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), pattern.alias("pattern"), F.lower(core).alias("instance"), _kind_of(core).alias("seed"))
+        return F.struct(start.alias("start"), core.alias("core"), own.alias("own"), F.nullif(between, F.lit("")).alias("between"))
+
+    def of(x: Column, i: Column, items: Column) -> Column:
+        before, second = F.get(items, i - 1), F.get(items, i - 2)
+        context = _last_words(F.concat_ws(" ", second["own"], before["between"], before["own"], x["between"]))
+        pattern = _let(context, lambda c: F.when(F.length(c) > PATTERN_CHARS, F.sha2(c.cast("binary"), 256)).otherwise(c))
+        end = x["start"] + F.length(x["core"])
+        return F.struct(x["start"].alias("start"), end.alias("end"), pattern.alias("pattern"), F.lower(x["core"]).alias("instance"), _kind_of(x["core"]).alias("seed"))
 
-    found = F.transform(_matches(text, INSTANCE), of)
+    found = _let(F.transform(_matches(text, INSTANCE), words), lambda items: F.transform(items, lambda x, i: of(x, i, items)))
     kept = F.filter(found, lambda x: (x["pattern"] != "") & (x["end"] - x["start"] >= MIN_CHARS))
     return F.when(text.rlike("[0-9@]"), kept).otherwise(F.array()).cast("array<struct<start:int,end:int,pattern:string,instance:string,seed:string>>")
 

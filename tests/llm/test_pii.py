@@ -150,3 +150,27 @@ def test_bootstrap_discovers_digit_first_identifiers(spark):
         text, base = docs[r["doc_id"]], tuples(r["base"])
         extra = [text[s:e] for k, s, e in tuples(r["spans"]) if (k, s, e) not in base]
         assert extra == re.findall(r"ext-\w+|\w+-\wA", text)
+
+
+def test_context_is_two_words_whatever_they_are(spark):
+    far = "word" * 1000
+    cases = {
+        "tel desk +1 (555) 010-1000 ext 77041": [("+1 (555) 010-1000", "tel desk"), ("77041", "+0 ext")],
+        "room 4 ext-77041": [("ext-77041", "room 0")],
+        "Phone:  +1 (555) 010-1000\n77041-X\t48F29-AA": [("+1 (555) 010-1000", "phone:"), ("77041-x", "phone: +0"), ("48f29-aa", "+0 0-x")],
+        "77041-X 48F29-AA": [("48f29-aa", "0-x")],
+        "mail (joe@x.com), ext 77041": [("joe@x.com", "mail ("), ("77041", "@ ext")],
+        "a call" + " " * 5000 + "77041": [("77041", "a call")],
+        f"a {far} {far} 77041": [("77041", hashlib.sha256(f"{far} {far}".encode()).hexdigest())],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {i: x for i, x in df.select("doc_id", pii.instances(F.col("text"))).collect()}
+    for i, want in enumerate(cases.values()):
+        assert [(x["instance"], x["pattern"]) for x in got[i]] == want
+
+
+def test_bootstrap_in_contact_blocks(spark):
+    docs = [f"room {i} +1 (555) 01{i:02d}-{1000 + i}" for i in range(12)] + [f"room {i} ext-77{i}41" for i in range(3)] + [f"sold {i} of-88{i}41" for i in range(3)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    extra = {r["doc_id"]: [docs[r["doc_id"]][s:e] for k, s, e in tuples(r["spans"]) if (k, s, e) not in tuples(r["base"])] for r in pii.find(df).collect()}
+    assert extra == {i: re.findall(r"ext-\w+", text) for i, text in enumerate(docs)}
