@@ -12,10 +12,13 @@ document, never the tokens.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +30,9 @@ from hirescope.llm.packing import _encoder
 #: ids of a block, and blocks of a segment
 BLOCK_TOKENS = 1 << 16
 SEGMENT = 1 << 10
+#: blocks of a file's range that one row names, and bytes that a task reads
+RANGE = 64
+TASK_BYTES = 128 << 20
 DTYPE = "<u2"
 
 
@@ -69,20 +75,66 @@ def token_blocks(df: DataFrame, tokenizer_path: str, separator: int, id_col: str
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path in it."""
+    scheme, _, rest = path.partition(":")
+    return (fs.LocalFileSystem(), re.sub("^/+", "/", rest)) if scheme == "file" else fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+
+def _reached(path: str) -> bool:
+    try:
+        system, name = _place(path)
+        return system.get_file_info(name).type == fs.FileType.File
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
 def read_token_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, dtype: str = DTYPE) -> DataFrame:
-    """Flat token files under ``path`` as blocks (``file``, ``block``,
-    ``data``), by Spark's binary reader (files of up to 2 GB)."""
+    """Flat token files under ``path``, of any length, as blocks (``file``,
+    ``block``, ``data``).
+
+    Spark lists the files with their lengths; ranges of blocks are dealt to
+    tasks, which read them a block at a time through pyarrow's file systems.
+    Files of a store that pyarrow does not reach go whole through Spark's
+    binary reader, which fails for files over 2 GB.
+    """
     step = block_tokens * np.dtype(dtype).itemsize
+    listed = spark.read.format("binaryFile").load(path)
+    scheme = F.substring_index("path", ":", 1)
+    found = listed.where("length > 0").groupBy(scheme.alias("scheme")).agg(F.min("path").alias("path"), F.sum("length").alias("bytes"), F.sum(F.ceil(F.col("length") / (RANGE * step))).alias("ranges")).collect()
+    near = {r["scheme"]: r for r in found if _reached(r["path"])}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, length, first in zip(*(c.to_pylist() for c in batch.columns)):
+                system, name = _place(file)
+                with system.open_input_file(name) as source:
+                    for block in range(first, min(first + RANGE, -(-length // step))):
+                        part = source.read_at(min(step, length - block * step), block * step)
+                        if len(part) != min(step, length - block * step):
+                            raise OSError(f"{file} is shorter than the {length} bytes listed")
+                        yield row(file, block, part)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = content.as_buffer()
                 for block, at in enumerate(range(0, data.size, step)):
-                    part = data.slice(at, min(step, data.size - at)).to_pybytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block], pa.int64()), pa.array([part], pa.binary())], ["file", "block", "data"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, data binary")
+                    yield row(file, block, data.slice(at, min(step, data.size - at)).to_pybytes())
+
+    def row(file: str, block: int, part: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block], pa.int64()), pa.array([part], pa.binary())], ["file", "block", "data"])
+
+    schema = "file string, block long, data binary"
+    far = listed.where(~scheme.isin(*near)).select("path", "content").mapInArrow(cut, schema)
+    if not near:
+        return far
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step), F.lit(RANGE).cast("long")))
+    ranges = listed.where((F.col("length") > 0) & scheme.isin(*near)).select("path", "length", first.alias("first"))
+    total, n = sum(r["bytes"] for r in near.values()), sum(r["ranges"] for r in near.values())
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))))
+    blocks = ranges.repartition(tasks).mapInArrow(read, schema)
+    return blocks if len(near) == len(found) else blocks.unionByName(far)
 
 
 def count_tokens(blocks: DataFrame, separator: int, id_col: str | None = None, dtype: str = DTYPE, segment: int = SEGMENT) -> DataFrame:

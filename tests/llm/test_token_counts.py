@@ -50,6 +50,28 @@ def test_flat_files(spark, tmp_path):
     assert {f: sorted(x) for f, x in got.items()} == {f: brute(x) for f, x in files.items() if x}
 
 
+def test_files_are_read_in_ranges(spark, tmp_path, monkeypatch):
+    """No file is held whole: the binary reader's own limit does not count, and one file has many tasks."""
+    monkeypatch.setattr(tc, "RANGE", 2)
+    rng, files = random.Random(4), {}
+    for name, n in (("one.bin", 5000), ("a b%20c.bin", 33), ("empty.bin", 0)):
+        files[name] = [rng.choice([1, 2, 3, 4, 9]) for _ in range(n)]
+        (tmp_path / name).write_bytes(np.array(files[name], "<u2").tobytes())
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 100)
+    try:
+        blocks = tc.read_token_files(spark, str(tmp_path), 16)
+        rows = blocks.collect()
+        assert blocks.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["file"], r["block"])):
+        got.setdefault(r["file"].rsplit("/")[-1], []).append((r["block"], bytes(r["data"])))
+    for name, ids in files.items():
+        data = np.array(ids, "<u2").tobytes()
+        assert got.get(name, []) == [(i, data[32 * i : 32 * i + 32]) for i in range(-(-len(data) // 32))]
+
+
 def test_documents_of_any_length(spark):
     texts = [None, "", "a b c", "word " * 3000, "<|endoftext|> x", "a b c"]
     df = spark.createDataFrame([(i % 5, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, docs int").coalesce(2)
