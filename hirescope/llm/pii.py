@@ -6,8 +6,8 @@ bootstrap: every identifier-like token (an entity, or a token with a digit) is
 an instance, and the two words before it are its lexical pattern.  Spark
 scores the graph of patterns and instances in rounds: a pattern's score for a
 kind is the mean confidence of its distinct instances, an instance's
-confidence is the noisy-or of the scores of its accepted patterns.  Patterns
-that score high and have enough known instances find identifiers that the
+confidence is the noisy-or of the scores of its accepted patterns.  Rounds end
+when nothing changes any more.  Patterns that score high and have enough known instances find identifiers that the
 fixed patterns do not cover; their spans are added to the base ones.
 
 Everything is DataFrame expressions and joins; no Python runs on the
@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from hirescope.llm.common import SPACE_CLASS, materialize
@@ -70,7 +70,8 @@ INSTANCE = "|".join(
 #: a pattern of more characters is told by its hash
 PATTERN_CHARS = 64
 MIN_CHARS = 5
-ROUNDS = 3
+#: rounds after which a bootstrap that has not come to rest is an error
+ROUNDS = 100
 #: least score and least known instances of an accepted pattern; least confidence of an accepted instance
 MIN_SCORE = 0.8
 MIN_SUPPORT = 5
@@ -202,10 +203,14 @@ def instances(text: Column) -> Column:
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Accepted patterns (pattern, kind, score) and accepted instances
     (instance, kind, confidence; seeds have 1) of distinct ``edges`` (pattern,
-    instance, seed)."""
+    instance, seed).
+
+    Rounds are repeated until the accepted instances and their confidences (to
+    six places), and so the patterns, no longer change; more than ``rounds``
+    are an error."""
     seeds = edges.where("seed is not null").groupBy("instance").agg(F.min("seed").alias("kind")).withColumn("confidence", F.lit(1.0))
     known = seeds
-    patterns = None
+    state = _state(known)
     for _ in range(rounds):
         rated = edges.select("pattern", "instance").join(known, "instance", "left")
         sums = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("confidence"))), F.lit(0.0)).alias(k) for k in KINDS]
@@ -220,7 +225,15 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
         found = edges.where("seed is null").join(patterns, "pattern").groupBy("instance", "kind").agg((1 - doubt).alias("confidence"))
         best = found.where(F.col("confidence") >= MIN_CONFIDENCE).groupBy("instance").agg(F.max(F.struct("confidence", "kind")).alias("b"))
         known = materialize(seeds.unionByName(best.join(seeds, "instance", "left_anti").select("instance", "b.kind", "b.confidence")), "pii-instances")
-    return patterns, known
+        before, state = state, _state(known)
+        if state == before:
+            return patterns, known
+    raise RuntimeError(f"patterns and instances still change after {rounds} rounds")
+
+
+def _state(known: DataFrame) -> Row:
+    """Count and hash sum of instances, kinds and confidences."""
+    return known.agg(F.count("*"), F.sum(F.xxhash64("instance", "kind", F.round("confidence", 6)).cast("decimal(38,0)"))).first()
 
 
 def _joined(spans: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirescope.llm import pii, queries
@@ -174,3 +175,16 @@ def test_bootstrap_in_contact_blocks(spark):
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     extra = {r["doc_id"]: [docs[r["doc_id"]][s:e] for k, s, e in tuples(r["spans"]) if (k, s, e) not in tuples(r["base"])] for r in pii.find(df).collect()}
     assert extra == {i: re.findall(r"ext-\w+", text) for i, text in enumerate(docs)}
+
+
+def test_bootstrap_follows_links_of_any_length(spark):
+    # every pattern but the first needs the instance that the one before it finds
+    rows = [("p 0", f"s{j}", "phone") for j in range(5)] + [("p 0", "x1", None)]
+    for n in range(1, 6):
+        rows += [(f"p {n}", f"s{j}", "phone") for j in range(4)] + [(f"p {n}", f"x{n}", None), (f"p {n}", f"x{n + 1}", None)]
+    edges = spark.createDataFrame(rows, "pattern string, instance string, seed string")
+    patterns, known = pii.bootstrap(edges)
+    assert sorted(r["pattern"] for r in patterns.collect()) == [f"p {n}" for n in range(6)]
+    assert sorted(r["instance"] for r in known.where("confidence < 1").collect()) == [f"x{n}" for n in range(1, 7)]
+    with pytest.raises(RuntimeError):
+        pii.bootstrap(edges, rounds=2)
