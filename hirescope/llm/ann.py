@@ -4,11 +4,11 @@ Nearness is the largest inner product.  A vector is extended by one component
 that makes all vectors of its block equally long; a query, scaled to that
 length and extended by 0, is then nearest to the vectors of largest inner
 product.  Every block of vectors keeps one sorted array for each random
-projection.  A query opens a window around its own projection in each array
-and widens all windows together (virtual rehashing: no array is rebuilt); a
-vector that stands in enough windows is a candidate.  Widening stops when
-there are enough candidates, and every candidate is verified by its exact
-inner product in double precision.
+projection.  A query opens a window around its own projection in each array,
+all windows of one width (virtual rehashing: no array is rebuilt); a vector
+that stands in enough windows is a candidate.  The width is the least of a
+fine scale that gives enough candidates, whatever queries went before, and
+every candidate is verified by its exact inner product in double precision.
 
 Blocks are cut from a range sort by length of the vectors, so the extension
 is small within a block.  Queries meet all blocks in blocks of their own; each
@@ -35,9 +35,9 @@ COLLIDE_SHARE = 0.6
 #: candidates wanted: this share of the block and a multiple of the results
 CANDIDATE_SHARE = 0.14
 CANDIDATE_MULTIPLE = 30
-#: half width of the first window (vectors have length 1) and its growth
+#: the scale of half widths of windows (vectors have length 1): the first and their growth
 WIDTH = 0.05
-GROWTH = 1.15
+GROWTH = 1.05
 #: vectors of a block (places are 16-bit numbers) and queries of a block
 BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -104,7 +104,8 @@ class SortedBlock:
         #: where each vector stands in each sorted array
         self.places = np.empty(order.shape, np.uint16)
         np.put_along_axis(self.places, order, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
-        self.width = WIDTH
+        #: place on the scale of widths where the last query ended
+        self.step = 0
 
     def candidates(self, at: np.ndarray, wanted: int) -> np.ndarray:
         """Positions of the vectors that collide with a query, whose
@@ -112,19 +113,33 @@ class SortedBlock:
         n, m = len(self.ids), len(self.values)
         if wanted >= n:
             return np.arange(n)
-        need, width = max(1, int(np.ceil(COLLIDE_SHARE * m))), self.width
-        while True:
+        need = max(1, int(np.ceil(COLLIDE_SHARE * m)))
+
+        def colliding(step: int) -> np.ndarray:
+            width = WIDTH * GROWTH**step
             low = np.array([v.searchsorted(x, "left") for v, x in zip(self.values, at - width)])
             high = np.array([v.searchsorted(x, "right") for v, x in zip(self.values, at + width)])
             # a place below the window wraps round and is too large as well
             inside = self.places - low.astype(np.uint16)[:, None] < (high - low).astype(np.uint16)[:, None]
-            counts = inside.view(np.uint8).sum(axis=0, dtype=np.uint8)
-            if np.count_nonzero(counts >= need) >= wanted:
-                # the next query starts a step narrower than this one ended
-                self.width = max(WIDTH, width / GROWTH)
-                # one step can pass far more than are wanted: then the threshold rises to the last one wanted
-                return np.nonzero(counts >= max(need, np.partition(counts, n - wanted)[n - wanted]))[0]
-            width *= GROWTH
+            return inside.view(np.uint8).sum(axis=0, dtype=np.uint8) >= need
+
+        # counts grow with the width: from where the last query ended, strides that double find a step of too few
+        # and one of enough, and halving the steps between them the first of enough
+        step, stride, few, enough, best = self.step, 1, -1, None, None
+        while enough is None or enough - few > 1:
+            hits = colliding(step)
+            if np.count_nonzero(hits) >= wanted:
+                enough, best = step, hits
+            else:
+                few = step
+            if enough is None:
+                step, stride = few + stride, stride * 2
+            elif few < 0 and enough:
+                step, stride = max(0, enough - stride), stride * 2
+            else:
+                step = (few + enough) // 2
+        self.step = enough
+        return np.nonzero(best)[0]
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact inner products of the best ``k`` candidates."""

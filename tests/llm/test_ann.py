@@ -56,6 +56,28 @@ def test_copies_and_lengths(spark):
     assert hits / total >= 0.9
 
 
+def test_all_colliding_vectors_are_verified_in_any_order():
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((3000, 16))
+    vectors[:1000] = vectors[0] + 0.02 * rng.standard_normal((1000, 16))
+    far = -vectors[0]
+    for query in vectors[[3, 1500, 2999]]:
+        found = []
+        for earlier in ([], [far], [vectors[5], far, vectors[2000]]):
+            block = ann.SortedBlock(np.arange(3000), vectors)
+            scaled = [np.append(q / np.linalg.norm(q), 0.0) for q in [*earlier, query]]
+            for at in scaled:
+                candidates = block.candidates(block.lines @ at, 600)
+            found.append(candidates.tolist())
+        assert found[0] == found[1] == found[2] and len(found[0]) >= 600
+        # at the width that was needed, all vectors in enough windows
+        extended = np.hstack([vectors / np.linalg.norm(vectors, axis=1).max(), np.zeros((3000, 1))])
+        extended[:, -1] = np.sqrt(np.maximum(0, 1 - (extended**2).sum(axis=1)))
+        apart = np.sort(np.abs(block.lines @ extended.T - (block.lines @ scaled[-1])[:, None]), axis=0)
+        needed = apart[int(np.ceil(ann.COLLIDE_SHARE * ann.PROJECTIONS)) - 1]
+        assert found[0] == np.nonzero(needed <= needed[found[0]].max())[0].tolist()
+
+
 def test_query_recall(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
