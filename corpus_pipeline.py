@@ -65,7 +65,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all documents' pieces in sequences of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), capacity=2048)
+    return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), capacity=2048, special=True)
 
 
 def _n_chars(docs: DataFrame) -> Column:

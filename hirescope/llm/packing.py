@@ -63,12 +63,12 @@ class WordEncoder:
     #: share a pre-token; an apostrophe can belong to both
     _parts = re.compile(f"([A-Za-z{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x12F)}{chr(0x131)}-{chr(0x24F)}]+)([!-&(-/:-@\\[-`{{-~]+)").fullmatch
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = not special  # else their strings in a text are ordinary text
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -111,23 +111,25 @@ class WordEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, special: bool = False) -> WordEncoder:
+    if (path, special) not in _ENCODERS:
+        _ENCODERS[path, special] = WordEncoder(path, special)
+    return _ENCODERS[path, special]
 
 
-def pieces(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id",), text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pieces(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id",), text_col: str = "text", capacity: int = CAPACITY, special: bool = False) -> DataFrame:
     """``id_cols``, ``piece``, ``start``, ``length`` and ``ids_crc32`` of every
-    piece: a document's ids and the end id, cut every ``capacity`` ids."""
+    piece: a document's ids and the end id, cut every ``capacity`` ids.  The
+    tokenizer's special strings in a text are ordinary text or, if ``special``,
+    one id each, as the library has it by default."""
     ids = list(id_cols)
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path, special)
         for batch in batches:
             row, out = [], []
             for i, text in enumerate(batch.column(len(ids))):
@@ -268,7 +270,7 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY, n_groups: int = GR
     return [run for room in sorted(by_room) for run in by_room[room]]
 
 
-def pack(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id",), text_col: str = "text", capacity: int = CAPACITY, n_groups: int = GROUPS, part_rows: int = PART_ROWS) -> DataFrame:
+def pack(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id",), text_col: str = "text", capacity: int = CAPACITY, n_groups: int = GROUPS, part_rows: int = PART_ROWS, special: bool = False) -> DataFrame:
     """Every piece (see ``pieces``) with ``sequence_id`` (long) and ``offset``
     (long), its place there; places are gapless from 0.
 
@@ -278,7 +280,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id",
     result.
     """
     ids = list(id_cols)
-    table = materialize(pieces(df, tokenizer_path, ids, text_col, capacity), "packing-pieces")
+    table = materialize(pieces(df, tokenizer_path, ids, text_col, capacity, special), "packing-pieces")
     counts = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     parts = max(1, -(-max(counts.values(), default=0) // part_rows))
     # places by (length, number within the length): where each run of places begins

@@ -42,7 +42,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), capacity=2048)
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), capacity=2048, special=True)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

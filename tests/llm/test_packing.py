@@ -104,3 +104,16 @@ def test_query(spark, reference):
     rows = queries.op6_packing(spark, sf).collect()
     n = check(rows, want(reference, docs, 2048), 2048)
     assert n <= 1.02 * -(-sum(r["length"] for r in rows) // 2048) + 1
+
+
+def test_special_strings_as_in_the_library(spark, tmp_path):
+    t = tokenizers.Tokenizer.from_file(PATH)
+    library = lambda text: t.encode(text, add_special_tokens=False).ids + [0]
+    rng, encoder = random.Random(5), packing.WordEncoder(PATH, special=True)
+    alphabet = [*"ab t\n .!<|&sS12", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "\u0301"]
+    for _ in range(2000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text)[:-1], repr(text)
+    docs = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|>y " * 300), (3, "plain")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    check(queries.op6_packing(spark, str(tmp_path)).collect(), want(library, docs, 2048), 2048)
