@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import ann, bpe, html_extract, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
+from hirescope.llm import ann, bpe, exact_dedup, html_extract, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("representative.doc_id").alias("component_id"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(read_table(spark, sf_dir, "documents"))
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -76,6 +80,16 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+EXACT_DEDUP_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLE: dict[str, str] = {
+    "op13_exact_dedup": EXACT_DEDUP_SQL,
+}
