@@ -47,7 +47,7 @@ def frequent(table: DataFrame, counters: int = COUNTERS) -> DataFrame:
     shards = table.select("digest", (F.spark_partition_id() % SHARDS).alias("shard"))
     partial = shards.groupBy("shard").agg(F.expr(f"approx_top_k_accumulate(digest, {counters})").alias("summary"))
     # grouped by a constant: no rows, no summary
-    whole = partial.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
+    whole = partial.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
     return whole.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {counters})")).alias("x")).where("x.count > 1").select(F.col("x.item").alias("digest"))
 
 
