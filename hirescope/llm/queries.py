@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import ann, bpe, exact_dedup, html_extract, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
+from hirescope.llm import ann, bpe, exact_dedup, html_extract, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("representative.doc_id").alias("component_id"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    altered = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf_hash(*altered))
+    made = merkle.manifest(read_table(spark, sf_dir, "documents"), fields, extra={"tampered": tampered})
+    root = F.lit(made.root).cast("string")
+    proved = merkle.proofs(made).withColumn("folded_root", merkle.fold(F.coalesce("tampered", "node"), F.col("proof")))
+    proof = F.sha2(F.concat_ws("", merkle.siblings(F.col("proof"))).cast("binary"), 256)
+    return proved.select(F.col("order").alias("doc_id"), F.col("node").alias("leaf"), "subroot", root.alias("root"), proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == root).alias("verified"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(read_table(spark, sf_dir, "documents"))
 
@@ -80,9 +91,49 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op12_merkle": op12_merkle,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', {0}) END"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + "))"
+_PARENTS = "list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(concat(nodes[i], nodes[i + 1])))"
+
+#: trees as lists of nodes, one row a level; a step of a proof is the sibling's side and hash;
+#: the checksum takes eight bits of each digit, one an element
+MERKLE_SQL = f"""
+WITH RECURSIVE rows_ AS (
+    SELECT doc_id, lang, {_LEAF.format(n="n_chars")} AS leaf, {_LEAF.format(n="(n_chars + 1)")} AS altered,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place,
+           list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+               lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+               lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))) AS crc
+    FROM documents),
+trees AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY doc_id) AS nodes FROM rows_ GROUP BY lang
+    UNION ALL SELECT lang, level + 1, {_PARENTS} FROM trees WHERE len(nodes) > 1),
+tops AS (
+    SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place FROM trees WHERE len(nodes) = 1),
+over_ AS (
+    SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM tops
+    UNION ALL SELECT level + 1, {_PARENTS} FROM over_ WHERE len(nodes) > 1),
+steps AS (
+    SELECT doc_id, 0 AS tier, level, place >> level AS spot, nodes
+    FROM rows_ JOIN trees ON rows_.lang IS NOT DISTINCT FROM trees.lang WHERE len(nodes) > 1
+    UNION ALL
+    SELECT doc_id, 1, level, tops.place >> level, nodes
+    FROM rows_ JOIN tops ON rows_.lang IS NOT DISTINCT FROM tops.lang CROSS JOIN over_ WHERE len(nodes) > 1),
+proofs AS (
+    SELECT doc_id, list(concat(spot & 1, nodes[xor(spot, 1) + 1]) ORDER BY tier, level) AS steps FROM steps GROUP BY doc_id),
+folded AS (
+    SELECT rows_.doc_id, leaf, subroot, (SELECT nodes[1] FROM over_ WHERE len(nodes) = 1) AS root,
+           sha256(coalesce(array_to_string(list_transform(steps, lambda s: s[2:]), ''), '')) AS proof_sha256,
+           list_reduce(list_prepend(CASE WHEN xor(crc, 4294967295) % 7 = 0 AND n_chars IS NOT NULL THEN altered ELSE leaf END, coalesce(steps, [])),
+               lambda own, s: CASE WHEN s[1] = '1' THEN sha256(concat(s[2:], own)) ELSE sha256(concat(own, s[2:])) END) AS folded_root
+    FROM rows_ JOIN tops ON rows_.lang IS NOT DISTINCT FROM tops.lang JOIN documents USING (doc_id) LEFT JOIN proofs USING (doc_id))
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 EXACT_DEDUP_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -91,5 +142,6 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLE: dict[str, str] = {
+    "op12_merkle": MERKLE_SQL,
     "op13_exact_dedup": EXACT_DEDUP_SQL,
 }
