@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import ann, bpe, exact_dedup, html_extract, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
+from hirescope.llm import ann, bpe, exact_dedup, hard_negatives, html_extract, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, url_filter
 from hirescope.llm.common import read_table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("representative.doc_id").alias("component_id"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     altered = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
@@ -91,10 +96,30 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle": op12_merkle,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
+HARD_NEGATIVES_SQL = """
+WITH rows_ AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+    FROM rows_ a JOIN rows_ b ON a.vec_id <> b.vec_id AND len(a.vector) = len(b.vector) WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 _FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', {0}) END"
 _LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + "))"
 _PARENTS = "list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(concat(nodes[i], nodes[i + 1])))"
@@ -142,6 +167,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLE: dict[str, str] = {
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
     "op12_merkle": MERKLE_SQL,
     "op13_exact_dedup": EXACT_DEDUP_SQL,
 }
