@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.files import as_of_timestamp, load_date_parts
-from .incremental import since
+from .incremental import high_water_mark, since
 
 # Fixed value: the text that marks a missing seniority or salary.
 NOT_APPLICABLE = "Not Applicable"
@@ -93,7 +93,7 @@ def enrich(
     if target is not None and not reprocess_on_change:
         ju = since(ju, target, "ingest_dts", "enriched_dts", floor=None, partition="load_date")
     elif target is not None:
-        hwm = target.agg(F.max("enriched_dts")).scalar()
+        hwm = high_water_mark(target, "enriched_dts", floor=None)
         # the few postings whose side rows changed are found first; only they and new postings are joined
         changed = (
             availability.where(F.col("validated_dts") > hwm).select("job_posting_id")

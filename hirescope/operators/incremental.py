@@ -8,7 +8,7 @@ is reduced inside each task before anything is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,12 +17,16 @@ from pyspark.sql import functions as F
 DEFAULT_FLOOR = "1900-01-01 00:00:00"
 
 
-def high_water_mark(target: DataFrame, column: str, floor: str | None = DEFAULT_FLOOR) -> Column:
-    """``(SELECT COALESCE(MAX(column), floor) FROM target)`` as a scalar column.
+def high_water_mark(target: DataFrame | Mapping[str, Column], column: str, floor: str | None = DEFAULT_FLOOR) -> Column:
+    """``(SELECT COALESCE(MAX(column), floor) FROM target)`` as a scalar column,
+    or, if ``target`` is the marks kept with a table, the kept one.
 
     With ``floor=None`` an empty target yields NULL, so nothing passes a
     ``>`` comparison against it (the unified-table behaviour).
     """
+    if isinstance(target, Mapping):
+        mark = target[column]
+        return mark if floor is None else F.coalesce(mark, F.lit(floor).cast("timestamp"))
     mx = F.max(F.col(column))
     if floor is not None:
         dtype = target.schema[column].dataType.simpleString()
@@ -32,7 +36,7 @@ def high_water_mark(target: DataFrame, column: str, floor: str | None = DEFAULT_
 
 def since(
     batch: DataFrame,
-    target: DataFrame | None,
+    target: DataFrame | Mapping[str, Column] | None,
     source_col: str,
     target_col: str | None = None,
     floor: str | None = DEFAULT_FLOOR,
@@ -40,7 +44,8 @@ def since(
 ) -> DataFrame:
     """Rows of ``batch`` newer than the target's high-water mark.
 
-    ``target=None`` means a first (full) load.  ``target_col`` may differ from
+    ``target=None`` means a first (full) load; the marks kept with a catalog
+    table serve as well as the table itself.  ``target_col`` may differ from
     ``source_col`` (e.g. postings' ingest time against enrichment time).
 
     ``partition`` names the partition column of ``batch`` that holds the day

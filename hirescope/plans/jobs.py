@@ -35,9 +35,10 @@ from ..operators import (
     stage_active,
     unify,
 )
+from ..operators.incremental import high_water_mark
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
-from ..sources.sinks import CatalogTable, finish_pending, merge_into_table, read_table, table_exists, write_table
+from ..sources.sinks import CatalogTable, merge_into_table, read_table, table_exists, write_table
 from ..streaming import ingest_bronze
 
 
@@ -121,31 +122,38 @@ class Run:
         if self.layout.catalog is None:
             return None
         buckets = self.layout.buckets if name in BUCKETED else 0
-        return CatalogTable(self.layout.table_name(name), buckets, self.layout.format)
+        marks = [MODELS[name][1].watermark] if name in MODELS else []
+        return CatalogTable(self.layout.table_name(name), buckets, self.layout.format, marks)
 
     def _read(self, name: str) -> DataFrame:
-        """The model's table with its storage-only partition column, after any
-        interrupted merge of it is finished: marks come from complete merges."""
-        path = self.layout.path(MODELS[name][0], name)
+        """The model's table with its storage-only partition column."""
         if self.layout.catalog is not None:
-            finish_pending(self.spark, path, self.catalog_table(name))
-            return self.spark.table(self.layout.table_name(name))
-        return read_table(self.spark, path, self.layout.format)
+            return self.catalog_table(name).read(self.spark)
+        return read_table(self.spark, self.layout.path(MODELS[name][0], name), self.layout.format)
 
-    def existing(self, name: str) -> DataFrame | None:
+    def exists(self, name: str) -> bool:
         if self.as_views:  # a view is always a full recompute
+            return False
+        if self.layout.catalog is not None:
+            return self.catalog_table(name).exists(self.spark)
+        return table_exists(self.spark, self.layout.path(MODELS[name][0], name))
+
+    def existing(self, name: str):
+        """What a model's high-water mark is taken from, if the model exists:
+        the marks kept with a catalog table, or the table."""
+        if not self.exists(name):
             return None
-        tier, _ = MODELS[name]
         if self.layout.catalog is not None:
-            found = self.spark.catalog.tableExists(self.layout.table_name(name))
-        else:
-            found = table_exists(self.spark, self.layout.path(tier, name))
-        return self._read(name) if found else None
+            return self.catalog_table(name).kept_marks(self.spark)
+        return self._read(name)
 
     def latest_ingest(self, name: str):
         """The last load's stamp in a model's table, if it exists."""
-        df = self.existing(name)
-        text = None if df is None else df.agg(F.date_format(F.max("ingest_dts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        target = self.existing(name)
+        if target is None:
+            return None
+        mark = high_water_mark(target, "ingest_dts", floor=None)
+        text = self.spark.range(1).select(F.date_format(mark, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
         return text and dt.datetime.fromisoformat(text)
 
     def table(self, name: str) -> DataFrame:
@@ -227,13 +235,23 @@ def run(
     """
     if load_ts is None:
         load_ts = dt.datetime.combine(dt.date.fromisoformat(str(as_of)[:10]), dt.time())
-    # dates and stamps are read and written in one zone on every cluster
+    # dates and stamps are read and written in one zone on every cluster; the caller's zone comes back afterwards
+    zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        return _run(spark, raw, layout, as_of, load_ts, marts, reprocess_on_change, remove_inactive, threads, bronze_mode,
+                    employment_mode, rescue, filter_both)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess_on_change, remove_inactive, threads, bronze_mode,
+         employment_mode, rescue, filter_both) -> dict[str, str]:
     r = Run(spark, layout, load_ts)
     if layout.catalog is not None:
         # tables carry their own paths; the database folder sits beside them
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.catalog} LOCATION '{layout.path('_catalog', layout.catalog)}'")
-    if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and (r.as_views or layout.catalog)):
+    if bronze_mode not in ("files", "stream") or (bronze_mode == "stream" and r.as_views):
         raise ValueError(f"unsupported bronze_mode {bronze_mode!r} for {layout.materialize} models")
 
     latest = max((m for m in map(r.latest_ingest, ("cleaned_a", "cleaned_b", "unified")) if m is not None), default=None)
@@ -246,7 +264,7 @@ def run(
         if bronze_mode == "stream":
             path = layout.path("bronze", name)
             ingest_bronze(spark, src, feed, path, layout.path("_checkpoints", name), load_ts, rescue=rescue,
-                          check=check_stamp, fmt=layout.format)
+                          check=check_stamp, fmt=layout.format, table=r.catalog_table(name))
             r.written[name] = path
             return
         # raw rows newer than the target's latest event time

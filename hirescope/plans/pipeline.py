@@ -39,20 +39,7 @@ def cleaned_feeds(spark: SparkSession, sf_dir: str, as_of=fixtures.AS_OF, employ
 
 
 def silver(spark: SparkSession, sf_dir: str, as_of=fixtures.AS_OF) -> Silver:
-    """The silver chain as lazy plans, built once per session and input.
-
-    A DataFrame is an immutable plan, so every mart of a session can start
-    from the same staged plan (as every mart reads the one staged table);
-    this only saves driver-side plan construction, no data is cached.
-    """
-    memo = spark.__dict__.setdefault("_hirescope_silver", {})
-    key = (sf_dir, str(as_of))
-    if key not in memo:
-        memo[key] = _build_silver(spark, sf_dir, as_of)
-    return memo[key]
-
-
-def _build_silver(spark: SparkSession, sf_dir: str, as_of) -> Silver:
+    """The silver chain as lazy plans."""
     ca, cb = cleaned_feeds(spark, sf_dir, as_of)
     unified = unify(cb, ca)
     avail = load_availability(fixtures.availability(spark, sf_dir), as_of)

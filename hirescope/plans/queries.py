@@ -527,20 +527,54 @@ def q_load_availability_csv(spark, sf):
     return loaded.withColumn("is_active", F.col("is_active").cast("string"))
 
 
+def _merge_catalog(spark, buckets=0, **named):
+    """A catalog table of its own, and the folder its versions are in."""
+    database, root = f"hs_{uuid.uuid4().hex[:10]}", work_path(spark, "catalog")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    return sinks.CatalogTable(f"{database}.cleaned", buckets, **named), f"{root}/cleaned"
+
+
+_LOAD_PARTS = ["year", "month", "day"]
+
+
 @register("merge_resume", _MERGE_SQL)
 def q_merge_resume(spark, sf):
-    """The two loads of merge_partitioned, the second one broken off after its
-    journal, once before and once after the table was changed; reading the
-    table finishes it."""
-    path = work_path(spark, "merged")
+    """The two loads of merge_partitioned into a catalog table.  The second
+    one is staged and never published (a driver lost before the commit), then
+    merged again in two halves."""
+    table, path = _merge_catalog(spark)
     first = _cleaned_loaded(spark, sf, FIRST_LOAD)
-    merge_into_table(spark, path, first.where(F.col("scraped_dts") < F.lit(SPLIT_FIRST).cast("timestamp_ntz")), ["job_posting_id"])
+    key = ["job_posting_id"]
+    merge_into_table(spark, path, first.where(F.col("scraped_dts") < F.lit(SPLIT_FIRST).cast("timestamp_ntz")), key, table=table)
     second = _cleaned_loaded(spark, sf, AS_OF).where(F.col("scraped_dts") >= F.lit(SPLIT_SECOND).cast("timestamp_ntz"))
     half = F.pmod(F.xxhash64("job_posting_id"), F.lit(2))
-    for part, step in ((0, "before"), (1, "after")):
-        with sinks.broken_off(step):
-            merge_into_table(spark, path, second.where(half == part), ["job_posting_id"])
-    return sinks.read_table(spark, path).select(*schemas.CLEANED_COLUMNS)
+    for part in (0, 1):
+        sinks.stage_merge(spark, path, second.where(half == part), key, _LOAD_PARTS, True, None, table)  # never published
+        merge_into_table(spark, path, second.where(half == part), key, order=["ingest_dts"], table=table)
+    return table.read(spark).select(*schemas.CLEANED_COLUMNS)
+
+
+@register("merge_interleaved", _MERGE_SQL)
+def q_merge_interleaved(spark, sf):
+    """The two loads into a catalog table that is read at every step of the
+    second: readers that were planned before, between and after see a whole
+    version each; the rows returned are those of the reader after, less those
+    that an earlier reader should have seen and did not (none)."""
+    table, path = _merge_catalog(spark)
+    key, stamp = ["job_posting_id"], lambda text: F.lit(text).cast("timestamp_ntz")
+    first = _cleaned_loaded(spark, sf, FIRST_LOAD).where(F.col("scraped_dts") < stamp(SPLIT_FIRST))
+    second = _cleaned_loaded(spark, sf, AS_OF).where(F.col("scraped_dts") >= stamp(SPLIT_SECOND))
+    merge_into_table(spark, path, first, key, table=table)
+    before = table.read(spark)
+    publish = sinks.stage_merge(spark, path, second, key, _LOAD_PARTS, True, None, table)
+    between = table.read(spark)
+    publish()
+    after = table.read(spark)
+    # every reader of the first version finds exactly the first load, before and after the commit
+    expected = first.select(F.col("job_posting_id").alias("id"))
+    odd = [(seen.select(F.col("job_posting_id").alias("id"))) for seen in (before, between)]
+    missing = reduce(DataFrame.unionByName, [expected.exceptAll(ids).unionByName(ids.exceptAll(expected)) for ids in odd])
+    return after.join(missing, after["job_posting_id"] == missing["id"], "left_anti").select(*schemas.CLEANED_COLUMNS)
 
 
 STREAM_FILES = 4
@@ -668,6 +702,36 @@ def q_bronze_rescued(spark, sf):
     )
 
 
+@register(
+    "bronze_drifted",
+    with_ctes(
+        """SELECT job_posting_id, CASE WHEN CAST(job_posting_id AS BIGINT) % 10 = 4 THEN NULL ELSE MIN_AMOUNT END AS MIN_AMOUNT,
+  CASE WHEN CAST(job_posting_id AS BIGINT) % 10 = 4 AND MIN_AMOUNT IS NOT NULL THEN 'from ' || CAST(CAST(MIN_AMOUNT AS BIGINT) AS VARCHAR) END AS rescued_amount,
+  CASE WHEN CAST(job_posting_id AS BIGINT) % 5 = 1 THEN CAST(CAST(job_posting_id AS BIGINT) % 7 AS VARCHAR) END AS rescued_rank,
+  'drift' || CAST(CAST(job_posting_id AS BIGINT) % 5 AS VARCHAR) AS source_folder
+FROM bronze_a""",
+        "bronze_a",
+    ),
+)
+def q_bronze_drifted(spark, sf):
+    """Feed A from producers that contradict each other: the salary is a
+    double in some files, a whole number, a decimal or (odd) text in others,
+    and an unknown column is a number.  All files load; what does not fit is
+    kept as rescued data."""
+    landing = work_path(spark, "raw-contradicting")
+    k, amount = F.col("job_posting_id").cast("long"), F.col("MIN_AMOUNT")
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF)).drop("_rescued_data")
+    odd = F.when(k % 10 == 4, F.concat(F.lit("from "), amount.cast("long").cast("string"))).otherwise(amount.cast("string"))
+    shapes = [{}, {"rank": k % 7}, {"MIN_AMOUNT": amount.cast("long")}, {"MIN_AMOUNT": amount.cast("decimal(12,2)")}, {"MIN_AMOUNT": odd}]
+    for i, shape in enumerate(shapes):
+        raw.where(k % 5 == i).withColumns(shape).write.parquet(f"{landing}/drift{i}")
+    kept = F.from_json("_rescued_data", "map<string,string>")
+    return read_raw_feed(spark, [f"{landing}/drift{i}" for i in range(len(shapes))], "a").select(
+        "job_posting_id", "MIN_AMOUNT", kept["MIN_AMOUNT"].alias("rescued_amount"), kept["rank"].alias("rescued_rank"),
+        F.regexp_extract("source_file", "/(drift[0-9]+)/[^/]+$", 1).alias("source_folder"),
+    )
+
+
 # ------------------------------------------------- the tier-by-tier job on files
 
 

@@ -1,25 +1,25 @@
-"""Sinks: full rebuild, load-date partitioned tables, crash-safe merges, and
-reading tables back.
-
-Tables are written to a path (Parquet by default; the format is a parameter).
-A change of an existing table is prepared beside it, in ``<path>__pending``:
-the batch and the new content of what will be replaced are written there, then
-a journal.  Only then is the table touched.  Whoever reads or merges the table
-next through this module finishes a change that has a journal (each step can
-be repeated) and forgets one that has none, so a lost driver leaves neither
-lost nor doubled rows.  A finished change leaves no folder behind.
+"""Sinks: full rebuild, load-date partitioned tables, merges, and reading back.
+
+Path tables are files that Spark's own writers put at a path (Parquet by
+default; the format is a parameter).  Reading one never changes it.  A change
+of several partitions is several commits there, so a reader that lists files
+in between can see a key twice, and a lost driver can leave it so until the
+same merge is repeated.  Where tables are read while they are merged, use
+``CatalogTable``: the catalog switches it from one whole version to the next.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-from contextlib import contextmanager
-from contextvars import ContextVar
+import uuid
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_path
+
 DONE = "_SUCCESS"
 
 
@@ -51,16 +51,14 @@ def _delete_folder_of(spark: SparkSession, uri: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(path)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Create-or-replace a whole table (``materialized='table'``).  The old
-    rows stay readable until the new ones are completely written."""
-    spark = df.sparkSession
-    finish_pending(spark, path)
-    if not table_exists(spark, path):
-        df.write.mode("overwrite").format(fmt).save(path)
-        return path
-    df.write.mode("overwrite").format(fmt).save(f"{_pending(path)}/replaced")
-    _commit(spark, path, None, {"format": fmt, "partitions": [], "key": [], "replaced": True, "append": False, "emptied": []})
+    """Create-or-replace a whole table (``materialized='table'``).  ``df`` must
+    not read the table itself."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(path)
     return path
 
 
@@ -89,121 +87,184 @@ def write_partitioned(
     return path
 
 
-class CatalogTable:
-    """A catalog table stored at a known path, optionally bucketed by its key.
+# ------------------------------------------------------------ catalog tables
+
+#: storage-only first partition column of catalog tables: the merge that wrote the row
+MERGE = "hs_merge"
+
+
+def _quoted(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _values(spec: str) -> dict[str, str | None]:
+    """Partition values of a spec like ``a=1/b=x%3A2``, as text."""
+    pairs = [part.split("=", 1) for part in spec.split("/")]
+    return {unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for k, v in pairs}
 
-    Tables bucketed by the same key into the same number of buckets join on
-    that key without a shuffle.  The catalog (e.g. a metastore) keeps the
-    bucket layout; rows are written with ``saveAsTable`` / ``insertInto``.
+
+class CatalogTable:
+    """A table that the catalog switches from one whole version to the next.
+
+    ``name`` is a view of the current version, itself a catalog table
+    ``<name>__v<n>``.  A version's partitions are folders: those that its merge
+    wrote, and, by their location only, all older ones that the merge did not
+    touch.  Files are never changed or moved.
+
+    A merge writes its rows to a fresh folder, registers a version nobody
+    knows yet, and commits by renaming it to the next number, which the catalog
+    refuses to the second of two writers.  Then the view is pointed at it.
+    Readers change nothing: a query reads the version its view pointed to when
+    it was analysed.  A merge broken off before the rename leaves a folder that
+    nothing refers to, and the old version.  ``keep`` older versions stay for
+    queries that still read them; what only older ones refer to is deleted.
+
+    With ``buckets`` every version is bucketed by the key: tables bucketed
+    alike join on it without a shuffle.  ``marks`` are date or timestamp columns whose maximum
+    over everything ever merged is observed while rows are written, and kept
+    as a property of the version, so no mark needs the table read.
     """
 
-    def __init__(self, name: str, buckets: int = 0, fmt: str = "parquet"):
+    def __init__(self, name: str, buckets: int = 0, fmt: str = "parquet", marks: Sequence[str] = (), keep: int = 2):
         self.name = name
         self.buckets = buckets
         self.format = fmt
+        self.marks = list(marks)
+        self.keep = keep
 
     def exists(self, spark: SparkSession) -> bool:
-        return spark.catalog.tableExists(self.name)
-
-    def create(self, df: DataFrame, path: str, partitions: Sequence[str], key: Sequence[str]) -> None:
-        writer = df.write.format(self.format).option("path", path).mode("overwrite")
-        if partitions:
-            writer = writer.partitionBy(*partitions)
-        if self.buckets:
-            writer = writer.bucketBy(self.buckets, *key).sortBy(*key)
-        writer.saveAsTable(self.name)
-
-    def replace(self, spark: SparkSession, df: DataFrame) -> None:
-        """Overwrite the partitions present in ``df`` (all of an unpartitioned table)."""
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.insertInto(self.name, overwrite=True)
+        return bool(self.versions(spark))
 
-    def drop_partition(self, spark: SparkSession, values: dict) -> None:
-        literal = lambda v: "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-        spec = ", ".join(f"`{c}`={literal(v)}" for c, v in values.items())
-        spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+    def versions(self, spark: SparkSession) -> list[int]:
+        database, _, short = self.name.rpartition(".")
+        place = f" IN {database}" if database else ""
+        found = spark.sql(f"SHOW TABLES{place} LIKE '{short}__v*'").collect()
+        numbers = [r["tableName"].removeprefix(f"{short}__v".lower()) for r in found]
+        return sorted(int(n) for n in numbers if n.isdigit())
 
+    def version_name(self, number: int) -> str:
+        return f"{self.name}__v{number}"
 
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}__pending"
+    def current(self, spark: SparkSession) -> str:
+        """The current version's own name (with the storage-only column)."""
+        return self.version_name(self.versions(spark)[-1])
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.name)
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    finish_pending(spark, path)
-    return spark.read.format(fmt).load(path)
+    def partitions(self, spark: SparkSession, number: int) -> set[str]:
+        return {r[0] for r in spark.sql(f"SHOW PARTITIONS {self.version_name(number)}").collect()}
 
+    def kept_marks(self, spark: SparkSession) -> dict[str, Column]:
+        """The marks as literals: what is newer is known when a query is
+        planned, without reading this table, so its scan lists only new
+        partitions and its small size is known to joins."""
+        schema = spark.table(self.name).schema
+        stored = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {self.current(spark)}").collect()}
+        return {c: F.lit(stored.get(f"mark.{c}")).cast(schema[c].dataType) for c in self.marks}
 
-def finish_pending(spark: SparkSession, path: str, table: CatalogTable | None = None) -> bool:
-    """Finish or forget an interrupted change of the table at ``path``; true
-    if one was finished."""
-    pending = _pending(path)
-    if not path_exists(spark, pending):
-        return False
-    ready = path_exists(spark, f"{pending}/journal/{DONE}")
-    if ready:
-        journal = json.loads("".join(r[0] for r in spark.read.text(f"{pending}/journal").collect()))  # one line
-        _apply(spark, path, table, journal, again=True)
-    _delete(spark, f"{pending}/journal")
-    _delete(spark, pending)
-    return ready
-
-
-_broken_off: ContextVar[str] = ContextVar("broken_off", default="")
-
-
-@contextmanager
-def broken_off(step: str):
-    """For rehearsals: changes made inside stop after their journal is
-    written, ``"before"`` or ``"after"`` the table is changed, as if the driver
-    were lost there."""
-    token = _broken_off.set(step)
-    try:
-        yield
-    finally:
-        _broken_off.reset(token)
-
-
-def _commit(spark: SparkSession, path: str, table: CatalogTable | None, journal: dict) -> None:
-    """Write the journal, then carry the change out."""
-    pending = _pending(path)
-    spark.createDataFrame([(json.dumps(journal),)], "value string").coalesce(1).write.mode("overwrite").text(f"{pending}/journal")
-    if _broken_off.get() == "before":
-        return
-    _apply(spark, path, table, journal)
-    if _broken_off.get() == "after":
-        return
-    _delete(spark, f"{pending}/journal")
-    _delete(spark, pending)
-
-
-def _apply(spark: SparkSession, path: str, table: CatalogTable | None, journal: dict, again: bool = False) -> None:
-    """Carry out a journalled change; may be repeated from the start."""
-    from ..operators.incremental import matching
-
-    pending, fmt, partitions = _pending(path), journal["format"], journal["partitions"]
-    read = lambda name: spark.read.format(fmt).load(f"{pending}/{name}")
-    if journal["replaced"]:
-        if table is not None:
-            columns = spark.table(table.name)
-            table.replace(spark, spark.read.format(fmt).schema(columns.schema).load(f"{pending}/replaced").select(*columns.columns))
-        else:
-            writer = read("replaced").write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            (writer.partitionBy(*partitions) if partitions else writer).save(path)
-    for emptied in journal["emptied"]:
-        if table is not None:
-            table.drop_partition(spark, emptied["values"])
-        else:
-            _delete_folder_of(spark, emptied["folder"])
-    if journal["append"]:
-        rows = read("append")
-        if again:  # some of them may have arrived: keys already there are not appended twice
-            now = spark.table(table.name) if table is not None else spark.read.format(fmt).load(path)
-            rows = matching(rows, now.select(*journal["key"]), journal["key"], "left_anti")
-        if table is not None:
-            rows.select(*spark.table(table.name).columns).write.insertInto(table.name, overwrite=False)
+    def create(self, df: DataFrame, path: str, partitions: Sequence[str], key: Sequence[str]) -> None:
+        spark = df.sparkSession
+        staged = StagedVersion(self, spark, path, partitions, key)
+        staged.add(df)
+        staged.publish(set())
+
+    def drop(self, spark: SparkSession) -> None:
+        """Forget the table and all its versions; files stay."""
+        spark.sql(f"DROP VIEW IF EXISTS {self.name}")
+        for number in self.versions(spark):
+            spark.sql(f"DROP TABLE IF EXISTS {self.version_name(number)}")
+
+
+class StagedVersion:
+    """The next version of a catalog table while it is being written: rows are
+    added in a fresh folder, then ``publish`` makes it the current one."""
+
+    def __init__(self, table: CatalogTable, spark: SparkSession, path: str, partitions: Sequence[str], key: Sequence[str]):
+        self.table, self.spark, self.path = table, spark, path.rstrip("/")
+        self.columns_by, self.key = [MERGE, *partitions], list(key)
+        self.base = (table.versions(spark) or [0])[-1]
+        self.tag = f"m{self.base + 1}_{uuid.uuid4().hex[:8]}"
+        self.name = f"{table.name}__new_{self.tag}"
+        self.marks: dict[str, str] = {}
+        self.written = False
+
+    def add(self, df: DataFrame) -> None:
+        marks, observed = self.table.marks, Observation()
+        df = df.withColumn(MERGE, F.lit(self.tag))
+        if marks:
+            df = df.observe(observed, *(F.max(c).cast("string").alias(c) for c in marks))
+        if not self.written:
+            writer = df.write.format(self.table.format).option("path", f"{self.path}/{self.tag}").partitionBy(*self.columns_by)
+            if self.table.buckets:
+                writer = writer.bucketBy(self.table.buckets, *self.key).sortBy(*self.key)
+            writer.saveAsTable(self.name)
+            self.written = True
         else:
-            writer = rows.write.format(fmt).mode("append")
-            (writer.partitionBy(*partitions) if partitions else writer).save(path)
+            df.select(*self.spark.table(self.name).columns).write.insertInto(self.name, overwrite=False)
+        for c, value in (observed.get if marks else {}).items():
+            self.marks[c] = max(filter(None, [value, self.marks.get(c)]), default=None)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def publish(self, gone: Iterable[str]) -> None:
+        """Commit: the folders written, and all of the base version's but those of ``gone``."""
+        spark, table = self.spark, self.table
+        if self.base:
+            stay = sorted(table.partitions(spark, self.base) - set(gone))
+            for start in range(0, len(stay), 500):
+                spark.sql(f"ALTER TABLE {self.name} ADD " + " ".join(self._located(spec) for spec in stay[start : start + 500]))
+            old = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table.version_name(self.base)}").collect()}
+            for c in table.marks:
+                self.marks[c] = max(filter(None, [self.marks.get(c), old.get(f"mark.{c}")]), default=None)
+        marks = ", ".join(f"'mark.{c}' = {_quoted(v)}" for c, v in self.marks.items() if v is not None)
+        if marks:
+            spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({marks})")
+        number = self.base + 1
+        try:
+            spark.sql(f"ALTER TABLE {self.name} RENAME TO {table.version_name(number)}")
+        except AnalysisException as error:
+            if number not in table.versions(spark):
+                raise
+            self.discard()
+            raise RuntimeError(f"another merge of {table.name} was committed first; repeat this one") from error
+        self.point_view(number)
+        self.clean_up(number)
+
+    def discard(self) -> None:
+        """Forget this version and what was written for it."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        _delete(self.spark, f"{self.path}/{self.tag}")
+
+    def point_view(self, number: int) -> None:
+        name = self.table.version_name(number)
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(name).columns if c != MERGE)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table.name} AS SELECT {columns} FROM {name}")
+
+    def _located(self, spec: str) -> str:
+        values = ", ".join(f"`{k}`={_quoted(v)}" for k, v in _values(spec).items())
+        return f"PARTITION ({values}) LOCATION {_quoted(self._folder(spec))}"
+
+    def _folder(self, spec: str) -> str:
+        return f"{self.path}/{_values(spec)[MERGE]}/{spec}"
+
+    def clean_up(self, number: int) -> None:
+        """Drop versions beyond those that are kept, and the folders that only they refer to."""
+        spark, table = self.spark, self.table
+        numbers = table.versions(spark)
+        old = [n for n in numbers if n < number - table.keep]
+        if not old:
+            return
+        kept = set().union(*(table.partitions(spark, n) for n in numbers if n not in old))
+        for n in old:
+            gone = table.partitions(spark, n) - kept
+            spark.sql(f"DROP TABLE IF EXISTS {table.version_name(n)}")
+            for spec in gone:
+                _delete(spark, self._folder(spec))
+
+
+# -------------------------------------------------------------------- merges
 
 
 def merge_into_table(
@@ -220,47 +281,90 @@ def merge_into_table(
     """Upsert ``batch`` into the table at ``path``, rewriting only the
     partitions that hold a row whose key the batch replaces.  Rows whose key
     is in ``delete_keys`` are removed as well.  With ``table`` the data lives
-    in a catalog table at ``path`` (bucketed by ``key`` if asked) and is read
-    and written through the catalog.
+    in a catalog table whose folders are below ``path``.
 
     Without ``order`` the batch must not repeat a key; with it the latest row
-    of a key counts.  Partitions that hold a replaced row (a key may move to
-    a newer load date) get new content: surviving rows and the batch's rows
-    for them; a partition left without rows is removed.  Batch rows for other
-    partitions are appended, so an append-only batch rewrites nothing.  An
-    unpartitioned table is rewritten only if a key is replaced.  Replaying a
-    batch changes nothing, and a lost driver is made good by the next merge or
-    read (see the module text).  Only the list of touched partitions (one row
-    per load date) reaches the driver.
+    of a key counts.  An append-only batch rewrites nothing.  Replaying a batch
+    changes nothing.  Only the list of touched partitions (one row per load
+    date) reaches the driver.
     """
-    from ..operators.incremental import latest_per_key, matching
+    from ..operators.incremental import latest_per_key
 
     key, partitions = list(key), list(partitions)
-    finish_pending(spark, path, table)
     if order:
         batch = latest_per_key(batch, key, order)
-    if table is not None and not table.exists(spark):
-        table.create(batch, path, partitions, key)
-        return path
-    if table is None and not table_exists(spark, path):
+    if table is not None:
+        stage_merge(spark, path, batch, key, partitions, bool(order), delete_keys, table)()
+    elif not table_exists(spark, path):
         # static overwrite: clears what a broken-off first write left, and marks success at the table's root
         batch.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static").partitionBy(*partitions).save(path)
-        return path
-    target = spark.table(table.name) if table is not None else spark.read.format(fmt).load(path)
-    columns, pending = target.columns, _pending(path)
-    # the batch is read several times below: from files, not from a plan that could change
-    # (with the table's types: partition values that are read back from folder names may be dates or numbers)
-    typed = batch.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
-    typed.write.format(fmt).mode("overwrite").save(f"{pending}/batch")
-    batch = spark.read.format(fmt).schema(target.schema).load(f"{pending}/batch").select(*columns)
+    else:
+        _merge_into_path(spark, path, batch, key, partitions, bool(order), delete_keys, fmt)
+    return path
+
+
+def _keys(batch: DataFrame, key: list[str], unique: bool, delete_keys: DataFrame | None) -> DataFrame:
     keys = batch.select(*key)
     if delete_keys is not None:
         keys = keys.unionByName(delete_keys.select(*key))
-    if delete_keys is not None or not order:  # repeated keys collapse map-side
+    if delete_keys is not None or not unique:  # repeated keys collapse map-side
         keys = keys.dropDuplicates()
-    journal = {"format": fmt, "partitions": partitions, "key": key, "replaced": False, "append": True, "emptied": []}
-    save = lambda df, name: df.write.format(fmt).mode("overwrite").save(f"{pending}/{name}")
-    if partitions:
+    return keys
+
+
+def stage_merge(spark, path: str, batch: DataFrame, key: list[str], partitions: list[str], unique: bool, delete_keys: DataFrame | None, table: CatalogTable):
+    """Write the next version of a catalog table; what it returns publishes it.
+
+    The batch is written once, to the version's own folder, and probed from
+    there; of the partitions that hold a replaced key the rows that stay are
+    added to the same folder."""
+    from ..operators.incremental import matching
+
+    staged = StagedVersion(table, spark, path, partitions, key)
+    staged.add(batch)
+    if not staged.base:
+        return lambda: staged.publish(set())
+    target = spark.table(table.version_name(staged.base))
+    keys = _keys(staged.rows().where(F.col(MERGE) == staged.tag), key, unique, delete_keys)
+    by = [MERGE, *partitions]
+    hits = matching(target.select(*dict.fromkeys([*key, *by])), keys, key, "left_semi")
+    touched = hits.select(*by).distinct().collect()
+    if not touched:
+        return lambda: staged.publish(set())
+    touched_rows = spark.createDataFrame(touched, target.select(*by).schema)
+    # the merges' tags prune folders, the join tells their partitions apart (null-safely)
+    inside = matching(target.where(F.col(MERGE).isin(sorted({r[MERGE] for r in touched}))), touched_rows, by, "left_semi")
+    staged.add(matching(inside, keys, key, "left_anti"))
+    as_text = touched_rows.select(*(F.col(c).cast("string") for c in by)).collect()
+    lost = [tuple(r) for r in as_text]
+    gone = {spec for spec in table.partitions(spark, staged.base) if tuple(_values(spec).values()) in lost}
+    return lambda: staged.publish(gone)
+
+
+def _merge_into_path(spark, path: str, batch: DataFrame, key: list[str], partitions: list[str], unique: bool, delete_keys: DataFrame | None, fmt: str) -> None:
+    """Merge by Spark's own writers.  New rows of other partitions are appended
+    first, then the touched partitions are overwritten, then emptied ones
+    removed: broken off in between, no row is missing, and repeating the merge
+    makes it whole."""
+    from ..operators.incremental import matching
+
+    target = spark.read.format(fmt).load(path)
+    scratch = work_path(spark, "merge")
+    # the batch may read the table: fixed before the table changes (with the table's types:
+    # partition values that are read back from folder names may be dates or numbers)
+    typed = batch.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
+    typed.write.format(fmt).save(f"{scratch}/batch")
+    batch = spark.read.format(fmt).schema(target.schema).load(f"{scratch}/batch").select(*target.columns)
+    keys = _keys(batch, key, unique, delete_keys)
+    append = lambda df: (df.write.partitionBy(*partitions) if partitions else df.write).format(fmt).mode("append").save(path)
+    if not partitions:
+        if matching(target, keys, key, "left_semi").isEmpty():
+            append(batch)
+        else:
+            whole = f"{scratch}/whole"
+            matching(target, keys, key, "left_anti").unionByName(batch).write.format(fmt).save(whole)
+            write_table(spark.read.format(fmt).schema(target.schema).load(whole), path, fmt)
+    else:
         folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("__folder")
         hits = matching(target.select(*dict.fromkeys([*key, *partitions]), folder), keys, key, "left_semi")
         touched = hits.select(*partitions, "__folder").distinct().collect()
@@ -271,18 +375,12 @@ def merge_into_table(
             kept = matching(matching(target, touched_df, partitions, "left_semi"), keys, key, "left_anti")
             arriving = matching(batch, touched_df, partitions, "left_semi")
             appended = matching(batch, touched_df, partitions, "left_anti")
-            save(kept.unionByName(arriving), "replaced")
-            present = {tuple(r) for r in spark.read.format(fmt).schema(target.schema).load(f"{pending}/replaced").select(*partitions).distinct().collect()}
-            journal["replaced"] = True
-            gone = {(tuple(r)[:-1], r["__folder"]) for r in touched if tuple(r)[:-1] not in present}
-            journal["emptied"] = [{"folder": f, "values": {c: None if v is None else str(v) for c, v in zip(partitions, values)}} for values, f in sorted(gone, key=repr)]
-        save(appended, "append")
-    else:
-        replaced = not matching(target, keys, key, "left_semi").isEmpty()
-        if replaced:
-            save(matching(target, keys, key, "left_anti").unionByName(batch), "replaced")
-        else:
-            save(batch, "append")
-        journal |= {"replaced": replaced, "append": not replaced}
-    _commit(spark, path, table, journal)
-    return path
+            new = kept.unionByName(arriving)
+            present = {tuple(r) for r in new.select(*partitions).distinct().collect()}
+        append(appended)
+        if touched:
+            new.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).save(path)
+            for values, uri in {(tuple(r)[:-1], r["__folder"]) for r in touched}:
+                if values not in present:
+                    _delete_folder_of(spark, uri)
+    _delete(spark, scratch)

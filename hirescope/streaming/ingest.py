@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_feed
 from ..operators.incremental import since
 from ..sources.files import FEEDS, bronze_stamp, read_raw_feed
-from ..sources.sinks import merge_into_table, read_table, table_exists
+from ..sources.sinks import CatalogTable, merge_into_table, read_table, table_exists
 
 
 def merge_files(
@@ -36,6 +36,7 @@ def merge_files(
     rescue: bool = True,
     check: Callable[[DataFrame], None] | None = None,
     fmt: str = "parquet",
+    table: CatalogTable | None = None,
 ) -> str:
     """Run an ``availableNow`` stream over the raw files of ``feed`` under
     ``landing``: each micro-batch (with its rows' source file) goes through
@@ -43,6 +44,7 @@ def merge_files(
 
     ``late_filter(batch, current_target)`` may drop rows before the
     transform (used for the reference's event-time high-water mark);
+    With ``table`` the target is a catalog table whose folders are below it.
     ``check(batch)`` may refuse a batch by raising.  With ``rescue`` the files
     of a micro-batch are read with their own schemas, and what does not fit
     the feed's schema is kept in ``_rescued_data``.  The call returns when all
@@ -60,12 +62,15 @@ def merge_files(
             files = [r[0] for r in batch.select("source_file").distinct().collect()]
             if not files:
                 return
-            batch = read_raw_feed(session, files, feed).withColumn("source_file", F.col("_metadata.file_path"))
+            batch = read_raw_feed(session, files, feed)
         if check is not None:
             check(batch)
-        if late_filter is not None and table_exists(session, target):
-            batch = late_filter(batch, read_table(session, target, fmt))
-        merge_into_table(session, target, transform(batch), key, partitions, order=order, fmt=fmt)
+        if late_filter is not None:
+            if table is not None and table.exists(session):
+                batch = late_filter(batch, table.read(session))
+            elif table is None and table_exists(session, target):
+                batch = late_filter(batch, read_table(session, target, fmt))
+        merge_into_table(session, target, transform(batch), key, partitions, order=order, fmt=fmt, table=table)
 
     query = (
         raw.writeStream.foreachBatch(merge_batch)
@@ -116,6 +121,7 @@ def ingest_bronze(
     rescue: bool = True,
     check: Callable[[DataFrame], None] | None = None,
     fmt: str = "parquet",
+    table: CatalogTable | None = None,
 ) -> str:
     """Raw feed files into the bronze table: raw columns, load stamps and the
     source file of every row; only files not seen before are read."""
@@ -125,4 +131,4 @@ def ingest_bronze(
 
     late = (lambda batch, current: since(batch, current, "timestamp")) if drop_late else None
     return merge_files(spark, landing, feed, transform, target, checkpoint, key, order=("timestamp",),
-                       late_filter=late, rescue=rescue, check=check, fmt=fmt)
+                       late_filter=late, rescue=rescue, check=check, fmt=fmt, table=table)

@@ -154,9 +154,10 @@ def test_merge_into_bucketed_catalog_table(spark):
                      table=table)  # key moves from p=1 to p=2
     got = sorted(tuple(r) for r in spark.table(table.name).select("k", "v", "p").collect())
     assert got == [("a", 2, 2), ("b", 1, 1), ("c", 1, 2)]
-    desc = " ".join(str(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect())
+    desc = " ".join(str(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.current(spark)}").collect())
     assert "Num Buckets" in desc
-    spark.sql(f"DROP TABLE {table.name}")
+    table.drop(spark)
+    assert not table.exists(spark)
 
 
 def test_unpartitioned_merge_appends_new_keys_and_rewrites_on_replace(spark):
@@ -169,34 +170,109 @@ def test_unpartitioned_merge_appends_new_keys_and_rewrites_on_replace(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1), ("c", 1)]
 
 
-def test_interrupted_merges_are_finished_once(spark):
-    """A driver lost before or after the change of the table, in either kind
-    of table: the next merge or read makes it good, and nothing is doubled."""
+def _catalog(spark, **named):
+    from hirescope.plans.queries import _merge_catalog
+
+    return _merge_catalog(spark, **named)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select("k", "v", "p").collect()), key=repr)
+
+
+def test_merges_lost_before_their_commit_change_nothing(spark):
+    """A merge that is staged and never published, in either kind of table:
+    readers see the old version, the next merge starts from it."""
     from hirescope.sources import sinks
 
     schema = "k string, v long, p int"
-    for partitions in (("p",), ()):
-        for step in ("before", "after"):
-            path = work_path(spark, "t-broken")
-            merge_into_table(spark, path, spark.createDataFrame([("a", 1, 1), ("b", 1, 1), ("c", 1, 2)], schema), ["k"], partitions)
-            with sinks.broken_off(step):
-                merge_into_table(spark, path, spark.createDataFrame([("a", 2, 3), ("d", 2, 2), ("b", 2, 3)], schema), ["k"], partitions)
-            with sinks.broken_off(step):  # finishes the first, is broken off itself
-                merge_into_table(spark, path, spark.createDataFrame([("e", 3, 4), (None, 3, 4)], schema), ["k"], partitions)
-            rows = sorted((tuple(r) for r in sinks.read_table(spark, path).select("k", "v", "p").collect()), key=repr)
-            assert rows == sorted([("a", 2, 3), ("b", 2, 3), ("c", 1, 2), ("d", 2, 2), ("e", 3, 4), (None, 3, 4)], key=repr)
-            assert not sinks.path_exists(spark, sinks._pending(path))
-
-
-def test_unfinished_preparation_is_forgotten(spark):
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    for partitions in (["p"], []):
+        table, path = _catalog(spark)
+        merge_into_table(spark, path, make([("a", 1, 1), ("b", 1, 1), ("c", 1, 2)]), ["k"], partitions, table=table)
+        old = _rows(table.read(spark))
+        sinks.stage_merge(spark, path, make([("a", 2, 3), ("z", 9, 1)]), ["k"], partitions, True, None, table)
+        assert _rows(table.read(spark)) == old
+        merge_into_table(spark, path, make([("a", 2, 3), ("d", 2, 2), ("b", 2, 3)]), ["k"], partitions, table=table)
+        merge_into_table(spark, path, make([("e", 3, 4), (None, 3, 4)]), ["k"], partitions, table=table)
+        want = [("a", 2, 3), ("b", 2, 3), ("c", 1, 2), ("d", 2, 2), ("e", 3, 4), (None, 3, 4)]
+        assert _rows(table.read(spark)) == sorted(want, key=repr)
+        merge_into_table(spark, path, make([]), ["k"], partitions, delete_keys=spark.createDataFrame([("e",), (None,)], "k string"), table=table)
+        assert _rows(table.read(spark)) == sorted(want[:4], key=repr)
+
+
+def test_a_reader_keeps_the_version_it_was_planned_on(spark):
+    schema = "k string, v long, p int"
+    table, path = _catalog(spark)
+    readers, wanted = [], []
+    for n in range(4):
+        batch = spark.createDataFrame([("a", n, n), (f"b{n}", n, 0)], schema)
+        merge_into_table(spark, path, batch, ["k"], ["p"], table=table)
+        readers.append(table.read(spark))
+        wanted.append(sorted([("a", n, n), *((f"b{i}", i, 0) for i in range(n + 1))], key=repr))
+        for reader, want in zip(readers[-3:], wanted[-3:]):  # the current one and two older ones
+            assert _rows(reader) == want
+    assert table.versions(spark) == [2, 3, 4]
+    # the first merge's folder held p=0 (still read) and p=1... of "a" at n=0 (p=0): what no kept version refers to is gone
+    specs = set().union(*(table.partitions(spark, n) for n in table.versions(spark)))
+    left = {os.path.relpath(d, path.replace("file:", "")) for d, _, files in os.walk(path.replace("file:", "")) if any(f.endswith(".parquet") for f in files)}
+    assert {d.split("/", 1)[1] for d in left} == specs
+
+
+def test_the_second_of_two_writers_is_refused(spark):
+    import pytest
+
     from hirescope.sources import sinks
 
-    path = work_path(spark, "t-forget")
-    merge_into_table(spark, path, spark.createDataFrame([("a", 1)], "k string, v long"), ["k"], ())
-    spark.createDataFrame([("z", 9)], "k string, v long").write.parquet(f"{sinks._pending(path)}/replaced")
-    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("a", 1)]
-    sinks.write_table(spark.createDataFrame([("b", 2)], "k string, v long"), path)
-    assert [tuple(r) for r in sinks.read_table(spark, path).collect()] == [("b", 2)]
+    schema = "k string, v long, p int"
+    table, path = _catalog(spark)
+    merge_into_table(spark, path, spark.createDataFrame([("a", 1, 1)], schema), ["k"], ["p"], table=table)
+    stage = lambda rows: sinks.stage_merge(spark, path, spark.createDataFrame(rows, schema), ["k"], ["p"], True, None, table)
+    one, two = stage([("a", 2, 1)]), stage([("a", 3, 2)])
+    two()
+    with pytest.raises(RuntimeError, match="committed first"):
+        one()
+    assert _rows(table.read(spark)) == [("a", 3, 2)]
+    merge_into_table(spark, path, spark.createDataFrame([("a", 4, 1)], schema), ["k"], ["p"], table=table)
+    assert _rows(table.read(spark)) == [("a", 4, 1)]
+
+
+@settings(max_examples=int(__import__("os").environ.get("MERGE_EXAMPLES", "3")), deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from([1, 2, None])), max_size=5), min_size=2, max_size=4))
+def test_catalog_merge_sequence_equals_latest_of_all(spark, batches):
+    from hirescope.operators import latest_per_key
+
+    schema = "k string, v timestamp, p int"
+    table, path = _catalog(spark, marks=["v"])
+    everything, n = [], 0
+    for rows in batches:
+        batch = []
+        for k, p in rows:
+            n += 1
+            batch.append((k, __import__("datetime").datetime(2001, 1, 1, 0, 0, n), p))
+        everything += batch
+        merge_into_table(spark, path, spark.createDataFrame(batch, schema), ["k"], ["p"], order=["v"], table=table)
+        want = latest_per_key(spark.createDataFrame(everything, schema), ["k"], ["v"])
+        assert _rows(table.read(spark)) == _rows(want)
+        mark = spark.range(1).select(table.kept_marks(spark)["v"]).first()[0]
+        assert mark == max((r[1] for r in everything), default=None)
+
+
+def test_path_merge_repeated_after_any_step_is_whole(spark):
+    """Steps of a merge into a path table, done by hand up to one of them:
+    no row is missing, and the same merge makes the table whole."""
+    schema = "k string, v long, p int"
+    batch = spark.createDataFrame([("a", 2, 3), ("d", 2, 2), ("b", 2, 3)], schema)
+    for steps in range(3):
+        path = work_path(spark, "t-steps")
+        merge_into_table(spark, path, spark.createDataFrame([("a", 1, 1), ("b", 1, 1), ("c", 1, 2)], schema), ["k"], ["p"])
+        if steps > 0:  # rows of other partitions appended
+            batch.where("p = 3").write.mode("append").partitionBy("p").parquet(path)
+        if steps > 1:  # a touched partition overwritten
+            spark.createDataFrame([("c", 1, 2), ("d", 2, 2)], schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p").parquet(path)
+        assert {r["k"] for r in spark.read.parquet(path).collect()} >= {"a", "b", "c"}
+        merge_into_table(spark, path, batch, ["k"], ["p"])
+        assert _rows(spark.read.parquet(path)) == [("a", 2, 3), ("b", 2, 3), ("c", 1, 2), ("d", 2, 2)]
 
 
 def test_stream_rescues_drifted_files(spark):
@@ -222,3 +298,29 @@ def test_failed_stream_raises(spark):
     with pytest.raises(Exception, match="refused"):
         merge_files(spark, landing, "a", lambda b: b, target, ckpt, check=refuse)
     assert not spark.streams.active
+
+
+def test_files_that_contradict_each_other_all_load(spark):
+    """Double, text and struct for one column, and a struct with other fields:
+    interleaved files, whatever their order."""
+    import json
+
+    from hirescope.sources import read_raw_feed
+
+    path = work_path(spark, "t-drift")
+    shapes = [("MIN_AMOUNT double", 1.5), ("MIN_AMOUNT string", "n/a"), ("MIN_AMOUNT struct<from:int>", (7,)), ("MIN_AMOUNT string", "2.5"), ("MIN_AMOUNT double", 3.5)]
+    for i, (column, value) in enumerate(shapes):
+        spark.createDataFrame([(str(i), value)], f"job_posting_id string, {column}").coalesce(1).write.parquet(f"{path}/f{i}")
+    rows = {r.job_posting_id: r for r in read_raw_feed(spark, [f"{path}/f{i}" for i in range(5)], "a").collect()}
+    assert {k: r.MIN_AMOUNT for k, r in rows.items()} == {"0": 1.5, "1": None, "2": None, "3": 2.5, "4": 3.5}
+    rescued = {k: json.loads(r._rescued_data) for k, r in rows.items() if r._rescued_data}
+    assert rescued == {"1": {"MIN_AMOUNT": "n/a"}, "2": {"MIN_AMOUNT": '{"from":7}'}}
+    assert all(f"/f{k}/" in r.source_file for k, r in rows.items())
+
+    nested = work_path(spark, "t-drift-b")
+    spark.createDataFrame([("1", ("5.5", "x", "EUR"))], "job_posting_id string, base_salary struct<min_amount:string,max_amount:string,currency:string>").write.parquet(nested)
+    spark.createDataFrame([("2", (1.0, 2.0))], "job_posting_id string, base_salary struct<min_amount:double,max_amount:double>").write.mode("append").parquet(nested)
+    rows = {r.job_posting_id: r for r in read_raw_feed(spark, nested, "b").collect()}
+    assert tuple(rows["1"].base_salary) == (5.5, None) and tuple(rows["2"].base_salary) == (1.0, 2.0)
+    assert json.loads(rows["1"]._rescued_data) == {"base_salary.max_amount": "x", "base_salary.currency": "EUR"}
+    assert rows["2"]._rescued_data is None
