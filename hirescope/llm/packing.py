@@ -21,15 +21,14 @@ parts) and looks their places up in the plan.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,22 +45,38 @@ END_ID = 0
 #: words of a generation whose ids a worker keeps, and the longest of them
 CACHE_WORDS = 250_000
 CACHE_CHARS = 40
-#: characters of a text that are encoded at once
-SLICE = 1 << 20
+#: characters of text that are encoded at once
+SLICE = 1 << 22
+#: new words that are encoded as one text
+JOINED = 256
 #: pieces of one length that are numbered in one part
 PART_ROWS = 50_000
 
 
+_LETTERS = f"A-Za-z{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x12F)}{chr(0x131)}-{chr(0x24F)}"
+_SIGNS = "!-&(-/:-@\\[-`{-~"
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """Ids of texts for a tokenizer whose pre-tokens never hold white space:
     words between spaces are encoded on their own and kept.
 
+    Of words of Latin letters (but U+0130, whose lower case ends in a mark),
+    ASCII digits and ASCII signs (but the apostrophe, which can join letters)
+    it is known into how many pre-tokens they fall.  New ones are encoded many
+    at a time as one text: the last id of a pre-token, and no other, is one
+    that ends a word, which tells whose ids are whose.
+
     Kept words are of two generations; a word met again moves to the younger
     one, and when that is full the older one goes."""
 
-    #: Latin letters (but U+0130, whose lower case ends in a mark) and ASCII punctuation after them never
-    #: share a pre-token; an apostrophe can belong to both
-    _parts = re.compile(f"([A-Za-z{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x12F)}{chr(0x131)}-{chr(0x24F)}]+)([!-&(-/:-@\\[-`{{-~]+)").fullmatch
+    _plain = f"^[{_LETTERS}0-9{_SIGNS}]+$"
+    _signs = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+    _parts = f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+"
 
     def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -69,46 +84,90 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = not special  # else their strings in a text are ordinary text
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _slices(self, text: str) -> Iterator[list[str]]:
+    def _joined(self, words: pa.Array) -> list[bytes]:
+        """Ids of words of which it is known into how many pre-tokens they fall, encoded side by side."""
+        parts = pc.count_substring_regex(words, self._parts).to_numpy(zero_copy_only=False)
+        text = _strings(words)
+        chunks = [" ".join(text[i : i + JOINED]) for i in range(0, len(text), JOINED)]
+        ids = np.concatenate([np.empty(0, "<u4"), *(np.array(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False))])
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != parts.sum() or (len(ends) and ends[-1] != len(ids)):
+            raise ValueError("the tokenizer splits words in other places")
+        data, cuts = ids.astype("<u4").tobytes(), [0, *(4 * ends[np.cumsum(parts) - 1]).tolist()]
+        return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of new words.  Plain ones may share their lower-case stems, and the signs behind them."""
+        array = pa.array(words, pa.string())
+        # special strings begin with these two signs
+        plain = pc.and_(pc.match_substring_regex(array, self._plain), pc.invert(pc.match_substring(array, "<|")))
+        lower = pc.utf8_lower(array.filter(plain))
+        stems = pc.utf8_rtrim(lower, self._signs).dictionary_encode()
+        signs = pc.replace_substring_regex(lower, f"^.*[{_LETTERS}0-9]", "").dictionary_encode()
+        lists = [[self._joined(d.dictionary.filter(pc.greater(pc.binary_length(d.dictionary), 0))), d] for d in (stems, signs)]
+        for ids, d in lists:
+            if (empty := pc.index(d.dictionary, "").as_py()) >= 0:
+                ids.insert(empty, b"")
+        (head, _), (tail, _) = lists
+        side = (head[a] + tail[b] for a, b in zip(stems.indices.to_numpy().tolist(), signs.indices.to_numpy().tolist()))
+        alone = (np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(_strings(array.filter(pc.invert(plain))), add_special_tokens=False))
+        return [next(side) if p else next(alone) for p in plain.to_numpy(zero_copy_only=False).tolist()]
+
+    def _ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text: distinct words are looked up, and their ids gathered."""
+        if len(self._young) > CACHE_WORDS:
+            self._old, self._young = self._young, {}
+        young, old, lists = self._young, self._old, pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        words, codes = _strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+        data = [young.get(w) for w in words]
+        missing = [i for i, ids in enumerate(data) if ids is None]
+        again = [(i, old[words[i]]) for i in missing if words[i] in old]
+        new = [i for i in missing if words[i] not in old]
+        for i, ids in [*again, *zip(new, self._learn([words[i] for i in new]))]:
+            data[i] = ids
+            if len(words[i]) <= CACHE_CHARS:
+                young[words[i]] = ids
+        flat, sizes = np.frombuffer(b"".join(data), "<u4"), np.fromiter(map(len, data), np.int64, len(data)) // 4
+        starts, each = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(starts - ends[:-1], each) + np.arange(ends[-1])]
+        cuts = ends[lists.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian uint32 ids of each text (null: none); short texts
+        share their look-ups, long ones are cut at spaces."""
+        texts = pc.replace_substring(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), "\t", " ")
+        sizes, start = pc.binary_length(texts).to_numpy(zero_copy_only=False).tolist(), 0
+        while start < len(sizes):
+            end, size = start + 1, sizes[start]
+            while end < len(sizes) and size + sizes[end] <= SLICE:
+                size += sizes[end]
+                end += 1
+            if size <= SLICE:
+                yield from self._ids(texts.slice(start, end - start))
+            else:
+                yield b"".join(ids for part in self._cut(texts[start].as_py()) for ids in self._ids(part))
+            start = end
+
+    def _cut(self, text: str) -> Iterator[pa.Array]:
         at = 0
         while at < len(text):
             end = text.find(" ", at + SLICE)
             end = len(text) if end < 0 else end
-            yield text[at:end].split(" ")
+            yield pa.array([text[at:end]])
             at = end
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not in the younger generation; short ones go there."""
-        young, old, parts = self._young, self._old, {}
-        found = {w: old[w] for w in words if w in old}
-        for w in words:
-            if w not in found:
-                split = self._parts(w)
-                parts[w] = split.groups() if split else (w,)
-        known = {p: young[p] if p in young else old[p] for ps in parts.values() for p in ps if p in young or p in old}
-        new = list({p for ps in parts.values() for p in ps if p not in known})
-        known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)))
-        found.update((w, b"".join([known[p] for p in ps])) for w, ps in parts.items())
-        young.update((w, ids) for w, ids in (known | found).items() if len(w) <= CACHE_CHARS)
-        return found
-
     def encode(self, text: str | None) -> bytes:
         """Little-endian uint32 ids."""
-        out = []
-        for words in self._slices((text or "").replace("\n", " ").replace("\t", " ")):
-            if len(self._young) > CACHE_WORDS:
-                self._old, self._young = self._young, {}
-            young = self._young
-            new = {w for w in words if w not in young}
-            if new:
-                found = self._learn(new)
-                out += [found[w] if w in found else young[w] for w in words]
-            else:
-                out += [young[w] for w in words]
-        return b"".join(out)
+        return next(self.encode_all(pa.array([text], pa.string())))
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
@@ -132,8 +191,8 @@ def pieces(df: DataFrame, tokenizer_path: str, id_cols: Sequence[str] = ("doc_id
         encoder = _encoder(tokenizer_path, special)
         for batch in batches:
             row, out = [], []
-            for i, text in enumerate(batch.column(len(ids))):
-                data = encoder.encode(text.as_py()) + end
+            for i, data in enumerate(encoder.encode_all(batch.column(len(ids)))):
+                data += end
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     row.append(i)

@@ -59,8 +59,8 @@ def token_blocks(df: DataFrame, tokenizer_path: str, separator: int, id_col: str
 
         for batch in batches:
             kind = batch.column(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(encoder.encode(text.as_py()), "<u4")
+            for doc, data in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
+                ids = np.frombuffer(data, "<u4")
                 if len(ids) and ids.max() > np.iinfo(dtype).max:
                     raise ValueError(f"ids do not fit {dtype}")
                 held.append(np.append(ids, separator).astype(dtype).tobytes())
