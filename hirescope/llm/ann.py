@@ -41,6 +41,8 @@ TOGETHER = 256
 #: the scale of half widths of windows (vectors have length 1): the first and their growth
 WIDTH = 0.05
 GROWTH = 1.05
+#: where the search on this scale begins (it ends at the same step from anywhere)
+START = 48
 #: vectors of a block (places are 16-bit numbers) and queries of a block
 BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -120,7 +122,7 @@ class SortedBlock:
             bits[:, : len(ids)] = own < edges
             self.before.append(np.packbits(bits, axis=1, bitorder="little").view(np.uint64))
         #: place on the scale of widths where the queries before ended
-        self.step = 0
+        self.step = START
 
     def _window(self, at: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of each query's window in each array, (arrays, queries)."""
@@ -271,17 +273,29 @@ def search(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: s
     together = vectors.unionByName(asked).repartition(max(1, index.count()), "block").sortWithinPartitions("block", "query", "asked")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None
+        own, waiting = None, []  # blocks of queries, which may be small, are searched together
+
+        def searched() -> Iterator[pa.RecordBatch]:
+            if not waiting:
+                return
+            ids, matrix = np.concatenate([i for i, _ in waiting]), np.concatenate([m for _, m in waiting])
+            waiting.clear()
+            found = [[{"away": -s, "vec_id": v} for v, s in zip(best.tolist(), scores.tolist())] for best, scores in own.search(ids.tolist(), matrix, k)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64())])))], ["query_id", "found"])
+
         for batch in batches:
             for row in range(batch.num_rows):
                 query, dim, ids, data = (batch.column(c)[row] for c in ("query", "dim", "ids", "vectors"))
                 ids = np.frombuffer(ids.as_buffer(), np.int64)
                 matrix = np.frombuffer(data.as_buffer(), np.float64).reshape(len(ids), dim.as_py())
                 if not query.as_py():
+                    yield from searched()
                     own = SortedBlock(ids, matrix)
                     continue
-                found = [[{"away": -s, "vec_id": v} for v, s in zip(best.tolist(), scores.tolist())] for best, scores in own.search(ids.tolist(), matrix, k)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64())])))], ["query_id", "found"])
+                waiting.append((ids, matrix))
+                if sum(len(i) for i, _ in waiting) >= TOGETHER:
+                    yield from searched()
+        yield from searched()
 
     met = together.mapInArrow(meet, "query_id long, found array<struct<away:double,vec_id:long>>")
     best = met.groupBy("query_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, k).alias("found"))
