@@ -86,9 +86,41 @@ def heatmap_opportunity_index(job_count: Column, companies: Column, avg_max: Col
 
 def heatmap(staged: DataFrame, as_of, standardise: bool = False) -> DataFrame:
     """Job-market heatmap; ``standardise=True`` is v2 (canonical seniority)."""
-    d = job_density(staged, as_of, standardise)
+    return _heatmap_scores(job_density(staged, as_of, standardise))
+
+
+def heatmap_partials(staged: DataFrame, by: list[str], standardise: bool = False) -> DataFrame:
+    """What ``heatmap_from_partials`` needs of some rows, whatever the day it
+    looks back from: sums for each group, company and posting day, which add
+    up over any split of the rows."""
+    df = staged.where(F.col("job_city").isNotNull()).withColumn("_posted", as_date(F.col("job_posted_date")))
+    if standardise:
+        df = df.withColumn("job_seniority_level", standardise_seniority(F.col("job_seniority_level")))
+    return df.groupBy(*by, *HEATMAP_KEYS, "company_name", "_posted").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("min_salary").alias("_low"), F.count("min_salary").alias("_n_low"),
+        F.sum("max_salary").alias("_high"), F.count("max_salary").alias("_n_high"),
+    )
+
+
+def heatmap_from_partials(partials: DataFrame, as_of) -> DataFrame:
+    """The heatmap from partials of all its rows."""
+    recent = lambda days: F.sum(F.when(posted_on_or_after(F.col("_posted"), as_of, days), F.col("_n")).otherwise(F.lit(0)))
+    return _heatmap_scores(
+        partials.groupBy(*HEATMAP_KEYS).agg(
+            F.sum("_n").alias("job_count"),
+            F.countDistinct("company_name").alias("unique_companies"),
+            F.try_divide(F.sum("_low"), F.sum("_n_low")).alias("avg_min_salary"),
+            F.try_divide(F.sum("_high"), F.sum("_n_high")).alias("avg_max_salary"),
+            recent(7).alias("jobs_last_7_days"),
+            recent(30).alias("jobs_last_30_days"),
+        )
+    )
+
+
+def _heatmap_scores(density: DataFrame) -> DataFrame:
     c = F.col
-    return d.withColumns(
+    return density.withColumns(
         {
             "market_temperature": market_temperature(c("jobs_last_7_days"), c("jobs_last_30_days")),
             "competitiveness_score": competitiveness_score(
@@ -111,21 +143,9 @@ MID_SENIOR = "Mid-Senior level"
 LEADERSHIP = ["Director", "Executive"]
 
 
-def company_metrics(staged: DataFrame, as_of) -> DataFrame:
-    """Group by company and industry: volume, windows, employment, seniority, salary.
-
-    Rows are first reduced to one per company, industry, title, function and
-    city with plain sums (map-side); the three exact distinct counts then run
-    over that much smaller set, so no set of raw values is ever collected.
-    """
+def _company_counts() -> dict[str, Column]:
     emp, sen = F.col("job_employment_type"), F.col("job_seniority_level")
-    low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
-    high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
-    counts = {
-        "total_job_postings": F.count(F.lit(1)),
-        "jobs_last_7d": _count_if(_recent(as_of, 7)),
-        "jobs_last_30d": _count_if(_recent(as_of, 30)),
-        "jobs_last_90d": _count_if(_recent(as_of, 90)),
+    return {
         "fulltime_roles": _sum_if(emp == "Full-time"),
         "contract_roles": _sum_if(emp == "Contract"),
         "parttime_roles": _sum_if(emp == "Part-time"),
@@ -133,23 +153,61 @@ def company_metrics(staged: DataFrame, as_of) -> DataFrame:
         "midsenior_roles": _sum_if(sen == MID_SENIOR),
         "leadership_roles": _sum_if(sen.isin(LEADERSHIP)),
     }
-    reduced = staged.groupBy("company_name", "job_industries", "job_title", "job_function", "job_city").agg(
-        *(c.alias(name) for name, c in counts.items()),
+
+
+COMPANY_KEYS = ["company_name", "job_industries"]
+COMPANY_WINDOWS = {"jobs_last_7d": 7, "jobs_last_30d": 30, "jobs_last_90d": 90}
+
+
+def company_metrics(staged: DataFrame, as_of) -> DataFrame:
+    """Group by company and industry: volume, windows, employment, seniority,
+    salary.  Distinct counts are exact; no set of raw values is collected."""
+    low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
+    high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
+    return staged.groupBy(*COMPANY_KEYS).agg(
+        F.count(F.lit(1)).alias("total_job_postings"),
+        F.countDistinct("job_title").alias("unique_roles"),
+        F.countDistinct("job_function").alias("function_diversity"),
+        F.countDistinct("job_city").alias("geographic_spread"),
+        *(_count_if(_recent(as_of, days)).alias(name) for name, days in COMPANY_WINDOWS.items()),
+        *(c.alias(name) for name, c in _company_counts().items()),
+        F.avg(low).alias("avg_min_salary"),
+        F.avg(high).alias("avg_max_salary"),
+        F.min("job_posted_date").alias("first_posting_date"),
+        F.max("job_posted_date").alias("latest_posting_date"),
+    )
+
+
+def company_partials(staged: DataFrame, by: list[str]) -> DataFrame:
+    """What ``company_from_partials`` needs of some rows, whatever the day it
+    looks back from: sums for each company, industry, title, function, city
+    and posting day, which add up over any split of the rows."""
+    low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
+    high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
+    return staged.withColumn("_posted", as_date(F.col("job_posted_date"))).groupBy(*by, *COMPANY_KEYS, "job_title", "job_function", "job_city", "_posted").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *(c.alias(name) for name, c in _company_counts().items()),
         F.sum(low).alias("_low"), F.count(low).alias("_n_low"), F.sum(high).alias("_high"), F.count(high).alias("_n_high"),
         F.min("job_posted_date").alias("_first"), F.max("job_posted_date").alias("_latest"),
     )
-    total = {name: F.sum(name).alias(name) for name in counts}
-    return reduced.groupBy("company_name", "job_industries").agg(
-        total.pop("total_job_postings"),
+
+
+def company_from_partials(partials: DataFrame, as_of) -> DataFrame:
+    """The company mart from partials of all its rows."""
+    recent = lambda days: F.sum(F.when(posted_on_or_after(F.col("_posted"), as_of, days), F.col("_n")).otherwise(F.lit(0)))
+    metrics = partials.groupBy(*COMPANY_KEYS).agg(
+        F.sum("_n").alias("total_job_postings"),
         F.countDistinct("job_title").alias("unique_roles"),
         F.countDistinct("job_function").alias("function_diversity"),
         F.countDistinct("job_city").alias("geographic_spread"),
-        *total.values(),
+        *(recent(days).alias(name) for name, days in COMPANY_WINDOWS.items()),
+        *(F.sum(name).alias(name) for name in _company_counts()),
         F.try_divide(F.sum("_low"), F.sum("_n_low")).alias("avg_min_salary"),
         F.try_divide(F.sum("_high"), F.sum("_n_high")).alias("avg_max_salary"),
         F.min("_first").alias("first_posting_date"),
         F.max("_latest").alias("latest_posting_date"),
     )
+    return _company_scores(metrics)
 
 
 def hiring_velocity_score(jobs_30d: Column, jobs_90d: Column) -> Column:
@@ -189,8 +247,12 @@ def market_presence(total: Column) -> Column:
 
 
 def company_mart(staged: DataFrame, as_of) -> DataFrame:
+    return _company_scores(company_metrics(staged, as_of))
+
+
+def _company_scores(metrics: DataFrame) -> DataFrame:
     c = F.col
-    return company_metrics(staged, as_of).withColumns(
+    return metrics.withColumns(
         {
             "hiring_velocity_score": hiring_velocity_score(c("jobs_last_30d"), c("jobs_last_90d")),
             "hiring_stage": hiring_stage(c("jobs_last_7d"), c("jobs_last_30d"), c("jobs_last_90d")),
@@ -282,7 +344,8 @@ def skills_mart(staged: DataFrame, as_of, sort: bool = True) -> DataFrame:
             ),
         }
     ).withColumn("demand_momentum_ratio", c("demand_momentum_ratio").cast("double"))
-    return out.orderBy(F.desc("opportunity_score")) if sort else out
+    # ties in the order of the group's columns
+    return out.orderBy(F.desc("opportunity_score"), *SKILL_KEYS) if sort else out
 
 
 # ---------------------------------------------------------------- geography
@@ -292,42 +355,29 @@ GEO_KEYS = ["state", "city", "latitude", "longitude", "city_tier"]
 
 def geo_aggregate(staged: DataFrame, as_of) -> DataFrame:
     """Group geocoded postings by state, city, point and tier; 19 measures.
-
-    Rows are first reduced to one per group, company, function and industry
-    with plain sums (map-side).  The sorted arrays of functions and industries
-    (wanted in the output, so as large as their distinct values) and the exact
-    company count then come from that smaller set.
-    """
+    The two arrays (wanted in the output) are as large as their distinct
+    values."""
     g = geocode(staged).withColumnsRenamed({"job_state": "state", "job_city": "city"})
     emp, sen, mid = F.col("job_employment_type"), F.col("job_seniority_level"), F.col("mid_salary")
     positive_mid = F.when(mid > 0, mid)
-    distance = F.col("distance_from_sydney_km")
-    counts = {
-        "total_jobs": F.count(F.lit(1)),
-        "fulltime_jobs": _sum_if(emp == "Full-time"),
-        "contract_jobs": _sum_if(emp == "Contract"),
-        "parttime_jobs": _sum_if(emp == "Part-time"),
-        "entry_level_jobs": _sum_if(sen.isin(JUNIOR)),
-        "midsenior_jobs": _sum_if(sen == MID_SENIOR),
-        "senior_jobs": _sum_if(sen.isin(LEADERSHIP)),
-        "salary_sample_size": F.count(positive_mid),
-        "jobs_last_week": _count_if(_recent(as_of, 7)),
-        "jobs_last_month": _count_if(_recent(as_of, 30)),
-    }
-    reduced = g.groupBy(*GEO_KEYS, "company_name", "job_function", "job_industries").agg(
-        *(c.alias(name) for name, c in counts.items()),
-        F.sum(positive_mid).alias("_mid"), F.min(positive_mid).alias("_low"), F.max(positive_mid).alias("_high"),
-        F.sum(distance).alias("_distance"), F.count(distance).alias("_n_distance"),
-    )
-    agg = reduced.groupBy(*GEO_KEYS).agg(
-        *(F.sum(name).alias(name) for name in counts),
+    agg = g.groupBy(*GEO_KEYS).agg(
+        F.count(F.lit(1)).alias("total_jobs"),
         F.countDistinct("company_name").alias("unique_companies"),
         F.sort_array(F.collect_set("job_function")).alias("top_functions"),
         F.sort_array(F.collect_set("job_industries")).alias("top_industries"),
-        F.try_divide(F.sum("_mid"), F.sum("salary_sample_size")).alias("avg_salary"),
-        F.min("_low").alias("min_salary_market"),
-        F.max("_high").alias("max_salary_market"),
-        F.try_divide(F.sum("_distance"), F.sum("_n_distance")).alias("avg_distance_from_sydney"),
+        _sum_if(emp == "Full-time").alias("fulltime_jobs"),
+        _sum_if(emp == "Contract").alias("contract_jobs"),
+        _sum_if(emp == "Part-time").alias("parttime_jobs"),
+        _sum_if(sen.isin(JUNIOR)).alias("entry_level_jobs"),
+        _sum_if(sen == MID_SENIOR).alias("midsenior_jobs"),
+        _sum_if(sen.isin(LEADERSHIP)).alias("senior_jobs"),
+        F.count(positive_mid).alias("salary_sample_size"),
+        F.avg(positive_mid).alias("avg_salary"),
+        F.min(positive_mid).alias("min_salary_market"),
+        F.max(positive_mid).alias("max_salary_market"),
+        _count_if(_recent(as_of, 7)).alias("jobs_last_week"),
+        _count_if(_recent(as_of, 30)).alias("jobs_last_month"),
+        F.avg("distance_from_sydney_km").alias("avg_distance_from_sydney"),
     )
     return agg.withColumns(
         {
@@ -405,4 +455,4 @@ def geo_mart(staged: DataFrame, as_of, sort: bool = True) -> DataFrame:
             "analysis_date": as_of_timestamp(as_of),
         }
     ).select(*GEO_MART_COLUMNS)
-    return out.orderBy(F.desc("opportunity_index")) if sort else out
+    return out.orderBy(F.desc("opportunity_index"), "state", "city") if sort else out

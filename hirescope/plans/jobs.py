@@ -4,7 +4,8 @@ Each model is a table on shared storage, as in the reference where every
 arrow between models is a persisted table.  A model reads the tables it
 depends on (so lineage is cut at every tier and a lost executor only costs
 the current model), filters its input by the target's high-water mark, and
-merges the result by key.  Marts are rebuilt in full from the staged table.
+merges the result by key.  Marts are rebuilt from the staged table, or, with
+catalog tables, kept from partials of its partitions.
 
 ``run`` processes one load; calling it again with new raw files and a later
 ``as_of`` is an incremental run.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +38,19 @@ from ..operators import (
     unify,
 )
 from ..operators.incremental import high_water_mark
+from ..operators.marts import company_from_partials, company_partials, heatmap_from_partials, heatmap_partials
 from ..operators.stage import inactive_keys
 from ..sources.files import bronze_stamp, read_ai_summaries, read_availability_csv, read_raw_feed
-from ..sources.sinks import CatalogTable, merge_into_table, read_table, table_exists, write_table
+from ..sources.sinks import (
+    MERGE,
+    CatalogTable,
+    StagedVersion,
+    merge_into_table,
+    partition_values,
+    read_table,
+    table_exists,
+    write_table,
+)
 from ..streaming import ingest_bronze
 
 
@@ -102,8 +114,15 @@ MARTS = {
     "heatmap": lambda staged, as_of: heatmap(staged, as_of),
     "heatmap_v2": lambda staged, as_of: heatmap(staged, as_of, standardise=True),
     "company_hiring": lambda staged, as_of: company_mart(staged, as_of),
-    "skills_demand": lambda staged, as_of: skills_mart(staged, as_of, sort=False),
-    "geography": lambda staged, as_of: geo_mart(staged, as_of, sort=False),
+    "skills_demand": lambda staged, as_of: skills_mart(staged, as_of),
+    "geography": lambda staged, as_of: geo_mart(staged, as_of),
+}
+
+# marts that can be kept from partials of staging's partitions: (partials, mart from partials)
+INCREMENTAL_MARTS = {
+    "heatmap": (heatmap_partials, heatmap_from_partials),
+    "heatmap_v2": (partial(heatmap_partials, standardise=True), heatmap_from_partials),
+    "company_hiring": (company_partials, company_from_partials),
 }
 
 
@@ -203,6 +222,7 @@ def run(
     rescue: bool = True,
     load_ts=None,
     filter_both: bool = False,
+    incremental_marts: bool = False,
 ) -> dict[str, str]:
     """Run every model once; returns model -> path.
 
@@ -228,11 +248,17 @@ def run(
     ``employment_mode="fixed"`` lower-cases feed A's employment type before
     matching the enum (the reference strips capitals first).
 
+    ``incremental_marts=True`` (catalog tables) keeps the heatmaps and the
+    company mart from partial aggregates of staging's partitions: a run reads
+    the partitions that are new since the last one, and the partials.
+
     ``bronze_mode="files"`` re-reads every raw file and keeps rows newer
     than the bronze table's latest event time (the reference's method);
     ``"stream"`` tracks processed files in a stream checkpoint next to the
     table and reads only new files (late rows inside them are kept).
     """
+    if incremental_marts and (layout.catalog is None or layout.materialize == "view"):
+        raise ValueError("incremental marts need catalog tables, whose partitions never change")
     if load_ts is None:
         load_ts = dt.datetime.combine(dt.date.fromisoformat(str(as_of)[:10]), dt.time())
     # dates and stamps are read and written in one zone on every cluster; the caller's zone comes back afterwards
@@ -240,13 +266,13 @@ def run(
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         return _run(spark, raw, layout, as_of, load_ts, marts, reprocess_on_change, remove_inactive, threads, bronze_mode,
-                    employment_mode, rescue, filter_both)
+                    employment_mode, rescue, filter_both, incremental_marts)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess_on_change, remove_inactive, threads, bronze_mode,
-         employment_mode, rescue, filter_both) -> dict[str, str]:
+         employment_mode, rescue, filter_both, incremental_marts) -> dict[str, str]:
     r = Run(spark, layout, load_ts)
     if layout.catalog is not None:
         # tables carry their own paths; the database folder sits beside them
@@ -309,7 +335,12 @@ def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess
 
     def mart(name, build):
         def step():
-            out = build(r.table("staged"), as_of)
+            if incremental_marts and name in INCREMENTAL_MARTS:
+                make, finish = INCREMENTAL_MARTS[name]
+                kept = CatalogTable(layout.table_name(f"{name}_partials"), fmt=layout.format)
+                out = finish(refresh_partials(spark, r.catalog_table("staged"), kept, layout.path("gold", f"{name}_partials"), make), as_of)
+            else:
+                out = build(r.table("staged"), as_of)
             if r.as_views:
                 out.createOrReplaceTempView(layout.view(name))
                 r.written[name] = layout.view(name)
@@ -329,3 +360,30 @@ def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess
     if marts:
         _wave(threads, [mart(name, build) for name, build in MARTS.items()])
     return r.written
+
+
+PART = "part"
+
+
+def refresh_partials(spark: SparkSession, source: CatalogTable, kept: CatalogTable, path: str, build) -> DataFrame:
+    """Partials of every partition of ``source``'s current version, kept in a
+    table of their own.
+
+    A partition's files never change, so partials that are there are right:
+    only partitions without partials are read, and partials of partitions that
+    the version has no more (rewritten or emptied by a merge) are left out.
+    ``build(rows, by)`` makes the partials, grouped by ``by`` first."""
+    number = source.versions(spark)[-1]
+    name = lambda values: "|".join(v if v is not None else "" for v in values.values())
+    live = {name(partition_values(spec)): partition_values(spec) for spec in source.partitions(spark, number)}
+    version = StagedVersion(kept, spark, path, [PART], [])
+    there = {partition_values(spec)[PART]: spec for spec in kept.partitions(spark, version.base)} if version.base else {}
+    new, gone = live.keys() - there.keys(), {spec for part, spec in there.items() if part not in live}
+    if new or gone or not version.base:
+        # the merges' tags are literals: the scan lists their folders and no others
+        rows = spark.table(source.version_name(number)).where(F.col(MERGE).isin(sorted({live[n][MERGE] for n in new})))
+        columns = list(next(iter(live.values()))) if live else [MERGE]
+        part = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+        version.add(build(rows.withColumn(PART, part).where(F.col(PART).isin(sorted(new))), [PART]))
+        version.publish(gone)
+    return kept.read(spark)

@@ -97,7 +97,7 @@ def _quoted(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _values(spec: str) -> dict[str, str | None]:
+def partition_values(spec: str) -> dict[str, str | None]:
     """Partition values of a spec like ``a=1/b=x%3A2``, as text."""
     pairs = [part.split("=", 1) for part in spec.split("/")]
     return {unquote(k): None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for k, v in pairs}
@@ -243,11 +243,11 @@ class StagedVersion:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table.name} AS SELECT {columns} FROM {name}")
 
     def _located(self, spec: str) -> str:
-        values = ", ".join(f"`{k}`={_quoted(v)}" for k, v in _values(spec).items())
+        values = ", ".join(f"`{k}`={_quoted(v)}" for k, v in partition_values(spec).items())
         return f"PARTITION ({values}) LOCATION {_quoted(self._folder(spec))}"
 
     def _folder(self, spec: str) -> str:
-        return f"{self.path}/{_values(spec)[MERGE]}/{spec}"
+        return f"{self.path}/{partition_values(spec)[MERGE]}/{spec}"
 
     def clean_up(self, number: int) -> None:
         """Drop versions beyond those that are kept, and the folders that only they refer to."""
@@ -337,7 +337,7 @@ def stage_merge(spark, path: str, batch: DataFrame, key: list[str], partitions:
     staged.add(matching(inside, keys, key, "left_anti"))
     as_text = touched_rows.select(*(F.col(c).cast("string") for c in by)).collect()
     lost = [tuple(r) for r in as_text]
-    gone = {spec for spec in table.partitions(spark, staged.base) if tuple(_values(spec).values()) in lost}
+    gone = {spec for spec in table.partitions(spark, staged.base) if tuple(partition_values(spec).values()) in lost}
     return lambda: staged.publish(gone)
 
 

@@ -12,7 +12,7 @@ from conftest import SF_SMOKE
 SIDE_EFFECT_KEYS = {
     "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
     "bronze_lineage", "bronze_rescued", "bronze_drifted", "merge_resume", "merge_interleaved", "stream_drop_late", "pipeline_same_day", "pipeline_orc", "pipeline_models", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
-    "pipeline_bucketed",
+    "pipeline_bucketed", "heatmap_incremental", "company_incremental",
 }
 
 
@@ -130,3 +130,57 @@ def test_incremental_reads_prune_partitions(spark):
 def test_marts_collect_no_sets_of_raw_rows(spark):
     plan = _plan(registry.queries()["company_metrics"](spark, SF_SMOKE))
     assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
+
+
+def test_small_batch_prunes_the_histories_by_bloom_filters(spark):
+    """Marks are literals, so a batch's scan is known to be small when the
+    joins are planned: Spark filters both histories by the batch's keys."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from hirescope.operators import enrich
+    from hirescope.plans import jobs
+    from hirescope.plans import queries as q
+    from hirescope.session import work_path
+
+    root = work_path(spark, "t-landing")
+    cut = F.lit(q.SPLIT_FIRST).cast("timestamp_ntz")
+    raw = q._land(spark, SF_SMOKE, root, F.col("scraped_dts") < cut)
+    layout = jobs.Layout(work_path(spark, "t-warehouse"), catalog="hs_bloom_test")
+    jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False)
+    r = jobs.Run(spark, layout, dt.date(2001, 8, 2))
+    confs = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        marks = r.existing("enriched")
+        df = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), dt.date(2001, 8, 2), target=marks)
+        plan = _plan(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("might_contain") >= 2
+    spark.sql("DROP DATABASE hs_bloom_test CASCADE")
+
+
+def test_mart_order_survives_the_write(spark):
+    import datetime as dt
+    import os
+
+    from hirescope.plans import jobs, pipeline
+    from hirescope.session import work_path
+    from hirescope.sources import write_table
+
+    staged = pipeline.staged_postings(spark, SF_SMOKE)
+    for name, score, ties in (("skills_demand", "opportunity_score", None), ("geography", "opportunity_index", ["state", "city"])):
+        path = write_table(jobs.MARTS[name](staged, dt.date(2001, 8, 1)), work_path(spark, name))
+        folder = path.replace("file:", "")
+        files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+        rows = [r for f in files for r in spark.read.parquet(f"{path}/{f}").collect()]
+        scores = [r[score] for r in rows]
+        assert len(rows) > 5 and scores == sorted(scores, reverse=True)
+        if ties:
+            keys = [(-r[score], r["state"] is not None, r["state"] or "", r["city"] is not None, r["city"] or "") for r in rows]
+            assert keys == sorted(keys)
