@@ -43,7 +43,7 @@ from ..sources import fixtures
 from ..sources.files import bronze_stamp, read_availability_csv, read_raw_feed
 from ..sources import sinks
 from ..sources.sinks import merge_into_table, write_partitioned
-from ..streaming import ingest_files
+from ..streaming import ingest_files, ingest_latest
 from . import jobs, pipeline
 from . import oracle as _o
 from .oracle import with_ctes
@@ -606,6 +606,26 @@ def q_stream_drop_late(spark, sf):
     return sinks.read_table(spark, target).select(*schemas.CLEANED_COLUMNS)
 
 
+@register("stream_keep_latest", with_ctes("SELECT * FROM cleaned_a", "cleaned_a"))
+def q_stream_keep_latest(spark, sf):
+    """Feed A lands, then a file with a third of it delivered again and
+    another third a day older: a stream that knows each posting's newest row
+    passes none of them on, and the older ones are kept aside."""
+    landing, target, late, checkpoint = (work_path(spark, n) for n in ("landing-latest", "latest-target", "latest-late", "latest-ckpt"))
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, sf, AS_OF))
+    third = F.col("job_posting_id").cast("long") % 3
+    raw.write.parquet(landing)
+    ingest_latest(spark, landing, "a", target, checkpoint, AS_OF, late)
+    older = raw.where(third == 1).withColumns({"timestamp": F.col("timestamp") - F.expr("INTERVAL 1 DAY"), "job_title": F.lit("older")})
+    raw.where(third == 0).unionByName(older).write.mode("append").parquet(landing)
+    ingest_latest(spark, landing, "a", target, checkpoint, AS_OF, late)
+    aside = spark.read.parquet(late).select("job_posting_id")
+    kept = sinks.read_table(spark, target)
+    # a posting whose older row was not kept aside would be missing here
+    safe = kept.where(F.col("job_posting_id").cast("long") % 3 != 1).select("job_posting_id").unionByName(aside)
+    return kept.join(safe, "job_posting_id", "left_semi").select(*schemas.CLEANED_COLUMNS)
+
+
 # ------------------------------------------------- incremental tiers (two loads)
 
 

@@ -12,7 +12,7 @@ from conftest import SF_SMOKE
 SIDE_EFFECT_KEYS = {
     "partitioned_rebuild", "merge_partitioned", "load_availability_csv", "stream_ingest",
     "bronze_lineage", "bronze_rescued", "bronze_drifted", "merge_resume", "merge_interleaved", "stream_drop_late", "pipeline_same_day", "pipeline_orc", "pipeline_models", "pipeline_run", "pipeline_incremental", "pipeline_views", "pipeline_stream",
-    "pipeline_bucketed", "heatmap_incremental", "company_incremental",
+    "pipeline_bucketed", "heatmap_incremental", "company_incremental", "stream_keep_latest",
 }
 
 

@@ -324,3 +324,32 @@ def test_files_that_contradict_each_other_all_load(spark):
     assert tuple(rows["1"].base_salary) == (5.5, None) and tuple(rows["2"].base_salary) == (1.0, 2.0)
     assert json.loads(rows["1"]._rescued_data) == {"base_salary.max_amount": "x", "base_salary.currency": "EUR"}
     assert rows["2"]._rescued_data is None
+
+
+def test_stream_keeps_the_latest_of_a_posting_across_batches_and_restarts(spark):
+    from hirescope.streaming import ingest_latest
+
+    landing, target, late, ckpt = (work_path(spark, n) for n in ("t-land", "t-target", "t-late", "t-ckpt"))
+    raw = fixtures.raw_feed_a(fixtures.postings(spark, "/root/testdata/sf0.001")).orderBy("job_posting_id").limit(30)
+    day = lambda n: F.col("timestamp") + F.expr(f"INTERVAL {n} DAYS")
+    at = lambda df, n, title: df.withColumns({"timestamp": day(n), "job_title": F.lit(title)}).coalesce(1)
+    ids = [r.job_posting_id for r in raw.select("job_posting_id").collect()]
+    run = lambda: ingest_latest(spark, landing, "a", target, ckpt, fixtures.AS_OF, late)
+    at(raw, 0, "first").write.mode("append").parquet(landing)
+    run()
+    some = raw.where(F.col("job_posting_id").isin(ids[:10]))
+    at(some, 5, "newer").write.mode("append").parquet(landing)
+    run()  # a new stream that knows the state
+    at(some, 3, "between").unionByName(at(raw.where(F.col("job_posting_id").isin(ids[10:12])), -1, "older")).coalesce(1).write.mode("append").parquet(landing)
+    at(some, 5, "newer").write.mode("append").parquet(landing)  # delivered again
+    spark.createDataFrame([(None, "no id")], "job_posting_id string, job_title string").coalesce(1).write.mode("append").parquet(landing)
+    run()
+    titles = {r.job_posting_id: r.job_title for r in spark.read.parquet(target).collect()}
+    assert titles == {i: "newer" if i in ids[:10] else "first" for i in ids}
+    aside = sorted((str(r.job_posting_id), r.job_title) for r in spark.read.parquet(late).collect())
+    assert aside == sorted([*((i, "between") for i in ids[:10]), *((i, "older") for i in ids[10:12]), ("None", "no id")])
+    # rows come back exactly as they were
+    original = {r.job_posting_id: r for r in raw.collect()}
+    for r in spark.read.parquet(late).where("job_title = 'between'").collect():
+        o = original[r.job_posting_id]
+        assert (r.MIN_AMOUNT, r.company_name, r.timestamp) == (o.MIN_AMOUNT, o.company_name, o.timestamp + __import__("datetime").timedelta(days=3))
