@@ -22,6 +22,7 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,26 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> bytes:
     return model.SerializeToString()
 
 
+# A chunk is white space or a run without any, with the one space before it.
+_CHUNKS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+#: pieces of the texts on which a pattern is tried
+_PROBES = ("a", "1", ".", "'s", " ", "\n", "\t", "\u3000", "\r\n")
+
+
+def check_pattern(pattern: str) -> None:
+    """Refuse a pattern whose matches run across the ends of chunks, tried on
+    all texts of up to four probe pieces: texts are split into chunks first,
+    which is right only where that changes no pre-token."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    for length in range(2, 5):
+        for pieces in product(_PROBES, repeat=length):
+            text = "".join(pieces)
+            if find(text) != [p for chunk in _CHUNKS.findall(text) for p in find(chunk)]:
+                raise ValueError(f"this pattern's pre-tokens depend on what stands around white space, as in {text!r}")
+
+
 class Encoder:
     """Texts to id bytes (little-endian int32) with one sentencepiece model."""
 
@@ -75,9 +96,8 @@ class Encoder:
 
         self._model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self._pre_tokens = regex.compile(pattern).findall
-        # A chunk is white space or a run without any, with the one space before it.  The
-        # supported patterns never match across a chunk's end, so a chunk has whole matches only.
-        self._chunks = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+").findall
+        # supported patterns never match across a chunk's end, so a chunk has whole matches only
+        self._chunks = _CHUNKS.findall
         self._mapping = {b: BYTE_BASE + b for b in range(256)}
         # kept chunks are of two generations: one met again moves to the younger, the older goes when that is full
         self._young: dict[str, bytes] = {}
@@ -136,7 +156,10 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """``id_col`` and ``ids_col`` (array of int) for every row of ``df``.
 
     ``ranks_path`` is read on the driver; tasks get the serialised model.
+    ``pattern`` must be one whose pre-tokens do not reach across white space
+    but for the one space before them; others are refused.
     """
+    check_pattern(pattern)
     model = sentencepiece_model(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,3 +72,10 @@ def test_query(spark, reference):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_patterns_that_reach_across_white_space_are_refused():
+    bpe.check_pattern(public_tokenizers.PATTERN)
+    for pattern in (r"\w+\s+\w+|\s|\S", r"[^\n]+|\n", r"\s+|\S+(?=\s)|\S"):
+        with pytest.raises(ValueError, match="white space"):
+            bpe.check_pattern(pattern)
