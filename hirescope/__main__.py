@@ -40,6 +40,7 @@ def main(argv=None) -> None:
     run.add_argument("--employment-mode", choices=["reference", "fixed"], default="reference")
     run.add_argument("--no-rescue", action="store_true", help="drop what does not fit the raw schema")
     run.add_argument("--filter-both", action="store_true", help="filter both feeds' descriptions by the mark")
+    run.add_argument("--incremental-marts", action="store_true", help="keep marts from partials (with --catalog)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("hirescope").getOrCreate()
@@ -60,6 +61,7 @@ def main(argv=None) -> None:
         rescue=not args.no_rescue,
         load_ts=dt.datetime.fromisoformat(args.load_ts) if args.load_ts else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
         filter_both=args.filter_both,
+        incremental_marts=args.incremental_marts,
     )
     print(json.dumps(written, indent=2, sort_keys=True))
 

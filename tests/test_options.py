@@ -108,6 +108,30 @@ def test_load_without_a_later_stamp_is_refused(spark):
         assert ids.count() == ids.distinct().count() == q.fixtures.postings(spark, sf).count()
 
 
+def test_stream_bronze_into_catalog_tables(spark):
+    """Two loads with a file stream and catalog tables: marks are kept, the
+    caller's time zone is left as it was."""
+    sf = "/root/testdata/sf0.001"
+    root = work_path(spark, "t-landing")
+    cut = F.lit(q.SPLIT_FIRST).cast("timestamp_ntz")
+    raw = q._land(spark, sf, root, F.col("scraped_dts") < cut)
+    layout = jobs.Layout(work_path(spark, "t-warehouse"), catalog="hs_stream_catalog")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+    try:
+        jobs.run(spark, raw, layout, dt.date(2001, 8, 1), marts=False, bronze_mode="stream")
+        q._land(spark, sf, root, F.col("scraped_dts") >= cut, side_tables=False)
+        jobs.run(spark, raw, layout, dt.date(2001, 8, 2), marts=False, bronze_mode="stream")
+        assert spark.conf.get("spark.sql.session.timeZone") == "Australia/Sydney"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    ids = spark.table("hs_stream_catalog.unified").select("job_posting_id")
+    assert ids.count() == ids.distinct().count() == q.fixtures.postings(spark, sf).count()
+    marks = jobs.Run(spark, layout, dt.date(2001, 8, 3)).existing("unified")
+    assert spark.range(1).select(marks["ingest_dts"]).first()[0] == spark.table("hs_stream_catalog.unified").agg(F.max("ingest_dts")).first()[0]
+    spark.sql("DROP DATABASE hs_stream_catalog CASCADE")
+
+
 def test_cluster_session_without_shared_folder_is_refused(monkeypatch):
     import pytest
 
