@@ -76,3 +76,64 @@ def test_query(spark):
             right += r["kept"] == (labels[r["doc_id"]] == 1)
             wrong += r["kept"] != (labels[r["doc_id"]] == 1)
     assert right / (right + wrong) > 0.97
+
+
+def covering(rows):
+    """Sequential covering over plain lists: (id, bad, values) to rejecting rules."""
+    import math
+    import struct
+
+    import xxhash
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    prunes = lambda i: signed(xxhash.xxh64_intdigest(struct.pack("<q", i), 42)) % quality.PRUNE_EVERY == 0
+    holds = lambda tests, v: all(v[f] > t if sign == ">" else v[f] <= t for f, sign, t in tests)
+    cuts = {f: set() for f in quality.FEATURES}
+    for side in (True, False):
+        for f in quality.FEATURES:
+            own = sorted(v[f] for _, bad, v in rows if bad == side)
+            cuts[f] |= {own[max(1, math.ceil(len(own) * i / quality.THRESHOLDS)) - 1] for i in range(1, quality.THRESHOLDS)}
+    rules = []
+    while len(rules) < quality.MAX_RULES:
+        left = [r for r in rows if not any(holds(rule, r[2]) for rule in rules)]
+        grown, tests = [r for r in left if not prunes(r[0])], []
+        while len(tests) < quality.MAX_TESTS:
+            inside = [r for r in grown if holds(tests, r[2])]
+            p = sum(bad for _, bad, _ in inside)
+            if not p or p == len(inside):
+                break
+            best, chosen = 0.0, None
+            for f in quality.FEATURES:
+                for t in sorted(cuts[f]):
+                    for sign in ("<=", ">"):
+                        covered = [bad for _, bad, v in inside if holds([(f, sign, t)], v)]
+                        if sum(covered):
+                            gain = sum(covered) * (math.log2(sum(covered) / len(covered)) - math.log2(p / len(inside)))
+                            if gain > best + 1e-9:
+                                best, chosen = gain, (f, sign, t)
+            if chosen is None:
+                break
+            tests.append(chosen)
+        pruning, ranked = [r for r in left if prunes(r[0])], []
+        for n in range(1, len(tests) + 1):
+            covered = [bad for _, bad, v in pruning if holds(tests[:n], v)]
+            ranked.append(((2 * sum(covered) - len(covered)) / max(1, len(covered)), -n, sum(covered), len(covered)))
+        if not ranked:
+            break
+        _, n, good, total = max(ranked)
+        if good < quality.MIN_SUPPORT or good < quality.MIN_PRECISION * total:
+            break
+        rules.append(tests[:-n])
+    return rules
+
+
+def test_learned_list_equals_plain_covering(spark):
+    for seed in (1, 2):
+        rng, rows = random.Random(seed), []
+        for i in range(1200):
+            v = {f: rng.randint(0, 12) / 8 for f in quality.FEATURES}
+            bad = (v["symbols_per_word"] > 1.0 and v["distinct_share"] <= 0.5) or v["mean_word_chars"] > 1.4 or rng.random() < 0.02
+            rows.append((i, bad, v))
+        df = spark.createDataFrame([(i, bad, *v.values()) for i, bad, v in rows], "doc_id long, bad boolean, " + ", ".join(f"{f} double" for f in quality.FEATURES))
+        want = covering(rows)
+        assert quality.learn(df) == want and len(want) >= 1
