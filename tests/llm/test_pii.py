@@ -188,3 +188,61 @@ def test_bootstrap_follows_links_of_any_length(spark):
     assert sorted(r["instance"] for r in known.where("confidence < 1").collect()) == [f"x{n}" for n in range(1, 7)]
     with pytest.raises(RuntimeError):
         pii.bootstrap(edges, rounds=2)
+
+
+def plain_bootstrap(edges):
+    """(pattern, instance, seed) to accepted patterns and instances, on dictionaries."""
+    import math
+    from collections import defaultdict
+
+    seeds = {}
+    for _, i, s in edges:
+        if s is not None:
+            seeds[i] = min(s, seeds.get(i, s))
+    known = {i: (k, 1.0) for i, k in seeds.items()}
+    while True:
+        by_pattern = defaultdict(list)
+        for p, i, _ in edges:
+            by_pattern[p].append(known.get(i))
+        patterns = {}
+        for p, found in by_pattern.items():
+            rated = []
+            for k in pii.KINDS:
+                own = [c for kind, c in filter(None, found) if kind == k]
+                rated.append((sum(own) / len(found), len(own), k))
+            score, support, kind = max(rated)
+            if score >= pii.MIN_SCORE and support >= pii.MIN_SUPPORT:
+                patterns[p] = kind, score
+        doubts = defaultdict(float)
+        for p, i, s in edges:
+            if s is None and p in patterns:
+                doubts[i, patterns[p][0]] += math.log(1 - min(patterns[p][1], 0.999))
+        now = {i: (k, 1.0) for i, k in seeds.items()}
+        for (i, k), d in sorted(doubts.items(), key=lambda x: (-x[1], x[0][1])):
+            if i not in seeds and 1 - math.exp(d) >= pii.MIN_CONFIDENCE:
+                now[i] = k, 1 - math.exp(d)  # the last one is the most confident
+        settled = {i: (k, round(c, 6)) for i, (k, c) in now.items()} == {i: (k, round(c, 6)) for i, (k, c) in known.items()}
+        known = now
+        if settled:
+            return patterns, known
+
+
+def test_bootstrap_equals_plain_rounds(spark):
+    """Random graphs in which a few contexts hold mostly one kind, so that instances are found over several steps."""
+    sizes = []
+    for seed in range(3):
+        rng, edges = random.Random(seed), {}
+        for p in range(40):
+            group = p // 10
+            told, untold = [i for i in range(60) if i % 3], [i for i in range(60) if not i % 3]
+            n = rng.choice([1, 2, 2, 3, 6])
+            for i in rng.sample(told, 11) + rng.sample(untold, n):
+                kind = pii.KINDS[group] if rng.random() < 0.97 else rng.choice(pii.KINDS)
+                edges[f"c{p}", f"i{group}-{i}"] = kind if i % 3 and p % 10 < 7 else None
+        rows = [(p, i, s) for (p, i), s in edges.items()]
+        patterns, known = pii.bootstrap(spark.createDataFrame(rows, "pattern string, instance string, seed string"))
+        want_patterns, want_known = plain_bootstrap(rows)
+        assert {r["pattern"]: (r["kind"], round(r["score"], 9)) for r in patterns.collect()} == {p: (k, round(s, 9)) for p, (k, s) in want_patterns.items()}
+        assert {r["instance"]: (r["kind"], round(r["confidence"], 9)) for r in known.collect()} == {i: (k, round(c, 9)) for i, (k, c) in want_known.items()}
+        sizes.append((len(want_patterns), sum(c < 1 for _, c in want_known.values())))
+    assert all(n for n, _ in sizes) and any(m for _, m in sizes)
