@@ -62,7 +62,8 @@ def _packed(df: DataFrame, size: int, order: list[str], name: str) -> DataFrame:
     """Rows (block, dim, ids, vectors) of at most ``size`` vectors of one
     dimension, cut from the range sort by ``order``."""
     parts = max(1, -(-df.count() // size))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "vector")
+    # the number of blocks follows their size, whatever number of partitions the sort comes to
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "vector").coalesce(parts)
     arrow = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
