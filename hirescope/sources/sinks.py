@@ -115,8 +115,8 @@ class CatalogTable:
     knows yet, and commits by renaming it to the next number, which the catalog
     refuses to the second of two writers.  Then the view is pointed at it.
     Readers change nothing: a query reads the version its view pointed to when
-    it was analysed.  A merge broken off before the rename leaves a folder that
-    nothing refers to, and the old version.  ``keep`` older versions stay for
+    it was analysed.  A merge broken off before the rename leaves the old
+    version, and a folder that the next merge deletes.  ``keep`` older versions stay for
     queries that still read them; what only older ones refer to is deleted.
 
     With ``buckets`` every version is bucketed by the key: tables bucketed
@@ -135,12 +135,18 @@ class CatalogTable:
     def exists(self, spark: SparkSession) -> bool:
         return bool(self.versions(spark))
 
-    def versions(self, spark: SparkSession) -> list[int]:
+    def _named(self, spark: SparkSession, kind: str) -> list[str]:
         database, _, short = self.name.rpartition(".")
         place = f" IN {database}" if database else ""
-        found = spark.sql(f"SHOW TABLES{place} LIKE '{short}__v*'").collect()
-        numbers = [r["tableName"].removeprefix(f"{short}__v".lower()) for r in found]
-        return sorted(int(n) for n in numbers if n.isdigit())
+        start = f"{short}__{kind}"
+        return [r["tableName"][len(start) :] for r in spark.sql(f"SHOW TABLES{place} LIKE '{start}*'").collect()]
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        return sorted(int(n) for n in self._named(spark, "v") if n.isdigit())
+
+    def unpublished(self, spark: SparkSession) -> list[str]:
+        """Tags of versions that are being written, or were left."""
+        return self._named(spark, "new_")
 
     def version_name(self, number: int) -> str:
         return f"{self.name}__v{number}"
@@ -210,6 +216,21 @@ class StagedVersion:
 
     def publish(self, gone: Iterable[str]) -> None:
         """Commit: the folders written, and all of the base version's but those of ``gone``."""
+        number = self.base + 1
+        try:
+            self._register(gone)
+            # refused if another writer has committed this number
+            self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self.table.version_name(number)}")
+        except AnalysisException as error:
+            if number not in self.table.versions(self.spark):
+                raise
+            self.discard()
+            raise RuntimeError(f"another merge of {self.table.name} was committed first; repeat this one") from error
+        self.point_view(number)
+        self.clean_up(number)
+
+    def _register(self, gone: Iterable[str]) -> None:
+        """The partitions that stay, by their locations, and the marks."""
         spark, table = self.spark, self.table
         if self.base:
             stay = sorted(table.partitions(spark, self.base) - set(gone))
@@ -221,16 +242,6 @@ class StagedVersion:
         marks = ", ".join(f"'mark.{c}' = {_quoted(v)}" for c, v in self.marks.items() if v is not None)
         if marks:
             spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({marks})")
-        number = self.base + 1
-        try:
-            spark.sql(f"ALTER TABLE {self.name} RENAME TO {table.version_name(number)}")
-        except AnalysisException as error:
-            if number not in table.versions(spark):
-                raise
-            self.discard()
-            raise RuntimeError(f"another merge of {table.name} was committed first; repeat this one") from error
-        self.point_view(number)
-        self.clean_up(number)
 
     def discard(self) -> None:
         """Forget this version and what was written for it."""
@@ -250,8 +261,14 @@ class StagedVersion:
         return f"{self.path}/{partition_values(spec)[MERGE]}/{spec}"
 
     def clean_up(self, number: int) -> None:
-        """Drop versions beyond those that are kept, and the folders that only they refer to."""
+        """Drop versions beyond those that are kept, and the folders that only
+        they refer to; and what merges left that can be committed no more,
+        as their number is taken."""
         spark, table = self.spark, self.table
+        for tag in table.unpublished(spark):
+            if int(tag[1:].split("_")[0]) <= number:
+                spark.sql(f"DROP TABLE IF EXISTS {table.name}__new_{tag}")
+                _delete(spark, f"{self.path}/{tag}")
         numbers = table.versions(spark)
         old = [n for n in numbers if n < number - table.keep]
         if not old:

@@ -199,6 +199,8 @@ def test_merges_lost_before_their_commit_change_nothing(spark):
         assert _rows(table.read(spark)) == sorted(want, key=repr)
         merge_into_table(spark, path, make([]), ["k"], partitions, delete_keys=spark.createDataFrame([("e",), (None,)], "k string"), table=table)
         assert _rows(table.read(spark)) == sorted(want[:4], key=repr)
+        # what the lost merge wrote is gone as well
+        assert table.unpublished(spark) == [] and len(os.listdir(path.replace("file:", ""))) <= 4
 
 
 def test_a_reader_keeps_the_version_it_was_planned_on(spark):
