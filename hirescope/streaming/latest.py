@@ -30,32 +30,47 @@ JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: groups that the postings are dealt to; part of a checkpoint's state, so fixed for its life
+BUCKETS = 4096
+
+
 class LatestOfKey(StatefulProcessor):
     """Per key: the newest event time passed on.  Of one batch's rows of a key
     the newest newer one is new and the others that are newer are superseded;
-    rows of the known time are repeats, older ones late."""
+    rows of the known time are repeats, older ones late.
+
+    Keys are handled in buckets: one call, one read and one update of state
+    for all keys of a bucket, as calls for every single key cost more than the
+    work they do.  A key's entry expires ``keep_days`` after its last update."""
 
     def __init__(self, keep_days: int):
         self._keep = keep_days * 24 * 3600 * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._latest = handle.getValueState("latest", "event long", self._keep)
+        self._latest = handle.getValueState("latest", "names array<string>, events array<long>, until array<long>", self._keep)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self._latest.get()[0] if self._latest.exists() else None
-        newest, late = None, []
+        now = timerValues.getCurrentProcessingTimeInMs()
+        known = {}
+        if self._latest.exists():
+            known = {name: (time, until) for name, time, until in zip(*self._latest.get()) if until > now}
+        newest: dict[str, tuple[int, str]] = {}
         for frame in rows:
-            pairs = list(zip(frame["event"].tolist(), frame["payload"].tolist()))
-            best = max(pairs)  # of equal times the largest row, as keep-latest has it
-            if (known is None or best[0] > known) and (newest is None or best > newest):
-                newest = best
-            if known is not None:
-                late += [text for time, text in pairs if time < known]
-        if newest is not None:
-            self._latest.update((newest[0],))
-        out = ([newest[1]] if newest else []) + late
-        if out:
-            yield pd.DataFrame({"payload": out, "arrival": [NEW] * (newest is not None) + [LATE] * len(late)})
+            late = []
+            for name, time, text in zip(frame["name"].tolist(), frame["event"].tolist(), frame["payload"].tolist()):
+                seen = known.get(name)
+                if seen is None or time > seen[0]:
+                    best = newest.get(name)
+                    if best is None or (time, text) > best:  # of equal times the largest row, as keep-latest has it
+                        newest[name] = (time, text)
+                elif time < seen[0]:
+                    late.append(text)
+            if late:
+                yield pd.DataFrame({"payload": late, "arrival": LATE})
+        if newest:
+            known.update((name, (time, now + self._keep)) for name, (time, _) in newest.items())
+            self._latest.update((list(known), [time for time, _ in known.values()], [until for _, until in known.values()]))
+            yield pd.DataFrame({"payload": [text for _, text in newest.values()], "arrival": NEW})
 
     def close(self) -> None:
         pass
@@ -80,7 +95,7 @@ def ingest_latest(
     with their source file.
 
     State of a posting expires ``keep_days`` after its last newer row (a row
-    after that is new again).  Rows without an event time or id are late: they
+    after that is new again); it is kept in ``BUCKETS`` groups of postings.  Rows without an event time or id are late: they
     cannot be compared.  Both merges are idempotent, so a batch that is
     replayed after a failure changes nothing.  Only files not seen before are
     read; the call returns when all are merged.
@@ -91,9 +106,11 @@ def ingest_latest(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(landing).withColumn("source_file", F.col("_metadata.file_path"))
     event = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    rows = raw.select(F.coalesce(F.col(key), F.lit("")).alias("key"), event.alias("event"), F.to_json(F.struct(*schema.names), JSON).alias("payload"))
-    comparable = F.col("event").isNotNull() & (F.col("key") != "")
-    kept = rows.where(comparable).groupBy("key").transformWithStateInPandas(
+    name = F.coalesce(F.col(key), F.lit(""))
+    bucket = F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
+    rows = raw.select(bucket.alias("bucket"), name.alias("name"), event.alias("event"), F.to_json(F.struct(*schema.names), JSON).alias("payload"))
+    comparable = F.col("event").isNotNull() & (F.col("name") != "")
+    kept = rows.where(comparable).groupBy("bucket").transformWithStateInPandas(
         LatestOfKey(keep_days), outputStructType=T.StructType.fromDDL("payload string, arrival string"), outputMode="Update", timeMode="ProcessingTime"
     )
     odd = rows.where(~comparable).select("payload", F.lit(LATE).alias("arrival"))

@@ -355,3 +355,53 @@ def test_stream_keeps_the_latest_of_a_posting_across_batches_and_restarts(spark)
     for r in spark.read.parquet(late).where("job_title = 'between'").collect():
         o = original[r.job_posting_id]
         assert (r.MIN_AMOUNT, r.company_name, r.timestamp) == (o.MIN_AMOUNT, o.company_name, o.timestamp + __import__("datetime").timedelta(days=3))
+
+
+def test_keep_latest_state_handles_all_keys_of_a_bucket_in_one_call():
+    import pandas as pd
+
+    from hirescope.streaming.latest import LatestOfKey
+
+    class State:
+        value, calls = None, 0
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            State.calls += 1
+            return self.value
+
+        def update(self, value):
+            State.calls += 1
+            self.value = value
+
+    class Handle:
+        state = State()
+
+        def getValueState(self, *_):
+            return self.state
+
+    class At:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    processor, day = LatestOfKey(1), 24 * 3600 * 1000
+    processor.init(Handle())
+
+    def call(now, *chunks):
+        frames = (pd.DataFrame(c, columns=["name", "event", "payload"]) for c in chunks)
+        out = pd.concat([pd.DataFrame({"payload": [], "arrival": []}), *processor.handleInputRows((7,), frames, At(now))])
+        return sorted(map(tuple, out[["arrival", "payload"]].itertuples(index=False)))
+
+    names = [f"k{i}" for i in range(500)]
+    # two rows a key over two chunks: the newest is new, the other superseded
+    assert call(0, [(n, 5, f"{n}@5") for n in names], [(n, 6, f"{n}@6") for n in names]) == sorted(("new", f"{n}@6") for n in names)
+    assert State.calls == 1, "one update for all keys"
+    assert call(1, [("k0", 6, "again"), ("k1", 5, "old"), ("k2", 9, "a"), ("k2", 9, "b"), ("x", 1, "x")]) == [("late", "old"), ("new", "b"), ("new", "x")]
+    assert State.calls == 3
+    # a key's state expires on its own: k2 was newer later than k0
+    assert call(day, [("k0", 1, "k0 new again"), ("k2", 1, "k2 late")]) == [("late", "k2 late"), ("new", "k0 new again")]
