@@ -348,7 +348,8 @@ def stage_merge(spark, path: str, batch: DataFrame, key: list[str], partitions:
     touched = hits.select(*by).distinct().collect()
     if not touched:
         return lambda: staged.publish(set())
-    touched_rows = spark.createDataFrame(touched, target.select(*by).schema)
+    # one row a load date: joined by shuffle, a load would meet in the one task of its date
+    touched_rows = F.broadcast(spark.createDataFrame(touched, target.select(*by).schema))
     # the merges' tags prune folders, the join tells their partitions apart (null-safely)
     inside = matching(target.where(F.col(MERGE).isin(sorted({r[MERGE] for r in touched}))), touched_rows, by, "left_semi")
     staged.add(matching(inside, keys, key, "left_anti"))
@@ -387,7 +388,8 @@ def _merge_into_path(spark, path: str, batch: DataFrame, key: list[str], partiti
         touched = hits.select(*partitions, "__folder").distinct().collect()
         appended = batch
         if touched:
-            touched_df = spark.createDataFrame(sorted({tuple(r)[:-1] for r in touched}, key=repr), target.select(*partitions).schema)
+            # one row a load date: joined by shuffle, a load would meet in the one task of its date
+            touched_df = F.broadcast(spark.createDataFrame(sorted({tuple(r)[:-1] for r in touched}, key=repr), target.select(*partitions).schema))
             # partition values are matched null-safely: a row of the NULL partition is in it
             kept = matching(matching(target, touched_df, partitions, "left_semi"), keys, key, "left_anti")
             arriving = matching(batch, touched_df, partitions, "left_semi")

@@ -405,3 +405,14 @@ def test_keep_latest_state_handles_all_keys_of_a_bucket_in_one_call():
     assert State.calls == 3
     # a key's state expires on its own: k2 was newer later than k0
     assert call(day, [("k0", 1, "k0 new again"), ("k2", 1, "k2 late")]) == [("late", "k2 late"), ("new", "k0 new again")]
+
+
+def test_a_load_that_touches_old_partitions_is_not_written_by_one_task(spark):
+    path = work_path(spark, "t-merge-tasks")
+    rows = lambda ids, p: spark.createDataFrame([(i, p) for i in ids], "k long, p string").repartition(6)
+    merge_into_table(spark, path, rows(range(400), "a"), ["k"], ["p"])
+    merge_into_table(spark, path, rows(range(399, 800), "b"), ["k"], ["p"])
+    table = spark.read.parquet(path)
+    assert sorted((r.k, r.p) for r in table.collect()) == [(k, "a" if k < 399 else "b") for k in range(800)]
+    files = table.where("p = 'b'").select(F.input_file_name()).distinct().count()
+    assert files > 1, "the load was shuffled by its date"
