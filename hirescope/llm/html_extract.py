@@ -5,12 +5,14 @@ zone: chrome (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, by element or by class, id or role), article (inside an element that
 marks the article) or open (neither).
 
-Pages that mark their article give its lines.  For the others, nearest-URL
-page differencing decides: pages of a host are sorted by URL path, each page
-is aligned with the page before and the page after it by longest common
-subsequence of lines, and lines that either shares are deleted from its open
-lines.  (Differencing alone is wrong on pages whose menus vary from page to
-page while articles quote the same passages; see the README for figures.)
+Nearest-URL page differencing runs on every page: pages of a host are sorted
+by URL path, each page is aligned with the page before and the page after it
+by longest common subsequence of lines, and lines that either shares are
+deleted.  An exact check by the page's own markup follows: chrome that varies
+from page to page goes as well, and where a page marks its article, lines of
+it that were deleted (neighbours quote the same passages) come back and lines
+outside it go.  (Differencing alone is wrong on such pages; see the README for
+figures.)
 
 Only hashes of lines are sorted and exchanged: a range sort by host and path
 spreads a host of any size over tasks, and the rows at the edges of a task's
@@ -241,10 +243,10 @@ def _marked(lines: list[tuple[str, int]]) -> bool:
 
 
 def _neighbours(hashes: DataFrame) -> DataFrame:
-    """``host``, ``content`` and ``shared`` (line positions) of the pages that
-    do not mark their article.  Copies within a host are one page."""
+    """``host``, ``content`` and ``shared`` (line positions) of every page that
+    shares lines with a neighbour.  Copies within a host are one page."""
     keys = ["host", "path", "content"]
-    pages = hashes.groupBy("host", "content").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"), F.first("marked").alias("marked"))
+    pages = hashes.groupBy("host", "content").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"))
     names = pages.columns
     row = T.StructType([*pages.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__at", T.LongType())])
 
@@ -288,17 +290,20 @@ def _neighbours(hashes: DataFrame) -> DataFrame:
                 yield before, page, None
 
         for before, page, after in rows():
-            if page["marked"] or not page["host"] or page["__at"] in (-1, 1 << 62):
+            if not page["host"] or page["__at"] in (-1, 1 << 62):
                 continue
             found = sorted(shared(page, before) | shared(page, after))
+            if not found:  # what joins the lines stays small
+                continue
             yield pa.RecordBatch.from_pylist([{"host": page["host"], "content": page["content"], "shared": found}], schema=arrow)
 
     return dealt.mapInArrow(align, "host string, content long, shared array<int>")
 
 
 def extract(df: DataFrame, id_cols: Sequence[str] = ("page_id",), url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``id_cols``, ``url`` and ``text`` of every page; blocks in page order,
-    joined by one line feed.
+    """``id_cols``, ``url``, ``text`` (blocks in page order, joined by one line
+    feed), ``n_shared`` (lines that differencing deleted) and ``n_restored``
+    (those of them that the page's marked article brought back) of every page.
 
     A null or empty page has an empty text.  Pages without a host (null or odd
     URLs) have no neighbours and keep their open lines; so does the only page
@@ -315,7 +320,8 @@ def extract(df: DataFrame, id_cols: Sequence[str] = ("page_id",), url_col: str =
         for batch in batches:
             pages = [page_lines(x.as_py()) for x in batch.column(n + 3)]
             hashes, marked = [_hashes(p) for p in pages], [_marked(p) for p in pages]
-            # article lines of pages that mark them, else open lines; the others are empty, so that places stay
+            # what the markup lets stay: article lines of pages that mark them, else open lines; the others are
+            # empty, so that places stay
             lines = [[t if z == (ARTICLE if m else OPEN) else "" for t, z in p] for p, m in zip(pages, marked)]
             out = [pa.array([_content(h) for h in hashes], pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(marked, pa.bool_()), pa.array(lines, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: n + 3], *out], [*ids, "__url", "__host", "__path", "content", "hashes", "marked", "__lines"])
@@ -323,11 +329,13 @@ def extract(df: DataFrame, id_cols: Sequence[str] = ("page_id",), url_col: str =
     more = "`__url` string, `__host` string, `__path` string, content long, hashes array<long>, marked boolean, `__lines` array<string>"
     kinds = T.StructType([*(df.schema[c] for c in ids), *T.StructType.fromDDL(more).fields])
     read = materialize(source.mapInArrow(parse, kinds), "html-lines")  # every page is parsed once
-    shared = _neighbours(read.select(F.col("__host").alias("host"), F.col("__path").alias("path"), "content", "hashes", "marked"))
-    text = lambda lines: F.array_join(lines, "\n").alias("text")
-    url = F.col("__url").alias("url")
-    marked = read.where("marked").select(*ids, url, text(F.filter("__lines", lambda line: line != "")))
+    shared = _neighbours(read.select(F.col("__host").alias("host"), F.col("__path").alias("path"), "content", "hashes"))
+    judged = read.drop("hashes").withColumnRenamed("__host", "host").join(shared, ["host", "content"], "left")
     gone = F.coalesce("shared", F.array().cast("array<int>"))
-    left = F.filter("__lines", lambda line, i: (line != "") & ~F.array_contains(gone, i))
-    unmarked = read.where("NOT marked").withColumnRenamed("__host", "host").join(shared, ["host", "content"], "left").select(*ids, url, text(left))
-    return marked.unionByName(unmarked)
+    back = F.when(F.col("marked"), F.filter(gone, lambda i: F.get("__lines", i) != "")).otherwise(F.array().cast("array<int>"))
+    judged = judged.withColumns({"__gone": gone, "__back": back}).withColumn("__out", F.array_except("__gone", "__back"))
+    left = F.filter("__lines", lambda line, i: (line != "") & ~F.array_contains("__out", i))
+    return judged.select(
+        *ids, F.col("__url").alias("url"), F.array_join(left, "\n").alias("text"),
+        F.size("__gone").cast("long").alias("n_shared"), F.size("__back").cast("long").alias("n_restored"),
+    )

@@ -125,3 +125,12 @@ def test_query(spark):
         article = source[source.index("<article>") : source.index("</article>")]
         lines = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1|article)>", article)]
         assert r["text"] == "\n".join(x for x in lines if x) and r["n_chars"] == len(r["text"]) and r["url"] == pages[r["page_id"]]["url"]
+
+
+def test_differencing_decides_on_marked_pages_as_well(spark):
+    page = lambda i: f"<nav>Home</nav><div>menu</div><article><p>quoted</p><p>own {i}</p></article><div>odd {i}</div>"
+    df = spark.createDataFrame([(i, f"http://h.org/{i}", page(i)) for i in range(3)], "page_id long, url string, html string")
+    rows = sorted(he.extract(df).collect())
+    assert [r.text for r in rows] == [f"quoted\nown {i}" for i in range(3)]
+    # "Home", "menu" and "quoted" are shared with the neighbours; the marked article brings "quoted" back
+    assert [(r.n_shared, r.n_restored) for r in rows] == [(3, 1)] * 3
