@@ -157,6 +157,9 @@ def _company_counts() -> dict[str, Column]:
 
 COMPANY_KEYS = ["company_name", "job_industries"]
 COMPANY_WINDOWS = {"jobs_last_7d": 7, "jobs_last_30d": 30, "jobs_last_90d": 90}
+# three exact distinct counts sort four rows for each posting, so the postings are dealt to many tasks first (as many
+# as a shuffle still writes without sorting)
+COMPANY_TASKS = 200
 
 
 def company_metrics(staged: DataFrame, as_of) -> DataFrame:
@@ -164,7 +167,11 @@ def company_metrics(staged: DataFrame, as_of) -> DataFrame:
     salary.  Distinct counts are exact; no set of raw values is collected."""
     low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
     high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
-    return staged.groupBy(*COMPANY_KEYS).agg(
+    used = [*COMPANY_KEYS, "job_title", "job_function", "job_city", "job_employment_type", "job_seniority_level",
+            "job_posted_date", "min_salary", "max_salary"]
+    # by all of them: a company of any size is spread
+    dealt = staged.select(*used).repartition(COMPANY_TASKS, *used)
+    return dealt.groupBy(*COMPANY_KEYS).agg(
         F.count(F.lit(1)).alias("total_job_postings"),
         F.countDistinct("job_title").alias("unique_roles"),
         F.countDistinct("job_function").alias("function_diversity"),

@@ -184,3 +184,14 @@ def test_mart_order_survives_the_write(spark):
         if ties:
             keys = [(-r[score], r["state"] is not None, r["state"] or "", r["city"] is not None, r["city"] or "") for r in rows]
             assert keys == sorted(keys)
+
+
+def test_company_metrics_deals_postings_to_many_tasks_before_they_are_expanded(spark):
+    from hirescope.operators import marts
+
+    staged = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr(
+        "concat('c', o_custkey) company_name", "'i' job_industries", "'t' job_title", "'f' job_function", "'x' job_city", "'Contract' job_employment_type",
+        "'Director' job_seniority_level", "'2001-07-01' job_posted_date", "o_totalprice min_salary", "o_totalprice max_salary")
+    plan = marts.company_metrics(staged, "2001-08-01")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Expand") :]
+    assert f", {marts.COMPANY_TASKS}), REPARTITION_BY_NUM" in below
