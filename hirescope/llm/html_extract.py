@@ -14,9 +14,10 @@ it that were deleted (neighbours quote the same passages) come back and lines
 outside it go.  (Differencing alone is wrong on such pages; see the README for
 figures.)
 
-Only hashes of lines are sorted and exchanged: a range sort by host and path
+Only hashes of lines are sorted and aligned: a range sort by host and path
 spreads a host of any size over tasks, and the rows at the edges of a task's
-range are handed to its neighbours.
+range are handed to its neighbours.  A page's text is moved at most once, to
+the positions that the alignment found.
 """
 
 from __future__ import annotations
@@ -313,29 +314,40 @@ def extract(df: DataFrame, id_cols: Sequence[str] = ("page_id",), url_col: str =
     """
     ids = list(id_cols)
     host, path = host_path(F.col(url_col))
-    source = df.select(*ids, F.col(url_col).alias("__url"), host.alias("__host"), path.alias("__path"), F.col(html_col).alias("__html"))
+    pages = df.select(*ids, F.col(url_col).alias("__url"), host.alias("__host"), path.alias("__path"), F.col(html_col).alias("__html"))
     n = len(ids)
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages = [page_lines(x.as_py()) for x in batch.column(n + 3)]
-            hashes, marked = [_hashes(p) for p in pages], [_marked(p) for p in pages]
-            # what the markup lets stay: article lines of pages that mark them, else open lines; the others are
-            # empty, so that places stay
-            lines = [[t if z == (ARTICLE if m else OPEN) else "" for t, z in p] for p, m in zip(pages, marked)]
-            out = [pa.array([_content(h) for h in hashes], pa.int64()), pa.array(hashes, pa.list_(pa.int64())), pa.array(marked, pa.bool_()), pa.array(lines, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 3], *out], [*ids, "__url", "__host", "__path", "content", "hashes", "marked", "__lines"])
-
-    more = "`__url` string, `__host` string, `__path` string, content long, hashes array<long>, marked boolean, `__lines` array<string>"
+            hashes = [_hashes(page_lines(x.as_py())) for x in batch.column(2)]
+            out = [pa.array([_content(h) for h in hashes], pa.int64()), pa.array(hashes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *out], ["host", "path", "content", "hashes"])
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parsed = [page_lines(x.as_py()) for x in batch.column(n + 2)]
+            marked = [_marked(p) for p in parsed]
+            # what the markup lets stay: article lines of pages that mark them, else open lines; no line holds a line feed
+            stay = [[i for i, (_, z) in enumerate(p) if z == (ARTICLE if m else OPEN)] for p, m in zip(parsed, marked)]
+            out = [
+                pa.array([_content(_hashes(p)) for p in parsed], pa.int64()), pa.array(marked, pa.bool_()), pa.array(stay, pa.list_(pa.int32())),
+                pa.array(["\n".join(p[i][0] for i in at) for p, at in zip(parsed, stay)], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 2], *out], [*ids, "__url", "__host", "__content", "__marked", "__at", "__text"])
+
+    # pages are parsed twice: hashes for the alignment, then the text, which so is moved once, by the join, and never
+    # written in between
+    hashes = pages.select("__host", "__path", "__html").mapInArrow(line_hashes, "host string, path string, content long, hashes array<long>")
+    shared = _neighbours(hashes).withColumnsRenamed({"host": "__host", "content": "__content"})
+    more = "`__url` string, `__host` string, `__content` long, `__marked` boolean, `__at` array<int>, `__text` string"
     kinds = T.StructType([*(df.schema[c] for c in ids), *T.StructType.fromDDL(more).fields])
-    read = materialize(source.mapInArrow(parse, kinds), "html-lines")  # every page is parsed once
-    shared = _neighbours(read.select(F.col("__host").alias("host"), F.col("__path").alias("path"), "content", "hashes"))
-    judged = read.drop("hashes").withColumnRenamed("__host", "host").join(shared, ["host", "content"], "left")
+    judged = pages.drop("__path").mapInArrow(texts, kinds).join(shared, ["__host", "__content"], "left")
     gone = F.coalesce("shared", F.array().cast("array<int>"))
-    back = F.when(F.col("marked"), F.filter(gone, lambda i: F.get("__lines", i) != "")).otherwise(F.array().cast("array<int>"))
-    judged = judged.withColumns({"__gone": gone, "__back": back}).withColumn("__out", F.array_except("__gone", "__back"))
-    left = F.filter("__lines", lambda line, i: (line != "") & ~F.array_contains("__out", i))
+    back = F.when(F.col("__marked"), F.array_intersect("__gone", "__at")).otherwise(F.array().cast("array<int>"))
+    judged = judged.withColumn("__gone", gone).withColumn("__back", back).withColumn("__out", F.array_except("__gone", "__back"))
+    left = F.filter(F.split("__text", "\n"), lambda line, i: ~F.array_contains("__out", F.get("__at", i)))
+    text = F.when(F.size(F.array_intersect("__out", "__at")) == 0, F.col("__text")).otherwise(F.array_join(left, "\n"))
     return judged.select(
-        *ids, F.col("__url").alias("url"), F.array_join(left, "\n").alias("text"),
+        *ids, F.col("__url").alias("url"), text.alias("text"),
         F.size("__gone").cast("long").alias("n_shared"), F.size("__back").cast("long").alias("n_restored"),
     )

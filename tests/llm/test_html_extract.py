@@ -134,3 +134,19 @@ def test_differencing_decides_on_marked_pages_as_well(spark):
     assert [r.text for r in rows] == [f"quoted\nown {i}" for i in range(3)]
     # "Home", "menu" and "quoted" are shared with the neighbours; the marked article brings "quoted" back
     assert [(r.n_shared, r.n_restored) for r in rows] == [(3, 1)] * 3
+
+
+def test_text_is_moved_once_and_never_written_in_between(spark, monkeypatch):
+    written = []
+    keep = he.materialize
+    monkeypatch.setattr(he, "materialize", lambda df, name: written.append(df.columns) or keep(df, name))
+    page = lambda i: f"<div>menu</div><div>own {i}</div><div></div><div>foot</div><div>more {i}</div>"
+    df = spark.createDataFrame([(i, f"http://h.org/{i}", page(i)) for i in range(3)], "page_id long, url string, html string")
+    out = he.extract(df)
+    assert sorted((r.page_id, r.text, r.n_shared, r.n_restored) for r in out.collect()) == [(i, f"own {i}\nmore {i}", 2, 0) for i in range(3)]
+    assert written and all(set(c) <= {"host", "path", "content", "hashes", "__part", "__at"} for c in written)
+
+
+def test_no_kept_line_holds_a_line_feed():
+    space = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 133, 160, 8232, 8233]))
+    assert all("\n" not in t for t, _ in he.page_lines(f"<p>a{space}b&#10;c</p><pre>d\n\ne</pre>"))
