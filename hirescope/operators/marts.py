@@ -25,6 +25,7 @@ from ..functions import (
 from ..functions.classify import OTHER_TECH
 from ..sources.files import as_of_timestamp
 from .geo import geocode
+from .incremental import key_match
 
 
 def _dec(text: str) -> Column:
@@ -157,21 +158,26 @@ def _company_counts() -> dict[str, Column]:
 
 COMPANY_KEYS = ["company_name", "job_industries"]
 COMPANY_WINDOWS = {"jobs_last_7d": 7, "jobs_last_30d": 30, "jobs_last_90d": 90}
-# three exact distinct counts sort four rows for each posting, so the postings are dealt to many tasks first (as many
+# three exact distinct counts make four rows for each posting, so the postings are dealt to many tasks first (as many
 # as a shuffle still writes without sorting)
 COMPANY_TASKS = 200
 
 
 def company_metrics(staged: DataFrame, as_of) -> DataFrame:
     """Group by company and industry: volume, windows, employment, seniority,
-    salary.  Distinct counts are exact; no set of raw values is collected."""
+    salary.  Distinct counts are exact; no set of raw values is collected.
+
+    First and latest date are text, and one text among the aggregates makes
+    Spark sort all four rows of each posting instead of hashing them: the two
+    are taken beside, from the same exchange, and joined to the groups."""
     low = F.when(F.col("min_salary") > 0, F.col("min_salary"))
     high = F.when(F.col("max_salary") > 0, F.col("max_salary"))
     used = [*COMPANY_KEYS, "job_title", "job_function", "job_city", "job_employment_type", "job_seniority_level",
             "job_posted_date", "min_salary", "max_salary"]
     # by all of them: a company of any size is spread
     dealt = staged.select(*used).repartition(COMPANY_TASKS, *used)
-    return dealt.groupBy(*COMPANY_KEYS).agg(
+    dates = dealt.groupBy(*COMPANY_KEYS).agg(F.min("job_posted_date").alias("first_posting_date"), F.max("job_posted_date").alias("latest_posting_date"))
+    counts = dealt.groupBy(*COMPANY_KEYS).agg(
         F.count(F.lit(1)).alias("total_job_postings"),
         F.countDistinct("job_title").alias("unique_roles"),
         F.countDistinct("job_function").alias("function_diversity"),
@@ -180,9 +186,8 @@ def company_metrics(staged: DataFrame, as_of) -> DataFrame:
         *(c.alias(name) for name, c in _company_counts().items()),
         F.avg(low).alias("avg_min_salary"),
         F.avg(high).alias("avg_max_salary"),
-        F.min("job_posted_date").alias("first_posting_date"),
-        F.max("job_posted_date").alias("latest_posting_date"),
     )
+    return counts.alias("t").join(dates.alias("b"), key_match(COMPANY_KEYS)).select("t.*", "first_posting_date", "latest_posting_date")
 
 
 def company_partials(staged: DataFrame, by: list[str]) -> DataFrame:

@@ -132,6 +132,9 @@ class Run:
     layout: Layout
     load_ts: object
     written: dict[str, str] = field(default_factory=dict)
+    # models that this run made whole by a merge, which leaves one row a key (a table of earlier loads may hold a key
+    # twice after a merge that broke off)
+    made: set[str] = field(default_factory=set)
 
     @property
     def as_views(self) -> bool:
@@ -180,8 +183,15 @@ class Run:
             return self.spark.table(self.layout.view(name))
         return self._read(name)
 
-    def merge(self, name: str, batch: DataFrame, order: list[str] | None = None, delete_keys=None) -> None:
+    def merge(self, name: str, batch: DataFrame, order: list[str] | None = None, delete_keys=None, one_row_from=()) -> None:
+        """Merge ``batch``, the latest row of a key by ``order``.  A batch with
+        at most one row for each row of the models ``one_row_from`` repeats no
+        key if they do not: then its rows are not shuffled and sorted by key."""
         tier, spec = MODELS[name]
+        if one_row_from and self.made.issuperset(one_row_from):
+            order = None
+        if not self.exists(name):
+            self.made.add(name)
         if self.as_views:
             if order:
                 batch = latest_per_key(batch, list(spec.key), order)
@@ -302,7 +312,7 @@ def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess
         raw_cols = (schemas.RAW_FEED_A if feed == "a" else schemas.RAW_FEED_B).names
         src = r.table(f"bronze_{feed}").select(*raw_cols, "ingest_dts", "year", "month", "day")
         cleaned_rows = clean_feed(src, feed, load_ts, target=r.existing(name), employment_mode=employment_mode)
-        r.merge(name, cleaned_rows, order=["ingest_dts", "scraped_dts"])
+        r.merge(name, cleaned_rows, order=["ingest_dts", "scraped_dts"], one_row_from=[f"bronze_{feed}"])
 
     def availability():
         batch = load_availability(read_availability_csv(spark, raw.availability_csv), load_ts,
@@ -325,13 +335,13 @@ def _run(spark, raw: RawInputs, layout: Layout, as_of, load_ts, marts, reprocess
     def enriched():
         batch = enrich(r.table("unified"), r.table("availability"), r.table("ai_summaries"), load_ts,
                        target=r.existing("enriched"), reprocess_on_change=reprocess_on_change)
-        r.merge("enriched", batch, order=["ingest_dts"])
+        r.merge("enriched", batch, order=["ingest_dts"], one_row_from=["unified", "availability", "ai_summaries"])
 
     def staged():
         target = r.existing("staged")
         gone = inactive_keys(r.table("enriched"), target) if remove_inactive else None
         r.merge("staged", stage_active(r.table("enriched"), load_ts, target=target), order=["enriched_dts"],
-                delete_keys=gone)
+                delete_keys=gone, one_row_from=["enriched"])
 
     def mart(name, build):
         def step():

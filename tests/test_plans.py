@@ -195,3 +195,53 @@ def test_company_metrics_deals_postings_to_many_tasks_before_they_are_expanded(s
     plan = marts.company_metrics(staged, "2001-08-01")._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Expand") :]
     assert f", {marts.COMPANY_TASKS}), REPARTITION_BY_NUM" in below
+
+
+def test_company_counts_are_hashed_and_dates_come_from_the_same_exchange(spark):
+    from hirescope.operators import marts
+
+    columns = [*marts.COMPANY_KEYS, "job_title", "job_function", "job_city", "job_employment_type", "job_seniority_level", "job_posted_date"]
+    keys = [(None, "x"), ("", "x"), ("a", None), ("a", ""), (None, None), (None, "x")]
+    rows = [(*k, f"t{i}", "f", "c", "Full-time", "Director", None if k == ("a", "") else f"2001-07-0{i + 1}", 1.0, 2.0) for i, k in enumerate(keys)]
+    staged = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns) + ", min_salary double, max_salary double")
+    out = marts.company_metrics(staged, "2001-08-01")
+    got = {(r.company_name, r.job_industries): (r.unique_roles, r.first_posting_date, r.latest_posting_date) for r in out.collect()}
+    day = "2001-07-0{}".format
+    assert got == {(None, "x"): (2, day(1), day(6)), ("", "x"): (1, day(2), day(2)), ("a", None): (1, day(3), day(3)), ("a", ""): (1, None, None), (None, None): (1, day(5), day(5))}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    counted = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "Aggregate" in line and "count(" in line]
+    assert counted and all("HashAggregate" in line and "ObjectHash" not in line for line in counted)
+    assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("materialize", ["table", "view"])
+def test_first_load_drops_repeats_once(spark, tmp_path, monkeypatch, materialize):
+    """Models that read tables with one row a key, made by the same run, are not reduced by key again; a later load is."""
+    import datetime as dt
+
+    from hirescope.plans import jobs, queries
+    from hirescope.sources import fixtures
+
+    reduced = []
+    if materialize == "table":
+        merge = jobs.merge_into_table
+        monkeypatch.setattr(jobs, "merge_into_table", lambda spark, path, *a, order=None, **k: (reduced.append(path.rsplit("/", 1)[1]) if order else None) or merge(spark, path, *a, order=order, **k))
+    else:
+        latest = jobs.latest_per_key
+        monkeypatch.setattr(jobs, "latest_per_key", lambda df, *a: reduced.append(len(df.columns)) or latest(df, *a))
+    sf, root = "/root/testdata/sf0.001", str(tmp_path)
+    queries._land(spark, sf, f"{root}/raw")
+    raw = queries._land(spark, sf, f"{root}/raw")  # every raw row twice
+    layout = jobs.Layout(f"{root}/tables", materialize=materialize, view_prefix=f"once_{materialize}_")
+    written = jobs.run(spark, raw, layout, fixtures.AS_OF, marts=False, threads=1)
+    read = (lambda m: spark.read.parquet(written[m])) if materialize == "table" else (lambda m: spark.table(written[m]))
+    for model in jobs.MODELS:
+        ids = [r[0] for r in read(model).select("job_posting_id").collect()]
+        assert ids and len(ids) == len(set(ids)), model
+    if materialize == "view":
+        assert len(reduced) == 6
+        return
+    assert reduced == ["bronze_a", "bronze_b", "availability", "ai_summaries", "unified", "descriptions"]
+    reduced.clear()
+    jobs.run(spark, raw, layout, fixtures.AS_OF + dt.timedelta(days=1), marts=False, threads=1)
+    assert set(reduced) == set(jobs.MODELS)
